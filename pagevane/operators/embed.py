@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,27 +27,30 @@ Encoder = Callable[[list[str]], np.ndarray]
 EncoderFactory = Callable[[], Encoder]
 
 
+@lru_cache(maxsize=1 << 18)
+def _token_code(token: str, dim: int) -> int:
+    """The rule of ``functions.vectors.token_code``; frequent tokens are remembered."""
+    h = int(hashlib.md5(token.encode("utf-8")).hexdigest()[:9], 16)
+    return ((h >> 4) % dim) * 2 + h % 2
+
+
 class HashingEncoder:
     """Signed feature hashing to unit vectors: the encoder used when no model is given.
 
-    Same rule as ``functions.vectors.token_code``. Tokens are dictionary-encoded
-    per batch, so md5 runs once per distinct token.
+    Tokens are dictionary-encoded per batch, so md5 runs once per distinct token.
     """
 
     def __init__(self, dim: int = DIM):
         self.dim = dim
 
-    def _code(self, token: str) -> int:
-        h = int(hashlib.md5(token.encode("utf-8")).hexdigest()[:9], 16)
-        return ((h >> 4) % self.dim) * 2 + h % 2
-
     def __call__(self, texts: list[str]) -> np.ndarray:
         lowered = pc.utf8_lower(pa.array(texts, pa.large_string()))
         split = pc.split_pattern_regex(lowered, r"[^\pL\pN]+")
         words = pc.list_flatten(split).dictionary_encode()
         rows = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy())
-        vocabulary = words.dictionary.to_pylist()
-        codes = np.array([self._code(t) if t else -1 for t in vocabulary], dtype=np.int64)
+        vocabulary = words.dictionary.to_numpy(zero_copy_only=False)
+        codes = [_token_code(t, self.dim) if t else -1 for t in vocabulary]
+        codes = np.array(codes, dtype=np.int64)
         codes = codes[words.indices.to_numpy()] if len(vocabulary) else codes
         rows, codes = rows[codes >= 0], codes[codes >= 0]
         cells = np.bincount(

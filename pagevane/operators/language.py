@@ -26,20 +26,22 @@ def language_filter(df: DataFrame, lang: str = "fr", text: str = "text") -> Data
     return with_language(df, text).filter(F.col("detected") == lang)
 
 
-def _grams(text: Column, n: int) -> Column:
-    """Character n-grams inside words, each word padded with one space per side.
+def _words(text: str) -> Column:
+    return F.explode(F.split(F.lower(F.col(text)), NON_LETTERS))
 
-    Built word by word: a substring far into a long text has to be searched for
-    from its start, within a word the distance is short.
+
+def _grams(word: Column, n: int) -> Column:
+    """Character n-grams of a word padded with one space per side.
+
+    Cut word by word: a substring far into a long text has to be searched for from
+    its start, within a word the distance is short.
     """
-    words = F.filter(F.split(F.lower(text), NON_LETTERS), lambda w: w != "")
+    return F.explode(F.sequence(F.lit(1), F.greatest(F.length(word) + (3 - n), F.lit(1))))
 
-    def of_word(w: Column) -> Column:
-        padded = F.concat(F.lit(" "), w, F.lit(" "))
-        last = F.greatest(F.length(padded) - (n - 1), F.lit(1))
-        return F.transform(F.sequence(F.lit(1), last), lambda i: F.substr(padded, i, F.lit(n)))
 
-    return F.flatten(F.transform(words, of_word))
+def _cut(word: str, at: str, n: int) -> Column:
+    padded = F.concat(F.lit(" "), F.col(word), F.lit(" "))
+    return F.substr(padded, F.col(at), F.lit(n))
 
 
 def _floor() -> Column:
@@ -59,12 +61,19 @@ def train_ngram_profiles(
     A profile holds the ``size`` most frequent n-grams of its language, so the
     result has at most ``size * len(languages)`` rows however large the corpus.
     """
-    counts = (
+    # Words are counted first; there are far fewer of them to cut into n-grams.
+    words = (
         labelled.filter(F.col(label).isin(*languages))
-        .select(F.col(label).alias("label"), F.explode(_grams(F.col(text), n)).alias("gram"))
-        .groupBy("label", "gram")
+        .select(F.col(label).alias("label"), _words(text).alias("word"))
+        .filter("word <> ''")
+        .groupBy("label", "word")
         .agg(F.count("*").alias("n"))
     )
+    counts = (
+        words.select("label", "n", "word", _grams(F.col("word"), n).alias("at"))
+        .groupBy("label", _cut("word", "at", n).alias("gram"))
+        .agg(F.sum("n").alias("n"))
+    )
     by_count = Window.partitionBy("label").orderBy(F.desc("n"), F.asc("gram"))
     top = counts.withColumn("rank", F.row_number().over(by_count)).filter(F.col("rank") <= size)
     share = F.col("n") / F.sum("n").over(Window.partitionBy("label"))
@@ -91,7 +100,10 @@ def classify_ngrams(
     The profiles are broadcast (their row count is bounded by construction), so
     n-grams never move; each task folds its n-grams into one row per key first.
     """
-    grams = df.select(key, F.explode_outer(_grams(F.col(text), n)).alias("gram"))
+    # The empty word stays in, so that a row without any letter keeps its place.
+    words = df.select(key, _words(text).alias("word"))
+    placed = words.select(key, "word", _grams(F.col("word"), n).alias("at"))
+    grams = placed.select(key, _cut("word", "at", n).alias("gram"))
     scored = (
         grams.join(F.broadcast(profiles), "gram", "left")
         .groupBy(key)

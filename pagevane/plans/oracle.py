@@ -425,6 +425,6 @@ def oracle_sql() -> dict[str, str]:
               ' ROWS UNBOUNDED PRECEDING)', 'running_total')} FROM events""",
         "metrics_rollup": f"""
           SELECT date_trunc('hour', ts) AS bucket_start, event_type, count(*) AS n,
-            {rounded('avg(value)', 'mean')}, max(value) AS max, quantile_disc(value, 0.5) AS median
+            round(avg(value), 9) AS mean, max(value) AS max, quantile_disc(value, 0.5) AS median
           FROM events GROUP BY ALL""",
     }
