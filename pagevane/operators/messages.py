@@ -45,7 +45,8 @@ def decode_messages(
     with_record = df.select("*", F.inline(F.array(F.struct(record.alias("_record")))))
     fields = with_record.select("*", "_record.*").drop("_record")
     required = schema.fieldNames() if required is None else required
-    is_corrupt = F.col(CORRUPT).isNotNull() | F.col(value).isNull()
+    is_blank = F.col(value).isNull() | (F.trim(value) == "")
+    is_corrupt = F.col(CORRUPT).isNotNull() | is_blank
     return require_fields(fields, *required, first_error=is_corrupt).drop(CORRUPT)
 
 

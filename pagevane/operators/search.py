@@ -115,7 +115,7 @@ def _in_passes(
 def _matrix(vectors: pa.Array) -> np.ndarray:
     """Equal-length lists as the rows of a double matrix."""
     flat = vectors.flatten().to_numpy().astype(np.float64)
-    return flat.reshape(len(vectors), -1)
+    return flat.reshape(len(vectors), -1) if len(vectors) else np.zeros((0, 0))
 
 
 def _scan_scores(

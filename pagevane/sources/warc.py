@@ -7,7 +7,6 @@ many archives of similar size. Records are streamed, never held as a whole file.
 from __future__ import annotations
 
 import glob
-import gzip
 import io
 import urllib.request
 import zlib
@@ -33,6 +32,51 @@ ARROW_SCHEMA = pa.schema(
 )
 BATCH_BYTES = 8 << 20
 SKIP_BYTES = 1 << 20
+READ_BYTES = 1 << 18
+
+
+class _GzipMembers(io.RawIOBase):
+    """Decompressed bytes of a file of gzip members, one member per record.
+
+    Hands on each piece as soon as it is decompressed, so that the records before
+    a damaged or missing piece are read in full.
+    """
+
+    def __init__(self, raw):
+        self.raw = raw
+        self.packed = b""
+        self.plain = memoryview(b"")
+        self.member = None
+
+    def readable(self) -> bool:
+        return True
+
+    def close(self) -> None:
+        self.raw.close()
+        super().close()
+
+    def readinto(self, target) -> int:
+        while not self.plain and self._advance():
+            pass
+        n = min(len(target), len(self.plain))
+        target[:n] = self.plain[:n]
+        self.plain = self.plain[n:]
+        return n
+
+    def _advance(self) -> bool:
+        """Decompress one more piece; False at the end of the file."""
+        self.packed = self.packed or self.raw.read(READ_BYTES)
+        if not self.packed:
+            if self.member is not None:
+                raise EOFError("the last gzip member is cut off")
+            return False
+        if self.member is None:
+            self.member = zlib.decompressobj(zlib.MAX_WBITS | 16)
+        self.plain = memoryview(self.member.decompress(self.packed))
+        self.packed = self.member.unused_data
+        if self.member.eof:
+            self.member = None
+        return True
 
 
 def _open(path: str) -> io.BufferedReader:
@@ -44,9 +88,9 @@ def _open(path: str) -> io.BufferedReader:
         raw = system.open_input_stream(name, compression=None)
     else:
         raw = open(path, "rb")
-    stream = io.BufferedReader(raw, SKIP_BYTES)
+    stream = raw if isinstance(raw, io.BufferedReader) else io.BufferedReader(raw, SKIP_BYTES)
     if stream.peek(2)[:2] == b"\x1f\x8b":
-        return io.BufferedReader(gzip.GzipFile(fileobj=stream), SKIP_BYTES)
+        return io.BufferedReader(_GzipMembers(stream), SKIP_BYTES)
     return stream
 
 
