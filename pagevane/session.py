@@ -20,6 +20,7 @@ DEFAULTS = {
 }
 
 _shipped: dict[str, str] = {}
+_made: dict[str, str] = {}
 
 
 def build_session(app_name: str, conf: dict[str, str] | None = None) -> SparkSession:
@@ -55,10 +56,12 @@ def shared_dir(spark: SparkSession) -> str:
     Only where the session names none (tests, a laptop) is one made here.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="pagevane-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured
+    if configured:
+        return configured
+    app = spark.sparkContext.applicationId
+    if app not in _made:
+        _made[app] = tempfile.mkdtemp(prefix="pagevane-checkpoint-")
+    return _made[app]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
