@@ -27,16 +27,14 @@ from pagevane.operators.metrics import (
     running_total,
     stamp,
 )
-from pagevane.operators.search import (
-    bm25_search,
-    keyword_lookup,
+from pagevane.operators.nearest import (
     knn_exact,
     knn_lsh,
     knn_single,
     lsh_index,
     lsh_model,
-    postings,
 )
+from pagevane.operators.search import bm25_search, keyword_lookup, postings
 from pagevane.operators.segments import explode_segments, segment_counts, with_segments
 
 __all__ = [

@@ -1,179 +1,26 @@
-"""Queries over the index: nearest neighbours, keyword lookup, full text."""
+"""Keyword lookup and full text over the index."""
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pagevane.functions.text import tokens
-from pagevane.functions.vectors import dot
 from pagevane.operators.extract import compute_once
+from pagevane.operators.nearest import SCORE_DECIMALS, top_k
 
-# Scores are compared after rounding to this many decimals, so that equal vectors
-# tie (and the smaller id wins) whatever order the products were added in.
-SCORE_DECIMALS = 9
-# Largest query set sent to every task at once (about 12 MB at 384 dimensions).
-MAX_QUERIES = 4096
-# Cells of one score matrix inside a task (32 MB of doubles).
-BLOCK_CELLS = 4_000_000
 # BM25 constants (Robertson and Zaragoza, 2009).
 K1, B = 1.2, 0.75
 # Query strings scored in one scan.
 QUERIES_PER_PASS = 32
 
 
-def _top_k(scored: DataFrame, query_id: str, key: str, k: int) -> DataFrame:
-    """First k rows per query; Spark cuts each partition to k rows before the shuffle."""
-    order = Window.partitionBy(query_id).orderBy(F.desc("score"), F.asc(key))
-    ranked = scored.withColumn("rank", F.row_number().over(order).cast("bigint"))
-    return ranked.filter(F.col("rank") <= k)
-
-
-def _block_hits(scores: np.ndarray, ids: np.ndarray, k: int) -> pd.DataFrame:
-    """Cells that can be among the k best of their row, ties included."""
-    keep = min(k, scores.shape[1])
-    floor = -np.partition(-scores, keep - 1, axis=1)[:, keep - 1 : keep]
-    query, row = np.nonzero((scores >= floor) & np.isfinite(scores))
-    return pd.DataFrame({"query": query, "id": ids[row], "score": scores[query, row]})
-
-
-def _best(hits: pd.DataFrame, k: int) -> pd.DataFrame:
-    ordered = hits.sort_values(["query", "score", "id"], ascending=[True, False, True])
-    return ordered.groupby("query", sort=False).head(k)
-
-
-def knn_exact(
-    corpus: DataFrame,
-    queries: DataFrame,
-    k: int = 10,
-    key: str = "vec_id",
-    vector: str = "embedding",
-    query_id: str = "query_id",
-    query_vector: str = "query_vector",
-    match_on: str | None = None,
-    max_queries: int = MAX_QUERIES,
-) -> DataFrame:
-    """The k corpus rows with the largest inner product per query, exactly.
-
-    Unit vectors, so the order is also that of cosine and Euclidean distance. The
-    corpus is read once and never shuffled: each task multiplies its batches with
-    the query matrix and keeps k rows per query; only those meet in the final
-    ranking. A query set above ``max_queries`` is split by hash and answered in
-    several passes, each within the bound.
-
-    ``match_on`` names a column of both sides that must be equal (a filtered
-    search with its own filter value per query). ``query_id`` must be unique.
-    Result: ``query_id, key, score, rank``.
-    """
-    queries = queries.select(query_id, query_vector, *([match_on] if match_on else []))
-
-    def one_pass(piece: DataFrame) -> DataFrame:
-        scored = _scan_scores(corpus, piece, k, key, vector, match_on)
-        return _top_k(scored, query_id, key, k)
-
-    return _in_passes(queries, query_id, max_queries, one_pass)
-
-
-def _in_passes(
-    queries: DataFrame,
-    query_id: str,
-    max_queries: int,
-    one_pass: Callable[[DataFrame], DataFrame],
-    level: int = 0,
-) -> DataFrame:
-    """Union of ``one_pass`` over hash parts of at most ``max_queries`` queries each.
-
-    The size is measured first, so whatever ``one_pass`` sends to every task stays
-    bounded; each query is answered in exactly one pass.
-    """
-    if queries.limit(max_queries + 1).count() <= max_queries:
-        return one_pass(queries)
-    if level == 3:
-        raise ValueError(f"{query_id} is not unique: cannot split the query set")
-    parts = -(-queries.count() // max_queries) * 2
-    part = F.pmod(F.xxhash64(F.col(query_id), F.lit(level)), F.lit(parts))
-    pieces = [
-        _in_passes(queries.filter(part == i), query_id, max_queries, one_pass, level + 1)
-        for i in range(parts)
-    ]
-    return reduce(DataFrame.union, pieces)
-
-
-def _matrix(vectors: pa.Array) -> np.ndarray:
-    """Equal-length lists as the rows of a double matrix."""
-    flat = vectors.flatten().to_numpy().astype(np.float64)
-    return flat.reshape(len(vectors), -1) if len(vectors) else np.zeros((0, 0))
-
-
-def _scan_scores(
-    corpus: DataFrame, queries: DataFrame, k: int, key: str, vector: str, match_on: str | None
-) -> DataFrame:
-    """k best rows per query of every corpus partition; ``queries`` is of bounded size."""
-    score = T.StructField("score", T.DoubleType())
-    out_schema = T.StructType([queries.schema.fields[0], corpus.schema[key], score])
-    asked = queries.toArrow().combine_chunks()
-    query_ids = asked.column(0).combine_chunks()
-    matrix = _matrix(asked.column(1).combine_chunks())
-    wanted = asked.column(2).to_pandas().to_numpy(dtype=object) if match_on else None
-    shared = corpus.sparkSession.sparkContext.broadcast((query_ids, matrix, wanted))
-    names = out_schema.fieldNames()
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, q, group = shared.value
-        best = pd.DataFrame({"query": [], "id": [], "score": []})
-        arrow_schema = None
-        rows = max(1, BLOCK_CELLS // max(1, len(q)))
-        for batch in batches:
-            arrow_schema = batch.schema
-            for at in range(0, batch.num_rows if len(q) else 0, rows):
-                block = batch.slice(at, rows)
-                block = block.filter(pc.is_valid(block.column(vector)))
-                if not block.num_rows:
-                    continue
-                scores = np.round(q @ _matrix(block.column(vector)).T, SCORE_DECIMALS)
-                if match_on:
-                    own = block.column(match_on).to_pandas().to_numpy(dtype=object)
-                    scores[group[:, None] != own[None, :]] = -np.inf
-                hits = _block_hits(scores, block.column(key).to_pandas().to_numpy(), k)
-                best = _best(pd.concat([best, hits]) if len(best) else hits, k)
-        if len(best):
-            columns = [
-                ids.take(pa.array(best["query"].to_numpy(np.int64))),
-                pa.array(best["id"].tolist(), arrow_schema.field(key).type),
-                pa.array(best["score"].to_numpy(), pa.float64()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    columns = dict.fromkeys([key, vector, *([match_on] if match_on else [])])
-    return corpus.select(*columns).mapInArrow(scan, out_schema)
-
-
-def knn_single(
-    corpus: DataFrame,
-    query: Sequence[float],
-    k: int = 10,
-    key: str = "vec_id",
-    vector: str = "embedding",
-) -> DataFrame:
-    """The k nearest rows to one vector: a scan that keeps k rows per task."""
-    q = F.array(*[F.lit(float(x)) for x in query])
-    score = F.round(dot(F.col(vector), q), SCORE_DECIMALS).alias("score")
-    return corpus.select(key, score).orderBy(F.desc("score"), F.asc(key)).limit(k)
-
-
 def keyword_lookup(
     index: DataFrame, values: Sequence[str] | DataFrame, field: str = "url"
 ) -> DataFrame:
@@ -223,7 +70,7 @@ def bm25_search(
     passes = [names[i : i + QUERIES_PER_PASS] for i in range(0, len(names), QUERIES_PER_PASS)]
     analysed = df.select(key, F.inline(F.array(F.struct(tokens(text).alias("terms")))))
     scored = [_bm25_scores(analysed, {q: terms[q] for q in some}, key) for some in passes]
-    return _top_k(reduce(DataFrame.union, scored), "query_id", key, k)
+    return top_k(reduce(DataFrame.union, scored), "query_id", key, k)
 
 
 def _occurrences(term: str) -> Column:
@@ -262,84 +109,3 @@ def _bm25_scores(analysed: DataFrame, terms: dict[str, list[str]], key: str) ->
     # a second time, to see whether it is empty.
     per_query = counted.select(F.inline(F.array(*scores)), key)
     return per_query.filter("score > 0").select("query_id", key, "score")
-
-
-# --- approximate search ---------------------------------------------------------
-
-BUCKET_LENGTH = 1.0
-TABLES = 4
-SEED = 42
-
-
-def lsh_model(
-    corpus: DataFrame,
-    vector: str = "embedding",
-    bucket_length: float = BUCKET_LENGTH,
-    tables: int = TABLES,
-    seed: int = SEED,
-) -> BucketedRandomProjectionLSHModel:
-    """Random projections for Euclidean distance; fitting reads the dimension only."""
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="_vector",
-        outputCol="_hashes",
-        bucketLength=bucket_length,
-        numHashTables=tables,
-        seed=seed,
-    )
-    return lsh.fit(corpus.select(_as_vector(vector).alias("_vector")))
-
-
-def _as_vector(c: str) -> Column:
-    return array_to_vector(F.col(c).cast("array<double>"))
-
-
-
-def lsh_index(
-    df: DataFrame,
-    model: BucketedRandomProjectionLSHModel,
-    vector: str = "embedding",
-    name: str = "hashes",
-) -> DataFrame:
-    """Add one bucket number per hash table as ``array<bigint>``."""
-    hashed = model.transform(df.withColumn("_vector", _as_vector(vector)))
-    tables = model.getOrDefault("numHashTables")
-    # Each hash is a vector of length one.
-    buckets = [vector_to_array(F.col("_hashes")[i])[0].cast("bigint") for i in range(tables)]
-    return hashed.withColumn(name, F.array(*buckets)).drop("_vector", "_hashes")
-
-
-def knn_lsh(
-    indexed: DataFrame,
-    queries: DataFrame,
-    model: BucketedRandomProjectionLSHModel,
-    k: int = 10,
-    key: str = "vec_id",
-    vector: str = "embedding",
-    query_id: str = "query_id",
-    query_vector: str = "query_vector",
-    max_queries: int = MAX_QUERIES,
-) -> DataFrame:
-    """Approximate nearest neighbours: exact scores of the rows that share a bucket.
-
-    ``indexed`` comes from ``lsh_index``. A pair that meets in several tables is
-    scored in the first of them only, so no deduplication shuffle is needed. The
-    queries are broadcast, in passes of at most ``max_queries``, and the corpus
-    stays where it is: a crowded bucket is spread over the tasks that hold its rows.
-    """
-    rows = indexed.select(key, vector, "hashes", F.posexplode("hashes").alias("tbl", "bucket"))
-    same = F.zip_with("hashes", "q_hashes", lambda a, b: a == b)
-    first = F.array_position(same, F.lit(True)) - 1
-    score = F.round(dot(F.col(vector), F.col(query_vector)), SCORE_DECIMALS)
-
-    def one_pass(piece: DataFrame) -> DataFrame:
-        probes = lsh_index(piece, model, query_vector, "q_hashes").select(
-            query_id, query_vector, "q_hashes", F.posexplode("q_hashes").alias("tbl", "bucket")
-        )
-        scored = (
-            rows.join(F.broadcast(probes), ["tbl", "bucket"])
-            .filter(F.col("tbl") == first)
-            .select(query_id, key, score.alias("score"))
-        )
-        return _top_k(scored, query_id, key, k)
-
-    return _in_passes(queries.select(query_id, query_vector), query_id, max_queries, one_pass)

@@ -12,6 +12,7 @@ from pagevane.functions import segment as S
 from pagevane.functions import text as T
 from pagevane.functions import vectors as V
 from pagevane.operators import language as N
+from pagevane.operators import nearest as K
 from pagevane.operators import search as Q
 from pagevane.plans import catalog as C
 
@@ -249,7 +250,7 @@ def _knn_sql(condition: str) -> str:
       query AS (SELECT label AS query_id, list(m ORDER BY pos) AS v FROM centre GROUP BY label),
       scored AS (
         SELECT query_id, vec_id,
-          round(list_inner_product(embedding::DOUBLE[], v), {Q.SCORE_DECIMALS}) AS s
+          round(list_inner_product(embedding::DOUBLE[], v), {K.SCORE_DECIMALS}) AS s
         FROM embeddings, query WHERE {condition}),
       ranked AS (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS rank
@@ -277,7 +278,7 @@ def _bm25_sql() -> str:
       scored AS (
         SELECT query_id, page_id, round(sum(
           ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * {Q.K1 + 1}
-          / (tf + {Q.K1} * ({1 - Q.B} + {Q.B} * dl / avg_len))), {Q.SCORE_DECIMALS}) AS s
+          / (tf + {Q.K1} * ({1 - Q.B} + {Q.B} * dl / avg_len))), {K.SCORE_DECIMALS}) AS s
         FROM asked JOIN posting USING (term) JOIN frequency USING (term), stats
         GROUP BY query_id, page_id),
       ranked AS (
@@ -399,7 +400,7 @@ def oracle_sql() -> dict[str, str]:
           WITH query AS (SELECT arg_min(embedding, vec_id)::DOUBLE[] AS v FROM embeddings),
           scored AS (
             SELECT vec_id,
-              round(list_inner_product(embedding::DOUBLE[], v), {Q.SCORE_DECIMALS}) AS s
+              round(list_inner_product(embedding::DOUBLE[], v), {K.SCORE_DECIMALS}) AS s
             FROM embeddings, query)
           SELECT vec_id, {rounded('s', 'score')} FROM scored ORDER BY s DESC, vec_id
           LIMIT {C.K}""",

@@ -45,9 +45,18 @@ class Settings:
 
 
 def archive_pages(paths: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Response records of the archives in ``paths``; damage is marked in ``_error``."""
-    records = read_archives(paths, mode="PERMISSIVE", partitions=partitions)
-    return records.withColumnRenamed("error", ERROR)
+    """Response records of the archives in ``paths``.
+
+    Damaged archives, and manifest messages that could not be decoded, are rows
+    with ``_error`` set.
+    """
+    usable = paths.filter(F.col(ERROR).isNull()) if ERROR in paths.columns else paths
+    records = read_archives(usable, mode="PERMISSIVE", partitions=partitions)
+    pages = records.withColumnRenamed("error", ERROR)
+    if ERROR not in paths.columns:
+        return pages
+    rejected = paths.filter(F.col(ERROR).isNotNull()).select(F.col("value").alias("path"), ERROR)
+    return pages.unionByName(rejected, allowMissingColumns=True)
 
 
 def extract_step(
@@ -64,7 +73,7 @@ def extract_step(
     texts = extract_pages(pages, settings.lang, keep=damaged)
     if damaged is None:
         texts = require_fields(texts)
-    # Where the archive reader reported damage, its path is kept with the reason.
+    # Where something was rejected, its path (or message) is kept with the reason.
     place = [F.col("path")] if "path" in pages.columns else []
     rows = texts.select("url", "h1", "text", *place, ERROR)
     write_checked(rows, out, batch)

@@ -278,9 +278,9 @@ def read_archives(
 ) -> DataFrame:
     """Records of the archives that a manifest (batch or stream) names.
 
-    The paths are spread over ``partitions`` tasks (default: Spark's shuffle
-    setting), the archives never pass through the driver. Only records of
-    ``rec_type`` are decoded; ``None`` reads all.
+    The paths are spread over ``partitions`` tasks, one per path if not given (on a
+    stream, Spark's shuffle setting); the archives never pass through the driver.
+    Only records of ``rec_type`` are decoded; ``None`` reads all.
     """
     permissive = _is_permissive(mode)
     wanted = {rec_type} if rec_type else None
@@ -291,5 +291,7 @@ def read_archives(
                 yield from archive_batches(name, wanted, permissive)
 
     named = paths.select(path)
-    spread = named.repartition(partitions, path) if partitions else named.repartition(path)
+    if partitions is None and not paths.isStreaming:
+        partitions = max(1, named.count())
+    spread = named.repartition(partitions) if partitions else named.repartition(path)
     return spread.mapInArrow(scan, ARCHIVE_SCHEMA)

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -54,8 +55,7 @@ def extract_job(
     """Manifest messages to text messages; ``drain`` stops when the queue is empty."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        usable = batch.filter(F.col(ERROR).isNull()) if ERROR in batch.columns else batch
-        extract_step(archive_pages(usable), out, batch_id, settings, metrics)
+        extract_step(archive_pages(batch), out, batch_id, settings, metrics)
 
     return _start(manifest, "extract", step, checkpoint, drain, interval)
 
@@ -83,13 +83,15 @@ def drop_replays(stream: DataFrame, *keys: str, within: str = "1 hour") -> DataF
     Repeats inside an Arrow batch go first, in the task that read them, so a message
     that was sent very often does not crowd one state partition.
     """
-    keyed = stream.withColumn("_key", F.xxhash64(F.to_json(F.struct(*keys))))
+    keyed = stream.withColumn("_key", F.sha2(F.to_json(F.struct(*keys)), 256))
 
-    def locally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def locally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.drop_duplicates("_key")
+            names = batch.column("_key").to_numpy(zero_copy_only=False)
+            _, first = np.unique(names, return_index=True)
+            yield batch.take(pa.array(np.sort(first)))
 
-    fewer = keyed.mapInPandas(locally, keyed.schema)
+    fewer = keyed.mapInArrow(locally, keyed.schema)
     arrived = fewer.withColumn("_arrived", F.current_timestamp())
     once = arrived.withWatermark("_arrived", within).dropDuplicatesWithinWatermark(["_key"])
     return once.drop("_key", "_arrived")

@@ -80,6 +80,8 @@ def test_stage_chain_from_archives_to_index(spark, at, tmp_path):
             metrics=metrics, checkpoint=at("cp1"), drain=True,
         )
     )
+    aside = spark.read.parquet(checked_path(at("texts"), status="bad")).collect()
+    assert sorted(r._error for r in aside) == ["corrupt", "missing warc_url"]
     texts = stage_queue(spark, at("texts"), TEXT_SCHEMA)
     drain(vectorize_job(texts, at("vectors"), metrics=metrics, checkpoint=at("cp2"), drain=True))
     vectors = stage_queue(spark, at("vectors"), INDEX_SCHEMA)
