@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagevane.functions.text import let
 from pagevane.functions.vectors import dot
 from pagevane.session import cut_lineage
 
@@ -285,11 +286,17 @@ def lsh_index(
     2004). The column can be stored with the vectors.
     """
     hashed = model.transform(df.withColumn("_vector", _as_vector(vector)))
-    n_steps = model.getOrDefault("numHashTables")
+    tables = model.getOrDefault("numHashTables") // per_table
     # Each projection comes as a vector of length one.
-    steps = [vector_to_array(F.col("_hashes")[i])[0].cast("bigint") for i in range(n_steps)]
-    buckets = [F.xxhash64(*steps[i : i + per_table]) for i in range(0, n_steps, per_table)]
-    return hashed.withColumn(name, F.array(*buckets)).drop("_vector", "_hashes")
+    steps = F.transform("_hashes", lambda h: vector_to_array(h)[0].cast("bigint"))
+
+    def bucket(steps: Column, t: Column) -> Column:
+        return F.xxhash64(F.slice(steps, t * per_table + 1, F.lit(per_table)))
+
+    buckets = let(
+        steps, lambda s: F.transform(F.sequence(F.lit(0), F.lit(tables - 1)), lambda t: bucket(s, t))
+    )
+    return hashed.withColumn(name, buckets).drop("_vector", "_hashes")
 
 
 def knn_lsh(

@@ -246,6 +246,17 @@ def knn_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("score", _rounded("score"))
 
 
+def search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts nearest to a few query strings, by the vectors the index would hold."""
+    docs = op.embed_documents(_documents(spark, sf_dir).select("doc_id", "text"))
+    vectors = op.HashingEncoder()(list(FULL_TEXT.values())).tolist()
+    asked = spark.createDataFrame(
+        list(zip(FULL_TEXT, vectors)), "query_id string, query_vector array<double>"
+    )
+    found = op.knn_exact(docs, asked, K, key="doc_id")
+    return found.withColumn("score", _rounded("score"))
+
+
 def url_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _pages(spark, sf_dir)
     # The keywords looked up are the urls of the pages in the target language.
@@ -307,7 +318,10 @@ def metric_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     broken = F.substring(F.to_json(message), 1, 9)
     # Every user with an even number sends cut-off messages.
     value = F.when(F.col("user_id") % 2 == 0, broken).otherwise(F.to_json(message))
-    routed = op.route_metrics(table(spark, sf_dir, "events").select(value.alias("value")))
+    events = spread(
+        table(spark, sf_dir, "events").select("event_id", "event_type", "user_id"), "event_id"
+    )
+    routed = op.route_metrics(events.select(value.alias("value")))
     return routed.groupBy("collection", F.col("_error").alias("error")).agg(
         F.count("*").alias("n"),
         F.count_distinct("computer").alias("n_computers"),
@@ -357,6 +371,7 @@ QUERIES: dict[str, Query] = {
     "knn_single": knn_single,
     "knn_filtered": knn_filtered,
     "knn_lsh": knn_lsh,
+    "search_documents": search_documents,
     "url_lookup": url_lookup,
     "h1_postings": h1_postings,
     "h1_bm25": h1_bm25,

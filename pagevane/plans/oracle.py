@@ -233,6 +233,45 @@ def _cells_cte() -> str:
         FROM cell)"""
 
 
+def _embeddings_cte() -> str:
+    return f"""{_cells_cte()},
+      n AS (SELECT doc_id, count(*) AS n_segments FROM segment GROUP BY doc_id),
+      pooled AS (
+        SELECT doc_id, bucket, sum(weight) / any_value(n_segments) AS m
+        FROM unit JOIN n USING (doc_id) GROUP BY doc_id, bucket),
+      embedded AS (
+        SELECT doc_id, bucket AS pos, (m / greatest(
+          sqrt(sum(m * m) OVER (PARTITION BY doc_id)), 1e-12))::FLOAT AS m
+        FROM pooled)"""
+
+
+def _search_sql() -> str:
+    h = "('0x' || substr(md5(token), 1, 9))::BIGINT"
+    asked = ", ".join(
+        f"({q(name)}, {q(t)})" for name, text in C.FULL_TEXT.items() for t in text.split()
+    )
+    return f"""
+      WITH RECURSIVE {_embeddings_cte()},
+      asked(query_id, token) AS (VALUES {asked}),
+      asked_cell AS (
+        SELECT query_id, (({h}) >> 4) % {V.DIM} AS pos, sum(1 - 2 * (({h}) % 2)) AS w
+        FROM asked GROUP BY ALL),
+      asked_unit AS (
+        SELECT query_id, pos, w / sqrt(sum(w * w) OVER (PARTITION BY query_id)) AS w
+        FROM asked_cell),
+      met AS (
+        SELECT query_id, doc_id, sum(m::DOUBLE * w) AS s
+        FROM embedded JOIN asked_unit USING (pos) GROUP BY query_id, doc_id),
+      scored AS (
+        SELECT query_id, n.doc_id, round(coalesce(s, 0.0), {K.SCORE_DECIMALS}) AS s
+        FROM (SELECT DISTINCT query_id FROM asked) CROSS JOIN n
+        LEFT JOIN met USING (query_id, doc_id)),
+      ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, doc_id) AS rank
+        FROM scored)
+      SELECT query_id, doc_id, {rounded('s', 'score')}, rank FROM ranked WHERE rank <= {C.K}"""
+
+
 def _pooled_cte() -> str:
     return """
       element AS (
@@ -381,17 +420,10 @@ def oracle_sql() -> dict[str, str]:
           out AS (SELECT label, pos, {rounded('m', 'value')} FROM centre)
           SELECT * FROM out WHERE value <> 0""",
         "embed_documents": f"""
-          WITH RECURSIVE {_cells_cte()},
-          n AS (SELECT doc_id, count(*) AS n_segments FROM segment GROUP BY doc_id),
-          pooled AS (
-            SELECT doc_id, bucket, sum(weight) / any_value(n_segments) AS m
-            FROM unit JOIN n USING (doc_id) GROUP BY doc_id, bucket),
-          scaled AS (
-            SELECT doc_id, bucket AS pos,
-              m / greatest(sqrt(sum(m * m) OVER (PARTITION BY doc_id)), 1e-12) AS m
-            FROM pooled),
-          out AS (SELECT doc_id, pos, {rounded('m::FLOAT', 'value')} FROM scaled)
+          WITH RECURSIVE {_embeddings_cte()},
+          out AS (SELECT doc_id, pos, {rounded('m', 'value')} FROM embedded)
           SELECT * FROM out WHERE value <> 0""",
+        "search_documents": _search_sql(),
         "dim_check": "SELECT vec_id, len(embedding) = 64 AS dim_ok FROM embeddings",
         "index_batches": _batches_sql(),
         "knn_exact": _knn_sql("true"),

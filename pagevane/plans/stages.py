@@ -34,13 +34,15 @@ from pagevane.sources.warc import read_archives
 
 @dataclass(frozen=True)
 class Settings:
-    """Parameters of the pipeline; the defaults are those of the reference setup."""
+    """Parameters of the pipeline."""
 
     lang: str = TARGET_LANG
     max_words: int = MAX_WORDS
     overlap_sentences: int = OVERLAP_SENTENCES
     dim: int = DIM
     encoder: EncoderFactory = HashingEncoder
+    # Tasks to spread a heavy encoder over; None keeps the splits of the input.
+    encode_partitions: int | None = None
     computer: str = "spark"
 
 
@@ -76,7 +78,9 @@ def extract_step(
     # Where something was rejected, its path (or message) is kept with the reason.
     place = [F.col("path")] if "path" in pages.columns else []
     rows = texts.select("url", "h1", "text", *place, ERROR)
-    write_checked(rows, out, batch)
+    # Few pages pass the language filter; rebalancing turns the many near-empty
+    # outputs of the scan into files of even size.
+    write_checked(rows.hint("rebalance"), out, batch)
     if trace is not None:
         written = pages.sparkSession.read.parquet(batch_path(out, batch))
         write_trace(written.filter("status = 'ok'").select("url", "h1", "text"), trace)
@@ -105,6 +109,8 @@ def embed_step(
     checked = texts if ERROR in before else require_fields(texts, "url", "h1", "text")
     # A rejected message must not cost an encoder call.
     usable = checked.withColumn("text", F.when(F.col(ERROR).isNull(), F.col("text")))
+    if settings.encode_partitions:
+        usable = usable.repartition(settings.encode_partitions)
     vectors = dim_check(
         embed_documents(
             usable, "text", settings.encoder, settings.max_words, settings.overlap_sentences
