@@ -18,11 +18,10 @@ from pyspark.sql import functions as F
 
 from pagevane.functions.text import col, collapse_spaces, let
 
-# Elements whose content is never rendered as text. An unclosed
-# one runs to the end of the document, as in an HTML parser.
+# Elements whose content is never rendered as text.
 RAW_ELEMENTS = ("script", "style", "title", "textarea", "template", "iframe")
 # Page furniture around an article.
-CHROME_ELEMENTS = ("nav", "footer", "aside", "form", "button", "select", "noscript", "svg")
+CHROME_ELEMENTS = ("nav", "footer", "aside", "select", "noscript")
 # Elements that start a new block of text.
 BLOCK_ELEMENTS = (
     "address article aside blockquote body center dd details div dl dt fieldset figcaption "
@@ -39,15 +38,19 @@ NOISE_CLASSES = (
     "popup promo related share sidebar social sponsor sponsored widget"
 ).split()
 
+
+
+def _elements(names: tuple[str, ...]) -> str:
+    return "|".join(rf"{t}\b[^>]*>.*?(?:</{t}\s*>|\z)" for t in names)
+
+
 # One alternation behind one "<", so the text is scanned once and whichever
 # element opens first wins (a tag inside a comment or a script string is not seen
-# as markup).
-_RAW = r"!--.*?(?:-->|\z)|" + "|".join(
-    rf"{t}\b[^>]*>.*?(?:</{t}\s*>|\z)" for t in RAW_ELEMENTS
-)
-_CHROME = "|".join(rf"{t}\b[^>]*>.*?</{t}\s*>" for t in CHROME_ELEMENTS)
+# as markup). An unclosed element runs to the end, as in an HTML parser; an opening
+# tag therefore always matches, and the scan is linear on broken pages too.
+_RAW = rf"!--.*?(?:-->|\z)|{_elements(RAW_ELEMENTS)}"
 RAW_PATTERN = f"(?is)<(?:{_RAW})"
-DROP_PATTERN = f"(?is)<(?:{_RAW}|{_CHROME})"
+DROP_PATTERN = f"(?is)<(?:{_RAW}|{_elements(CHROME_ELEMENTS)})"
 TAG_PATTERN = r"</?[a-zA-Z!?][^>]*>"
 BLOCK_PATTERN = rf"(?i)(</?(?:{'|'.join(BLOCK_ELEMENTS)})\b[^>]*>)"
 CONTENT_PATTERN = rf"(?i)^</?(?:{'|'.join(CONTENT_ELEMENTS)})\b"
@@ -56,19 +59,18 @@ NOISE_PATTERN = (
     + "|".join(NOISE_CLASSES)
     + r")\b"
 )
-ANCHOR_PATTERN = r"(?is)<a\b[^>]*>(.*?)</a\s*>"
-H1_PATTERN = r"(?is)<h1\b[^>]*>(.*?)</h1\s*>"
-ENTITY_PATTERN = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"
-# The spellings of the ampersand itself, decoded last so that
-# ``&amp;lt;`` becomes ``&lt;`` and not ``<``.
-AMP_ENTITIES = ("amp", "#38", "#x26", "#X26")
+ANCHOR_START = r"(?i)<a\b"
+ANCHOR_REST = r"(?is)</a\b.*"
+# A heading ends at the next heading tag, opening or closing.
+H1_PATTERN = r"(?is)<h1\b[^>]*>(.*?)(?:</?h[1-6]\b|\z)"
+ENTITY_PATTERN = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"
 BLOCK_MARK = "\u0001"
 MIN_BLOCK_WORDS = 10
 
 
 def named_entities() -> dict[str, str]:
     """Entity name -> character, from the standard library's table."""
-    table = {name: chr(cp) for name, cp in name2codepoint.items() if name != "amp"}
+    table = {name: chr(cp) for name, cp in name2codepoint.items()}
     table["apos"] = "'"
     return table
 
@@ -96,23 +98,26 @@ def _decode_entity(entity: Column) -> Column:
 
 
 def unescape(c: Column | str) -> Column:
-    """Replace named and numeric character references; unknown ones stay."""
+    """Replace named and numeric character references, each once; unknown ones stay.
 
-    def decode(text: Column) -> Column:
-        found = F.array_distinct(F.regexp_extract_all(text, F.lit(ENTITY_PATTERN), F.lit(1)))
-        rest = F.filter(found, lambda e: ~e.isin(*AMP_ENTITIES))
-        out = F.aggregate(
-            rest,
-            text,
-            lambda acc, e: F.coalesce(
-                F.replace(acc, F.concat(F.lit("&"), e, F.lit(";")), _decode_entity(e)), acc
-            ),
-        )
-        for amp in AMP_ENTITIES:
-            out = F.replace(out, F.lit(f"&{amp};"), F.lit("&"))
-        return out
+    The text is cut at the ampersands and every piece decoded by itself, so the
+    cost is linear however many different references a page uses.
+    """
+
+    def decode_piece(piece: Column) -> Column:
+        entity = F.regexp_extract(piece, ENTITY_PATTERN, 1)
+        rest = F.substr(piece, F.length(entity) + 2)
+        decoded = F.when(entity != "", _decode_entity(entity))
+        return F.coalesce(F.concat(decoded, rest), F.concat(F.lit("&"), piece))
+
+    def decode(pieces: Column) -> Column:
+        after = F.slice(pieces, 2, F.size(pieces))
+        return F.concat(pieces[0], F.array_join(F.transform(after, decode_piece), ""))
 
-    return let(col(c), lambda t: F.when(F.contains(t, F.lit("&")), decode(t)).otherwise(t))
+    def if_any(text: Column) -> Column:
+        return F.when(F.contains(text, F.lit("&")), let(F.split(text, "&"), decode)).otherwise(text)
+
+    return let(col(c), if_any)
 
 
 def _drop_tags(c: Column, by: str) -> Column:
@@ -132,7 +137,11 @@ def extract_text(html: Column | str) -> Column:
 
 def _keep_block(block: Column, text: Column, min_words: int) -> Column:
     words = _n_words(text)
-    anchors = F.regexp_extract_all(block, F.lit(ANCHOR_PATTERN), F.lit(1))
+    pieces = F.split(block, ANCHOR_START)
+    anchors = F.transform(
+        F.slice(pieces, 2, F.size(pieces)),
+        lambda p: F.concat(F.lit("<a"), F.regexp_replace(p, ANCHOR_REST, "")),
+    )
     linked = _n_words(collapse_spaces(_drop_tags(F.array_join(anchors, " "), " ")))
     return (
         (words > 0)

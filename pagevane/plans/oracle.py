@@ -49,23 +49,18 @@ def tokens(x: str) -> str:
 
 def unescape(x: str) -> str:
     named = ", ".join(f"{q(k)}: {q(v)}" for k, v in sorted(H.named_entities().items()))
+    # Cut at the ampersands; ``e`` is the reference a piece begins with, if any.
+    e = f"regexp_extract(p, {q(H.ENTITY_PATTERN)}, 1)"
     code = (
-        "CASE WHEN lower(e[2]) = 'x' THEN TRY_CAST('0x' || e[3:] AS BIGINT) "
-        "ELSE TRY_CAST(e[2:] AS BIGINT) END"
+        f"CASE WHEN lower({e}[2]) = 'x' THEN TRY_CAST('0x' || {e}[3:] AS BIGINT) "
+        f"ELSE TRY_CAST({e}[2:] AS BIGINT) END"
     )
     valid = f"(({code}) BETWEEN 1 AND 55295 OR ({code}) BETWEEN 57344 AND 1114111)"
     numeric = f"CASE WHEN {valid} THEN chr(({code})::INTEGER) END"
-    decoded = f"CASE WHEN e[1] = '#' THEN {numeric} ELSE MAP {{{named}}}[e] END"
-    found = (
-        f"list_filter(list_distinct(regexp_extract_all({x}, {q(H.ENTITY_PATTERN)}, 1)), "
-        f"lambda e: e NOT IN {in_list(H.AMP_ENTITIES)})"
-    )
-    out = (
-        f"list_reduce(list_prepend({x}, {found}), "
-        f"lambda a, e: replace(a, '&' || e || ';', coalesce({decoded}, '&' || e || ';')))"
-    )
-    for amp in H.AMP_ENTITIES:
-        out = f"replace({out}, {q('&' + amp + ';')}, '&')"
+    decoded = f"CASE WHEN {e}[1] = '#' THEN {numeric} ELSE MAP {{{named}}}[{e}] END"
+    piece = f"coalesce({decoded} || p[length({e}) + 2:], '&' || p)"
+    pieces = f"string_split({x}, '&')"
+    out = f"{pieces}[1] || array_to_string(list_transform({pieces}[2:], lambda p: {piece}), '')"
     return f"CASE WHEN contains({x}, '&') THEN {out} ELSE {x} END"
 
 
@@ -79,9 +74,11 @@ def rounded(x: str, as_: str) -> str:
 def _blocks_cte() -> str:
     drop = f"regexp_replace(html, {q(H.DROP_PATTERN)}, ' ', 'g')"
     marked = f"regexp_replace({drop}, {q(H.BLOCK_PATTERN)}, chr(1) || '\\1', 'g')"
-    linked = words(
-        drop_tags(f"array_to_string(regexp_extract_all(b, {q(H.ANCHOR_PATTERN)}, 1), ' ')", " ")
+    anchors = (
+        f"list_transform(regexp_split_to_array(b, {q(H.ANCHOR_START)})[2:], "
+        f"lambda p: '<a' || regexp_replace(p, {q(H.ANCHOR_REST)}, ''))"
     )
+    linked = words(drop_tags(f"array_to_string({anchors}, ' ')", " "))
     return f"""
       block AS (
         SELECT page_id, unnest(bs) AS b, generate_subscripts(bs, 1) AS pos

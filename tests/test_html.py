@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 
 from pagevane.functions import extract_text, first_h1, main_text, unescape
@@ -20,6 +22,8 @@ LONG = "one two three four five six seven eight nine ten eleven."
         ("<!-- <h1>no</h1> --><h1>yes</h1>", "yes"),
         ("<script>var s = '<h1>no</h1>';</script><h1>yes</h1>", "yes"),
         ("<h10>no</h10>", ""),
+        ("<h1>open<h2>next</h2>", "open"),
+        ("<h1>never closed", "never closed"),
         ("<h1>two\nlines</h1>", "two\nlines"),
     ],
 )
@@ -31,6 +35,7 @@ def test_first_h1(one, html, expected):
     "text, expected",
     [
         ("&amp;lt;&lt;", "&lt;<"),
+        ("&amp;amp;&&lt;x;", "&amp;&<x;"),
         ("&#38;gt;", "&gt;"),
         ("&nope; &", "&nope; &"),
         ("&#128512;&#x1F600;", "\U0001f600\U0001f600"),
@@ -73,6 +78,8 @@ def test_extract_text(one, html, expected):
         ('<p><a href="/a">one two</a> three</p><p>kept</p>', "kept"),
         (f'<p>{LONG} <a href="/a">link</a></p>', f"{LONG} link"),
         ("<ul><li>item</li></ul>", "item"),
+        ('<p><a href="/a">one <a href="/b">two</p><p>kept</p>', "kept"),
+        ("<nav>never closed <p>text</p>", ""),
         ("<p>unclosed<p>next", "unclosed\nnext"),
         ("", ""),
     ],
@@ -81,6 +88,26 @@ def test_main_text(one, html, expected):
     assert one(main_text, html) == expected
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<nav><p>un</p>" * 40_000,
+        "<h1>" * 100_000,
+        '<a href="x">un ' * 50_000,
+        "<" * 500_000,
+        "&" * 500_000,
+        "".join(f"&#{i};" for i in range(1000, 6000)) * 20,
+        "<!--" + "x" * 1_000_000,
+    ],
+    ids=["nav", "h1", "a", "lt", "amp", "entities", "comment"],
+)
+def test_broken_pages_take_linear_time(spark, html):
+    df = spark.createDataFrame([(html,)], "c string")
+    started = time.monotonic()
+    df.select(extract_text("c"), main_text("c"), first_h1("c")).collect()
+    assert time.monotonic() - started < 30
+
+
 def test_pages_lose_furniture_and_keep_article(spark):
     pages = table(spark, "pages", "sf0.01").select("html", main_text("html").alias("text"))
     for html, text in pages.collect():
