@@ -9,14 +9,16 @@ Rules that hold for every operator here:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import atexit
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagevane.session import cut_lineage
+from pagevane.session import shared_dir
 
 # Text bytes that one vectorised step works on; a longer single text is one step.
 STEP_BYTES = 1 << 21
@@ -54,8 +56,111 @@ def only(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """``df`` stored in the shared folder: read several times, made once, no lineage."""
-    return cut_lineage(df)
+    """``df`` stored as a table in the shared folder, and read again.
+
+    What is read several times is made once, and its lineage ends there: the loss of an
+    executor costs no more than the tasks that it ran. The folder is removed with the session's
+    end (see ``_remove_at_end``).
+    """
+    spark = df.sparkSession
+    path = f"{_work_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_work: dict[str, str] = {}
+
+
+def _work_folder(spark: SparkSession) -> str:
+    app = spark.sparkContext.applicationId
+    if app not in _work:
+        _work[app] = f"{shared_dir(spark).rstrip('/')}/pagevane-{app}-{uuid.uuid4().hex[:8]}"
+        atexit.register(_remove_at_end, spark, _work[app])
+    return _work[app]
+
+
+def _remove_at_end(spark: SparkSession, path: str) -> None:
+    """Remove the session's tables, if the session is still there when Python ends."""
+    if spark.sparkContext._jsc is None:
+        return
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+# --- arrays of a fixed size, gathered from all rows -----------------------------------
+
+BLOCKS = 64
+
+
+def gathered(
+    df: DataFrame, size: int, dtype: str, fill: Callable[[np.ndarray, pa.RecordBatch], None]
+) -> np.ndarray:
+    """An array of ``size`` items: each task fills its own, and they are added up (bits: or-ed).
+
+    ``size`` is a parameter, whatever the number of rows, and so bounds what reaches the driver.
+    The tasks' arrays meet in blocks, as a stream, so that no task holds more than one array.
+    """
+    wide = size // BLOCKS
+    merge = np.bitwise_or if dtype == "uint8" else np.add
+
+    def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = np.zeros(size, dtype)
+        for batch in batches:
+            fill(items, batch)
+        parts = [(k, items[k * wide : (k + 1) * wide]) for k in range(BLOCKS)]
+        parts = [(k, x.tobytes()) for k, x in parts if x.any()]
+        yield _blocks(parts)
+
+    def all_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                part = np.frombuffer(x, dtype)
+                items[k] = merge(items[k], part) if k in items else part
+        yield _blocks([(k, x.tobytes()) for k, x in items.items()])
+
+    schema = "block int, items binary"
+    parts = df.mapInArrow(one, schema).repartition(BLOCKS, "block").mapInArrow(all_, schema)
+    out = np.zeros(size, dtype)
+    for row in parts.collect():
+        out[row["block"] * wide : (row["block"] + 1) * wide] = np.frombuffer(row["items"], dtype)
+    return out
+
+
+def _blocks(parts: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    numbers = pa.array([k for k, _ in parts], pa.int32())
+    return pa.RecordBatch.from_arrays([numbers, pa.array([x for _, x in parts], pa.binary())], ["block", "items"])
+
+
+BLOOM_BITS = 1 << 26
+
+
+def bloom(df: DataFrame) -> np.ndarray:
+    """A Bloom filter of fixed size over the one column (a long) of ``df``.
+
+    It only saves work: what passes it is joined exactly afterwards. When it fills up, more
+    passes, and nothing is lost.
+    """
+
+    def fill(bits: np.ndarray, batch: pa.RecordBatch) -> None:
+        for at in _bloom_places(batch.column(0).to_numpy(zero_copy_only=False)):
+            np.bitwise_or.at(bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+
+    return gathered(df, BLOOM_BITS // 8, "uint8", fill)
+
+
+def in_bloom(bits: np.ndarray, items: np.ndarray) -> np.ndarray:
+    found = np.ones(len(items), bool)
+    for at in _bloom_places(items):
+        found &= (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return found
+
+
+def _bloom_places(items: np.ndarray) -> list[np.ndarray]:
+    x = mixed(np.ascontiguousarray(items).view(np.uint64))
+    mask = np.uint64(BLOOM_BITS - 1)
+    return [x & mask, (x >> np.uint64(26)) & mask, mixed(x ^ _FACTORS[200]) & mask]
 
 
 # --- batches of texts ---------------------------------------------------------------

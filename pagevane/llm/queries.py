@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pagevane.session import ship_package
 
-from . import bpe, packing
+from . import bpe, jaccard, packing
 from .common import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,9 +34,14 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path(TOKENIZER), CAPACITY)
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
 }
 
 ORACLE_SQL: dict[str, str] = {}
