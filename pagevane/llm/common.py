@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -157,6 +158,17 @@ def in_bloom(bits: np.ndarray, items: np.ndarray) -> np.ndarray:
     return found
 
 
+def likely_in(bits: Broadcast, column: str | Column) -> Column:
+    """Whether a long is in a broadcast Bloom filter, or seems to be; null is not."""
+
+    @F.arrow_udf("boolean")
+    def likely(items: pa.Array) -> pa.Array:
+        found = in_bloom(bits.value, items.fill_null(0).to_numpy(zero_copy_only=False))
+        return pa.array(found & items.is_valid().to_numpy(zero_copy_only=False))
+
+    return likely(F.col(column) if isinstance(column, str) else column)
+
+
 def _bloom_places(items: np.ndarray) -> list[np.ndarray]:
     x = mixed(np.ascontiguousarray(items).view(np.uint64))
     mask = np.uint64(BLOOM_BITS - 1)

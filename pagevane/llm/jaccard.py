@@ -33,6 +33,7 @@ from .common import (
     bloom,
     gathered,
     in_bloom,
+    likely_in,
     mixed,
     signed,
     small_batches,
@@ -291,15 +292,11 @@ def _sets_of(rows: DataFrame, active: DataFrame, words: int) -> DataFrame:
     """``node, shingles`` of the documents that share a prefix shingle with another class."""
     bits = rows.sparkSession.sparkContext.broadcast(bloom(active))
 
-    @F.arrow_udf("boolean")
-    def likely(ids: pa.Array) -> pa.Array:
-        return pa.array(in_bloom(bits.value, ids.to_numpy(zero_copy_only=False).astype(np.int64)))
-
     @F.arrow_udf("array<long>")
     def shingles(texts: pa.Array) -> pa.Array:
         return _lists(list(shingle_sets(texts, words)))
 
-    some = rows.filter("id is not null").filter(likely("id"))
+    some = rows.filter(likely_in(bits, "id"))
     some = some.join(active.withColumnRenamed("node", "id"), "id", "left_semi")
     some = some.dropDuplicates(["id", "text"])
     return written(some.select(F.col("id").alias("node"), shingles("text").alias("shingles")))

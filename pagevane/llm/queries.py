@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pagevane.session import ship_package
 
-from . import bpe, jaccard, packing
+from . import bpe, jaccard, packing, substrings
 from .common import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,10 +38,15 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_documents(spark, sf_dir))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removal_digest(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
