@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pagevane.session import ship_package
 
-from . import bpe, jaccard, packing, substrings
+from . import bpe, fingerprints, jaccard, packing, substrings
 from .common import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_documents(spark, sf_dir))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(_documents(spark, sf_dir))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removal_digest(_documents(spark, sf_dir))
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Query] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op8_fingerprints": op8_fingerprints,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
