@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pagevane.session import ship_package
 
-from . import bpe, fingerprints, jaccard, packing, substrings
+from . import bpe, fingerprints, jaccard, lines, packing, substrings
 from .common import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path(TOKENIZER), CAPACITY)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_digest(_documents(spark, sf_dir))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_documents(spark, sf_dir))
 
@@ -49,9 +53,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_line_dedup": op4_line_dedup,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op8_fingerprints": op8_fingerprints,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": lines.SQL,
+}
