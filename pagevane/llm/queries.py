@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pagevane.session import ship_package
 
-from . import bpe, fingerprints, jaccard, lines, packing, substrings
+from . import bpe, fingerprints, jaccard, lines, near_vectors, packing, substrings
 from .common import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,9 +18,13 @@ TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 2048
 
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _prepare(spark: SparkSession) -> None:
     ship_package(spark)
     small_batches(spark)
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _prepare(spark)
     return table(spark, sf_dir, "documents")
 
 
@@ -38,6 +42,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digest(_documents(spark, sf_dir))
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _prepare(spark)
+    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_documents(spark, sf_dir))
 
@@ -54,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_line_dedup": op4_line_dedup,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op8_fingerprints": op8_fingerprints,
     "op10_substring_dedup": op10_substring_dedup,
