@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pagevane.session import ship_package
 
-from . import bpe, fingerprints, jaccard, lines, near_vectors, packing, substrings
+from . import bpe, fingerprints, jaccard, lines, near_vectors, packing, personal, substrings
 from .common import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,10 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_documents(spark, sf_dir))
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.span_digest(_documents(spark, sf_dir))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(_documents(spark, sf_dir))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op7_personal_data": op7_personal_data,
     "op8_fingerprints": op8_fingerprints,
     "op10_substring_dedup": op10_substring_dedup,
 }
