@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pagevane.session import ship_package
 
-from . import bpe, fingerprints, jaccard, lines, near_vectors, packing, personal, substrings
+from . import bpe, fingerprints, jaccard, licenses, lines, near_vectors, packing, personal, substrings
 from .common import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +60,11 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(_documents(spark, sf_dir))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(_documents(spark, sf_dir))
+    return found.select("doc_id", F.array_join("licenses", ",").alias("licenses"), "evidence")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removal_digest(_documents(spark, sf_dir))
 
@@ -71,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_personal_data": op7_personal_data,
     "op8_fingerprints": op8_fingerprints,
+    "op9_license_scan": op9_license_scan,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
