@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
@@ -38,6 +39,7 @@ class MergeReplay:
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
         self.cache: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         self.pairs: dict[tuple[int, int], int | None] = {}
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
@@ -55,49 +57,62 @@ class MergeReplay:
         if len(self.cache) + len(new) > CACHE_UNITS:
             self.cache.clear()
             new = list(units)
-        cut = [[p.encode("utf-8", "surrogatepass") for p in self.pattern.findall(u)] for u in new]
-        pieces = {p: None for of in cut for p in of}
-        ids = self.replay(list(pieces))
+        cut = list(map(self.pattern.findall, new))
+        pieces = {p for of in cut for p in of}
+        unknown = [p for p in pieces if p not in self.pieces]
+        if len(self.pieces) + len(unknown) > CACHE_UNITS:
+            self.pieces.clear()
+            unknown = list(pieces)
+        ids = self.replay([p.encode() for p in unknown])
+        self.pieces.update(zip(unknown, ids))
         for unit, of in zip(new, cut):
-            self.cache[unit] = b"".join(map(ids.__getitem__, of))
+            self.cache[unit] = b"".join(map(self.pieces.__getitem__, of))
 
-    def replay(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def replay(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word after all merges, made in rank order over all words at once."""
-        ranks, found = self.ranks, {}
-        known = [w for w in words if w in ranks]
-        found.update((w, ranks[w].to_bytes(4, "little")) for w in known)
-        words = [w for w in words if w not in ranks]
-        # One array of tokens for all words, as a chain: -1 ends a word, None is merged away.
+        ranks, tokens, pairs = self.ranks, self.tokens, self.pairs
+        if len(pairs) > 4 * CACHE_UNITS:
+            pairs.clear()
         single = [ranks[bytes([b])] for b in range(256)]
+        # One array of tokens for all words, as a chain: -1 ends a word, -2 is merged away.
         token: list[int] = [-1]
         begins = []
         for w in words:
             begins.append(len(token))
-            token.extend([single[b] for b in w])
+            if w in ranks:
+                token.append(ranks[w])
+            else:
+                token += [single[b] for b in w]
             token.append(-1)
         right = list(range(1, len(token) + 1))
         left = list(range(-1, len(token) - 1))
-        joined = self._joined
+
+        def joined(a: int, b: int) -> int:
+            """Rank of the token that the bytes of both make together, or -1."""
+            if a < 0 or b < 0:
+                return -1
+            rank = pairs[a, b] = ranks.get(tokens[a] + tokens[b], -1)
+            return rank
+
         index: dict[int, list[int]] = {}
-        for i in range(1, len(token) - 1):
-            rank = joined(token[i], token[i + 1])
-            if rank is not None:
-                index.setdefault(rank, []).append(i)
+        for i, pair in enumerate(zip(token, token[1:])):
+            rank = pairs[pair] if pair in pairs else joined(*pair)
+            if rank >= 0:
+                if rank in index:
+                    index[rank].append(i)
+                else:
+                    index[rank] = [i]
         queue = list(index)
         heapq.heapify(queue)
         while queue:
             rank = heapq.heappop(queue)
-            places = index.pop(rank, None)
-            if places is None:
-                continue
+            places = index.pop(rank)
             places.sort()
             held = -1  # up to here, a lower rank of the same word comes first
-            for n, i in enumerate(places):
+            for i in places:
                 a = token[i]
-                if a is None or a < 0:
-                    continue
                 j = right[i]
-                if joined(a, token[j]) != rank:
+                if a < 0 or pairs.get((a, token[j]), -1) != rank:
                     continue
                 if i < held:
                     if rank not in index:
@@ -106,41 +121,34 @@ class MergeReplay:
                     index[rank].append(i)
                     continue
                 k = right[j]
-                token[i], token[j] = rank, None
+                token[i], token[j] = rank, -2
                 right[i], left[k] = k, i
-                for at, pair in ((left[i], (token[left[i]], rank)), (i, (rank, token[k]))):
-                    low = joined(*pair)
-                    if low is not None:
-                        if low not in index:
-                            index[low] = []
+                h = left[i]
+                for at, pair in ((h, (token[h], rank)), (i, (rank, token[k]))):
+                    low = pairs[pair] if pair in pairs else joined(*pair)
+                    if low >= 0:
+                        if low in index:
+                            index[low].append(at)
+                        else:
+                            index[low] = [at]
                             heapq.heappush(queue, low)
-                        index[low].append(at)
                         if low < rank:
                             held = token.index(-1, i)
-        for w, i in zip(words, begins):
+        found = []
+        for i in begins:
             ids = []
             while token[i] != -1:
                 ids.append(token[i])
                 i = right[i]
-            found[w] = np.array(ids, "<u4").tobytes()
+            found.append(array("I", ids).tobytes())
         return found
 
-    def _joined(self, a: int, b: int) -> int | None:
-        """Rank of the token that the bytes of ``a`` and ``b`` make together."""
-        if a < 0 or b < 0:
-            return None
-        try:
-            return self.pairs[a, b]
-        except KeyError:
-            if len(self.pairs) > 4 * CACHE_UNITS:
-                self.pairs.clear()
-            rank = self.pairs[a, b] = self.ranks.get(self.tokens[a] + self.tokens[b])
-            return rank
-
-
 def _units(text: str) -> list[str]:
     """``text`` cut before each single space that stands between two other characters."""
-    first, *rest = text.split(" ")
+    chunks = text.split(" ")
+    if "" not in chunks and list(map(str.strip, chunks)) == chunks:
+        return [chunks[0], *map(" ".__add__, chunks[1:])]
+    first, *rest = chunks
     units = [first]
     for chunk in rest:
         before = units[-1]
