@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pagevane.session import ship_package
 
-from . import bpe, fingerprints, jaccard, licenses, lines, near_vectors, packing, personal, substrings
+from . import bpe, fingerprints, jaccard, licenses, lines, near_vectors, packing, personal, substrings, toxicity
 from .common import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return toxicity.scored(docs, table(spark, sf_dir, "labels"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     return bpe.encode_digest(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
@@ -70,6 +75,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_line_dedup": op4_line_dedup,
