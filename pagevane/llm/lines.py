@@ -77,13 +77,18 @@ def without_boilerplate(
     site: str = "source",
     min_sites: int = MIN_SITES,
 ) -> DataFrame:
-    """``id, twin, n_lines, n_removed, kept`` of each row; ``kept`` is the text that stays.
+    """``row, n_lines, n_removed, kept``: each row of ``docs`` as a struct, and the text that stays.
 
     Kept lines are joined by newlines as they were. Null text: empty, one blank line. Blank
     lines stay. Rows with a null id lose and cause nothing. Rows of one id are told apart by
     their text (``twin`` is its hash); equal rows lose the same lines.
     """
-    rows = docs.select(docs[id].alias("id"), text_of(docs[text]).alias("text"), docs[site].alias("site"))
+    rows = docs.select(
+        F.struct(*(docs[c] for c in docs.columns)).alias("row"),
+        docs[id].alias("id"),
+        text_of(docs[text]).alias("text"),
+        docs[site].alias("site"),
+    )
     rows = rows.withColumn("twin", F.xxhash64("text"))
     lines = written(frequent(line_rows(rows.filter("id is not null")), min_sites))
     known = _spread_over_salts(written(boilerplate(lines, min_sites)).select("k1", "k2", "first"))
@@ -96,8 +101,7 @@ def without_boilerplate(
         F.array_join(F.transform(places, lambda i: F.get(F.col("lines"), i)), "\n")
     )
     return both.withColumn("lines", split).select(
-        F.col("id").alias(id),
-        "twin",
+        "row",
         F.size("lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
         kept.alias("kept"),
@@ -107,7 +111,7 @@ def without_boilerplate(
 def line_digest(docs: DataFrame, id: str = "doc_id", text: str = "text", site: str = "source") -> DataFrame:
     """``id, n_lines, n_removed, kept_sha256`` of each row (see ``without_boilerplate``)."""
     rows = without_boilerplate(docs, id, text, site)
-    return rows.select(id, "n_lines", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+    return rows.select(F.col("row")[id].alias(id), "n_lines", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
 # The same rows in DuckDB.
