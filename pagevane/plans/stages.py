@@ -138,16 +138,18 @@ def index_step(
     settings: Settings = Settings(),
     metrics: str | None = None,
 ) -> None:
-    """Append embeddings to the index; the batch counts as done once it is written."""
+    """Append embeddings to the index; the batch counts as done once it is written.
+
+    ``batch`` names the load and must be unique to the run; the same name again is a replay and
+    replaces its load. What can't be indexed is set aside (see ``append_index``).
+    """
     spark = vectors.sparkSession
     started = time.monotonic()
     create_index(spark, index, settings.dim)
     if index_dim(spark, index) != settings.dim:
         raise ValueError(f"index has dimension {index_dim(spark, index)}, not {settings.dim}")
-    append_index(vectors, index, batch)
+    written = append_index(vectors, index, batch)
     spent = time.monotonic() - started
-    # Row counts come from the file footers.
-    written = spark.read.parquet(f"{index.rstrip('/')}/load={batch}").count()
     emit_metric(
         spark, metrics, batch, step="index_batch_async", batchsize=written, batch_time=spent,
         time_rabbitmq_connection=0.0, time_es_connection=0.0, machine=settings.computer,
@@ -166,14 +168,15 @@ def build_index(
     pages: DataFrame,
     index: str,
     work: str,
-    batch: str | int = 0,
+    batch: str | int,
     settings: Settings = Settings(),
     metrics: str | None = None,
 ) -> DataFrame:
     """Pages (or archive records) to the index in one call; returns the indexed load.
 
-    The stages meet in tables under ``work``, so a failed run resumes from the last
-    whole stage's files and an executor loss never repeats an earlier stage.
+    ``batch`` is the name of this load, another one for each run. The stages meet in tables
+    under ``work``, so that the loss of an executor never repeats an earlier stage; a run that
+    failed is run again as a whole, under the same name.
     """
     texts, vectors = f"{work}/texts", f"{work}/vectors"
     extract_step(pages, texts, batch, settings, metrics)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 
@@ -53,11 +54,14 @@ def ship_package(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors all reach, from ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, a laptop) is one made here.
+    On a cluster it must be named: a folder of one machine would lose stream offsets and can't
+    be read by other executors. Only in local mode (tests, a laptop) is one made here.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    if not re.match(r"local(\[[^,\]]*(,[^\]]*)?\])?$", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _made:
         _made[app] = tempfile.mkdtemp(prefix="pagevane-checkpoint-")

@@ -1,6 +1,13 @@
 """Writers: message directories, checked batches, the index table, metric tables."""
 
-from pagevane.sinks.index import append_index, create_index, index_dim, index_exists, read_index
+from pagevane.sinks.index import (
+    append_index,
+    create_index,
+    index_dim,
+    index_exists,
+    read_index,
+    read_rejected,
+)
 from pagevane.sinks.tables import (
     batch_path,
     checked_path,
@@ -20,6 +27,7 @@ __all__ = [
     "index_dim",
     "index_exists",
     "read_index",
+    "read_rejected",
     "write_checked",
     "write_messages",
     "write_metrics",

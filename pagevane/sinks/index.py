@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagevane.functions.vectors import DIM
+from pagevane.operators.embed import dim_check
 from pagevane.operators.index import index_rows
+from pagevane.operators.messages import ERROR, require_fields
 
 CREATED = "created"
 
@@ -52,19 +55,54 @@ def index_dim(spark: SparkSession, path: str) -> int:
     return created.schema["embedding"].metadata["dim"]
 
 
-def append_index(df: DataFrame, path: str, load: str | int) -> None:
-    """Write one load; writing the same load again replaces it.
+def append_index(df: DataFrame, path: str, load: str | int) -> int:
+    """Add one load of good rows; returns their number. Writing the same load again replaces it.
 
+    The name of a load must be its own: a run's or a stream's id and its batch. Rows with
+    ``_error`` or without a field the index needs, or whose vector doesn't have the index's
+    dimension or holds a null, go to ``rejected_path`` with the reason,
     ``rebalance`` lets Spark even out the files by size, which also splits a hot
     url; a Bloom filter on the keyword field serves exact lookups.
     """
-    rows = index_rows(df).hint("rebalance")
+    known = index_exists(df.sparkSession, path)
+    checked = _checked(df, index_dim(df.sparkSession, path) if known else None)
+    good, bad = f"{path.rstrip('/')}/load={load}", f"{rejected_path(path)}/load={load}"
+    rows = checked.filter(F.col(ERROR).isNull())
     (
-        rows.sortWithinPartitions("url")
+        index_rows(rows).hint("rebalance").sortWithinPartitions("url")
         .write.mode("overwrite")
         .option("parquet.bloom.filter.enabled#url", "true")
-        .parquet(_load_path(path, load))
+        .parquet(good)
+    )
+    checked.filter(F.col(ERROR).isNotNull()).write.mode("overwrite").parquet(bad)
+    # Row counts come from the file footers.
+    return df.sparkSession.read.parquet(good).count()
+
+
+def rejected_path(path: str) -> str:
+    """Where an index's bad messages go, beside it."""
+    return f"{path.rstrip('/')}_rejected"
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """Messages that were not indexed, of all loads: the three fields and ``_error``."""
+    schema = index_schema().add(ERROR, T.StringType()).add("load", T.StringType())
+    return spark.read.schema(schema).parquet(rejected_path(path))
+
+
+def _checked(df: DataFrame, dim: int | None) -> DataFrame:
+    known = [F.col(ERROR)] if ERROR in df.columns else []
+    rows = df.select("url", "h1", F.col("embedding").cast("array<float>").alias("embedding"), *known)
+    earlier = rows.withColumnRenamed(ERROR, "_earlier") if known else rows.withColumn("_earlier", F.lit(None))
+    required = require_fields(earlier, "url", "h1", "embedding")
+    checked = required.withColumn("dim_ok", F.lit(True)) if dim is None else dim_check(required, dim)
+    reason = (
+        F.when(F.col("_earlier").isNotNull(), F.col("_earlier"))
+        .when(F.col(ERROR).isNotNull(), F.col(ERROR))
+        .when(~F.col("dim_ok"), "wrong dimension")
+        .when(F.exists("embedding", lambda x: x.isNull()), "null in vector")
     )
+    return checked.withColumn(ERROR, reason.cast("string")).drop("_earlier", "dim_ok")
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -37,12 +37,26 @@ def _start(
     drain: bool,
     interval: str,
 ) -> StreamingQuery:
-    location = checkpoint or f"{shared_dir(stream.sparkSession).rstrip('/')}/streams/{name}"
+    location = _location(stream, name, checkpoint)
     writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", location)
     trigger = {"availableNow": True} if drain else {"processingTime": interval}
     return writer.queryName(name).trigger(**trigger).start()
 
 
+def _location(stream: DataFrame, name: str, checkpoint: str | None) -> str:
+    return checkpoint or f"{shared_dir(stream.sparkSession).rstrip('/')}/streams/{name}"
+
+
+def _load_name(spark: SparkSession, location: str, batch_id: int) -> str:
+    """Name of a batch's load: the stream's id, which its checkpoint keeps, and the batch.
+
+    Another stream, or the same one begun anew, has another id and replaces nothing; a batch
+    that is replayed has the same name.
+    """
+    (row,) = spark.read.json(f"{location}/metadata").select("id").collect()
+    return f"{row['id']}-{batch_id}"
+
+
 def extract_job(
     manifest: DataFrame,
     out: str,
@@ -111,7 +125,8 @@ def index_job(
     once = drop_replays(vectors, "url", "h1", "embedding") if drop_repeated else vectors
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        index_step(batch, index, batch_id, settings, metrics)
+        load = _load_name(batch.sparkSession, _location(once, "index", checkpoint), batch_id)
+        index_step(batch, index, load, settings, metrics)
 
     return _start(once, "index", step, checkpoint, drain, interval)
 
@@ -129,7 +144,8 @@ def fused_job(
     """Pages straight to the index: all stages inside one micro-batch."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        build_index(batch.sparkSession, batch, index, work, batch_id, settings, metrics)
+        load = _load_name(batch.sparkSession, _location(pages, "fused", checkpoint), batch_id)
+        build_index(batch.sparkSession, batch, index, work, load, settings, metrics)
 
     return _start(pages, "fused", step, checkpoint, drain, interval)
 

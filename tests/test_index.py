@@ -13,6 +13,7 @@ from pagevane.sinks import (
     index_dim,
     index_exists,
     read_index,
+    read_rejected,
 )
 
 from .conftest import plan_of, table
@@ -75,12 +76,12 @@ def test_batches_are_exact(spark, n, size, bucket):
 def test_build_index_from_pages(spark, tmp_path):
     pages = table(spark, "pages", "sf0.01")
     index, work = str(tmp_path / "index"), str(tmp_path / "work")
-    load = build_index(spark, pages, index, work)
+    load = build_index(spark, pages, index, work, "first")
     texts = spark.read.parquet(checked_path(f"{work}/texts"))
     assert load.count() == texts.count() > 0
     assert read_index(spark, index).filter("size(embedding) = 384").count() == load.count()
     assert {r.url for r in load.collect()} == {r.url for r in texts.collect()}
-    again = build_index(spark, pages, index, work)
+    again = build_index(spark, pages, index, work, "first")
     assert again.count() == read_index(spark, index).count()
 
 
@@ -100,3 +101,67 @@ def test_embed_step_sets_bad_rows_aside(spark, tmp_path):
     texts = spark.createDataFrame(rows[:1], "url string, h1 string, text string")
     embed_step(texts, wrong, 0, Settings(dim=7))
     assert spark.read.parquet(batch_path(wrong, 0)).first()._error == "wrong dimension"
+
+
+def test_two_loads_are_both_kept(spark, tmp_path):
+    index, work = str(tmp_path / "index"), str(tmp_path / "work")
+    pages = spark.createDataFrame(
+        [(f"u{i}", "<html><h1>t</h1><p>Les mots que nous avons dans la maison sont pour vous.</p></html>") for i in range(7)],
+        "url string, html string",
+    )
+    some, rest = pages.filter("url < 'u4'"), pages.filter("url >= 'u4'")
+    build_index(spark, some, index, work, "one")
+    build_index(spark, rest, index, work, "two")
+    assert read_index(spark, index).count() == 7
+    with pytest.raises(TypeError):
+        build_index(spark, some, index, work)
+
+
+def test_streams_into_one_index_keep_their_loads(spark, tmp_path):
+    from pagevane.operators.messages import INDEX_SCHEMA
+    from pagevane.streaming import index_job
+
+    index = str(tmp_path / "index")
+    for name in "ab":
+        queue = str(tmp_path / name)
+        rows = [(name, "t", [1.0, 0.0])]
+        spark.createDataFrame(rows, INDEX_SCHEMA).write.parquet(queue)
+        stream = spark.readStream.schema(INDEX_SCHEMA).parquet(queue)
+        job = index_job(stream, index, Settings(dim=2), checkpoint=str(tmp_path / f"c{name}"), drain=True)
+        job.awaitTermination()
+    assert sorted(r.url for r in read_index(spark, index).collect()) == ["a", "b"]
+
+
+def test_bad_messages_are_not_indexed(spark, tmp_path):
+    path = str(tmp_path / "index")
+    rows = [
+        ("good", "t", [1.0, 2.0], None),
+        ("bad json", None, None, "corrupt"),
+        (None, "t", [1.0, 2.0], None),
+        ("long", "t", [1.0, 2.0, 3.0], None),
+        ("null", "t", [1.0, None], None),
+    ]
+    messages = spark.createDataFrame(rows, "url string, h1 string, embedding array<float>, _error string")
+    index_step(messages, path, "load", Settings(dim=2))
+    assert [r.url for r in read_index(spark, path).collect()] == ["good"]
+    reasons = {r.url: r._error for r in read_rejected(spark, path).collect()}
+    assert reasons == {
+        "bad json": "corrupt",
+        None: "missing url",
+        "long": "wrong dimension",
+        "null": "null in vector",
+    }
+
+
+def test_batches_hold_null_keys_too(spark):
+    rows = spark.createDataFrame([(1,), (None,), (2,)], "id long")
+    assert sorted(r.batch for r in index_batches(rows, "id", 2, 2).collect()) == [0, 0, 1]
+
+
+def test_a_cluster_must_name_the_shared_folder(spark, monkeypatch):
+    from pagevane import session
+
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.shared_dir(spark)
