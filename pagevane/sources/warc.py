@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import glob
 import io
+import re
+import urllib.error
 import urllib.request
 import zlib
 from collections.abc import Iterator
@@ -33,6 +35,8 @@ ARROW_SCHEMA = pa.schema(
 BATCH_BYTES = 8 << 20
 SKIP_BYTES = 1 << 20
 READ_BYTES = 1 << 18
+# Of a connection that says nothing: the task fails then, and is tried again.
+TIMEOUT_SECONDS = 60
 
 
 class _GzipMembers(io.RawIOBase):
@@ -82,9 +86,10 @@ class _GzipMembers(io.RawIOBase):
 def _open(path: str) -> io.BufferedReader:
     """Byte stream of an archive on a local path, object store, HDFS or HTTP."""
     if path.startswith(("http://", "https://")):
-        raw = urllib.request.urlopen(path)
+        raw = urllib.request.urlopen(path, timeout=TIMEOUT_SECONDS)
     elif "://" in path or path.startswith("file:"):
-        system, name = fs.FileSystem.from_uri(path)
+        # Spark's names of the object store, which Arrow knows by another one.
+        system, name = fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", path))
         raw = system.open_input_stream(name, compression=None)
     else:
         raw = open(path, "rb")
@@ -134,19 +139,38 @@ def _http_body(block: bytes) -> bytes:
     body = stream.read()
     if "chunked" in headers.get("transfer-encoding", "").lower():
         body = _unchunk(body)
-    encoding = headers.get("content-encoding", "").lower()
-    if encoding in ("gzip", "x-gzip", "deflate"):
-        wbits = (zlib.MAX_WBITS | 32,) if "gzip" in encoding else (zlib.MAX_WBITS, -zlib.MAX_WBITS)
-        for bits in wbits:
+    for encoding in reversed(headers.get("content-encoding", "").lower().split(",")):
+        body = _decoded(body, encoding.strip())
+    return body
+
+
+def _decoded(body: bytes, encoding: str) -> bytes:
+    """``body`` with one content encoding undone; ``ValueError`` for one that isn't known."""
+    if encoding in ("", "identity") or not body:
+        return body
+    if encoding in ("gzip", "x-gzip"):
+        out = []
+        # A body may hold several members.
+        while body.startswith(b"\x1f\x8b"):
+            member = zlib.decompressobj(zlib.MAX_WBITS | 16)
+            out.append(member.decompress(body))
+            body = member.unused_data
+        # Archives often hold bodies that are decoded already.
+        return b"".join(out) if out else body
+    if encoding == "deflate":
+        for bits in (zlib.MAX_WBITS, -zlib.MAX_WBITS):
             try:
                 return zlib.decompressobj(bits).decompress(body)
             except zlib.error:
                 continue
-    return body
+        return body
+    raise ValueError(f"content encoding {encoding}")
 
 
-def _records(stream, rec_types: set[str] | None) -> Iterator[tuple[int, str, str | None, str]]:
-    """(offset, type, url, text) of each record; undecodable bytes are left out."""
+def _records(
+    stream, rec_types: set[str] | None
+) -> Iterator[tuple[int, str, str | None, str | None, str | None]]:
+    """(offset, type, url, text, error) of each record; undecodable bytes are left out."""
     at = 0
     while line := stream.readline():
         start, at = at, at + len(line)
@@ -166,9 +190,21 @@ def _records(stream, rec_types: set[str] | None) -> Iterator[tuple[int, str, str
         block = stream.read(length)
         if len(block) < length:
             raise EOFError(f"record at {start} is cut off")
+        url, error = headers.get("warc-target-uri"), None
         if "application/http" in headers.get("content-type", ""):
-            block = _http_body(block)
-        yield start, kind, headers.get("warc-target-uri"), block.decode("utf-8", "ignore")
+            try:
+                block = _http_body(block)
+            except (ValueError, zlib.error) as problem:
+                # One body that can't be decoded doesn't cost the records after it.
+                error = f"{type(problem).__name__}: {problem}"
+        yield start, kind, url, None if error else block.decode("utf-8", "ignore"), error
+
+
+def _is_gone(problem: OSError) -> bool:
+    """Whether an archive doesn't exist, rather than being out of reach."""
+    if isinstance(problem, urllib.error.HTTPError):
+        return problem.code in (404, 410)
+    return isinstance(problem, (FileNotFoundError, IsADirectoryError, NotADirectoryError))
 
 
 def archive_batches(
@@ -179,14 +215,18 @@ def archive_batches(
     size = 0
     try:
         with _open(path) as stream:
-            for offset, kind, url, text in _records(stream, rec_types):
-                rows.append((path, offset, kind, url, text, None))
-                size += len(text)
+            for offset, kind, url, text, error in _records(stream, rec_types):
+                if error and not permissive:
+                    raise ValueError(error)
+                rows.append((path, offset, kind, url, text, error))
+                size += len(text or "")
                 if size >= BATCH_BYTES:
                     yield _batch(rows)
                     rows, size = [], 0
     except (OSError, EOFError, ValueError, KeyError, zlib.error) as problem:
-        if not permissive:
+        # A network or disk that fails now may work on the next try: the task fails, and
+        # Spark runs it again. What stays wrong however often it is read is set aside.
+        if not permissive or (isinstance(problem, OSError) and not _is_gone(problem)):
             raise
         rows.append((path, None, None, None, None, f"{type(problem).__name__}: {problem}"))
     if rows:

@@ -130,7 +130,7 @@ def test_archives_to_index(spark, archives, tmp_path):
     names = [("a.warc.gz",), ("b.warc",), ("bad.warc.gz",)]
     paths = spark.createDataFrame([(f"{archives}/{n}",) for (n,) in names], "path string")
     index, work, metrics = (str(tmp_path / n) for n in ("index", "work", "metrics"))
-    load = build_index(spark, archive_pages(paths), index, work, metrics=metrics)
+    load = build_index(spark, archive_pages(paths), index, work, "load", metrics=metrics)
     # Two French responses per archive; they share their url and are kept apart.
     assert sorted(r.h1 for r in load.collect()) == ["Deux", "Deux", "Un", "Un"]
     damaged = spark.read.parquet(checked_path(f"{work}/texts", status="bad")).collect()
@@ -166,3 +166,33 @@ def test_messages_round_trip(spark, tmp_path):
     assert raw.count() == 50
     assert raw.first().value.startswith('{"url":"')
     assert encode_messages(pages).first().value.startswith('{"page_id":')
+
+
+def test_bodies_of_several_members_and_unknown_encodings(spark, tmp_path):
+    members = gzip.compress(b"one ") + gzip.compress(b"two")
+    records = [
+        record("response", "http://m/1", members, "Content-Encoding: gzip\r\n"),
+        record("response", "http://m/2", b"\x0b\x02\x80", "Content-Encoding: br\r\n"),
+        record("response", "http://m/3", b"plain", "Content-Encoding: identity\r\n"),
+    ]
+    (tmp_path / "c.warc").write_bytes(b"".join(records))
+    found = {r.url: (r.html, r.error) for r in read(spark, tmp_path, mode="PERMISSIVE").collect()}
+    assert found == {
+        "http://m/1": ("one two", None),
+        "http://m/2": (None, "ValueError: content encoding br"),
+        "http://m/3": ("plain", None),
+    }
+
+
+def test_what_fails_for_now_is_raised_and_what_is_gone_set_aside(monkeypatch):
+    from pagevane.sources import warc
+
+    def out_of_reach(path):
+        raise TimeoutError("no answer")
+
+    monkeypatch.setattr(warc, "_open", out_of_reach)
+    with pytest.raises(TimeoutError):
+        list(warc.archive_batches("http://a/x.warc", None, permissive=True))
+    monkeypatch.undo()
+    (batch,) = warc.archive_batches("/nowhere/x.warc", None, permissive=True)
+    assert batch.column("error").to_pylist()[0].startswith("FileNotFoundError")
