@@ -28,7 +28,8 @@ def index_batches(
     """
     total = df.agg(F.greatest(F.ceil(F.count("*") / rows_per_bucket), F.lit(1)).alias("n"))
     hashed = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("bigint")
-    bucketed = df.withColumn("_bucket", F.pmod(hashed, total.scalar()))
+    # Null keys are a bucket of their own, before all others.
+    bucketed = df.withColumn("_bucket", F.coalesce(F.pmod(hashed, total.scalar()), F.lit(-1)))
     sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

@@ -99,7 +99,8 @@ def running_total(
     A window over the key alone would put a hot key into one task. The sum is made
     in two levels instead: inside time chunks of a key, and over the chunk totals,
     which are few and are aggregated before they move. Every task then holds one
-    chunk of a key at most.
+    chunk of a key at most. Rows with a null key are a key of their own; a null ``ts``
+    comes before all others.
     """
     chunked = df.withColumn("_chunk", F.date_trunc(chunk, F.col(ts)))
     inside = Window.partitionBy(key, "_chunk").orderBy(ts, tie)
@@ -108,11 +109,11 @@ def running_total(
     before = before.rowsBetween(Window.unboundedPreceding, -1)
     totals = chunked.groupBy(key, "_chunk").agg(F.sum(value).alias("_sum"))
     offsets = totals.select(
-        key, "_chunk", F.coalesce(F.sum("_sum").over(before), F.lit(0.0)).alias("_offset")
+        F.col(key).alias("_key"), F.col("_chunk").alias("_of"), F.coalesce(F.sum("_sum").over(before), F.lit(0.0)).alias("_offset")
     )
     return (
         chunked.withColumn("_inside", F.sum(value).over(inside))
-        .join(offsets, [key, "_chunk"])
+        .join(offsets, F.col(key).eqNullSafe(F.col("_key")) & F.col("_chunk").eqNullSafe(F.col("_of")))
         .withColumn(name, F.col("_inside") + F.col("_offset"))
-        .drop("_chunk", "_inside", "_offset")
+        .drop("_chunk", "_inside", "_offset", "_key", "_of")
     )

@@ -108,8 +108,15 @@ def _score_block(
         mine = _matrix(block.column(hashes), np.int64)
         chosen = np.flatnonzero(probe.rows_of_interest(mine))
         block, mine = block.take(pa.array(chosen)), mine[chosen]
+    # Rows without a vector have no score; a vector of another length is an error.
+    block = block.filter(block.column(vector).is_valid())
+    if mine is not None and len(mine) != block.num_rows:
+        mine = _matrix(block.column(hashes), np.int64)
     if not block.num_rows:
         return np.zeros((len(probe.ids), 0)), block
+    lengths = pc.unique(pc.list_value_length(block.column(vector))).to_pylist()
+    if lengths != [probe.vectors.shape[1]] or block.column(vector).flatten().null_count:
+        raise ValueError(f"vectors of length {lengths} or with nulls, query of {probe.vectors.shape[1]}")
     scores = np.round(probe.vectors @ _matrix(block.column(vector)).T, SCORE_DECIMALS)
     if match_on:
         own = probe.groups.get_indexer(block.column(match_on).to_pandas())

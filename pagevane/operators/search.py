@@ -27,11 +27,13 @@ def keyword_lookup(
     """Rows whose keyword field equals one of the values.
 
     A list becomes a filter that reaches the Parquet scan; a DataFrame of values a
-    semi join, whose strategy Spark picks from the sizes it sees.
+    join, whose strategy Spark picks from the sizes it sees.
     """
     if isinstance(values, DataFrame):
         keys = values.select(F.col(values.columns[0]).alias(field)).distinct()
-        return index.join(keys, field, "left_semi")
+        # The keys are distinct. A semi join would be pushed below the columns' expressions, and
+        # move the texts that they are made of.
+        return index.join(keys, field).select(*index.columns)
     return index.filter(F.col(field).isin(*values))
 
 

@@ -22,6 +22,7 @@ from pagevane.functions import (
     sentence_split,
     word_count,
 )
+from pagevane.operators.extract import compute_once
 from pagevane.sources import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -261,8 +262,9 @@ def url_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _pages(spark, sf_dir)
     # The keywords looked up are the urls of the pages in the target language.
     wanted = op.extract_pages(pages).select("url")
-    found = op.keyword_lookup(pages.select("page_id", "url", "html"), wanted)
-    return found.select("page_id", "url", first_h1("html").alias("h1"))
+    # Headings are taken out first, so that no page text takes part in the join.
+    headings = compute_once(pages, h1=first_h1("html")).select("page_id", "url", "h1")
+    return op.keyword_lookup(headings, wanted)
 
 
 def h1_postings(spark: SparkSession, sf_dir: str) -> DataFrame:

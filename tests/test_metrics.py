@@ -114,3 +114,10 @@ def test_running_total_equals_one_window(spark, chunk):
     found = running_total(events, "user_id", "ts", "event_id", "value", chunk).collect()
     assert len(found) == len(expected)
     assert all(abs(r.running_total - expected[r.event_id]) < 1e-6 for r in found)
+
+
+def test_running_total_keeps_rows_with_nulls(spark):
+    rows = [("a", "2024-01-01 00:10:00", 1, 2.0), (None, "2024-01-01 00:20:00", 2, 3.0), ("a", None, 3, 4.0)]
+    df = spark.createDataFrame(rows, "k string, t string, i int, v double").withColumn("t", F.to_timestamp("t"))
+    found = {r.i: r.running_total for r in running_total(df, "k", "t", "i", "v").collect()}
+    assert found == {1: 6.0, 2: 3.0, 3: 4.0}

@@ -194,3 +194,22 @@ def test_postings(spark):
     df = spark.createDataFrame([(1, "a b A"), (2, "b"), (3, "")], "id int, h1 string")
     found = {tuple(r) for r in postings(df, "id").collect()}
     assert found == {("a", 1, 2, 3), ("b", 1, 1, 3), ("b", 2, 1, 1)}
+
+
+def test_vectors_of_another_length_are_an_error(spark):
+    from pagevane.operators import knn_exact
+
+    vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0, 0.0, 0.0])], "vec_id long, embedding array<float>")
+    asked = spark.createDataFrame([(1, [1.0, 0.0, 0.0])], "query_id long, query_vector array<double>")
+    with pytest.raises(Exception, match="vectors of length"):
+        knn_exact(vectors, asked, 1).collect()
+    null = spark.createDataFrame([(1, [1.0, 0.0, 0.0]), (2, None)], "vec_id long, embedding array<float>")
+    assert [r.vec_id for r in knn_exact(null, asked, 5).collect()] == [1]
+
+
+def test_url_lookup_joins_without_page_texts(spark):
+    from pagevane.plans.catalog import url_lookup
+
+    lines = url_lookup(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    (join,) = [i for i, line in enumerate(lines) if "Join Inner" in line]
+    assert "h1#" in lines[join + 1] and "html" not in lines[join + 1]
