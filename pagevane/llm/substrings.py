@@ -6,18 +6,23 @@ in it, the last one of equals. Equal windows have equal anchors at equal places,
 windows that share it and a hash of the words under the run, the seed's extension as far as its
 windows reach both ways.
 
-Seeds are joined on the anchor and the extension. All but the first seed of an extension are
-repeats as a whole. The first seed of each extension can still share part of its windows with
-other extensions of the same anchor (at the ends of a maximal repeat): only these few are
+Seeds are joined on the extension. All but the first seed of an extension are repeats as a
+whole. Seeds whose anchor repeats with other extensions, and the first seed of each extension,
+can still share part of their windows with each other (at the ends of a maximal repeat): they are
 taken apart, and joined window by window. Neighbouring repeated windows unite to the maximal
 repeated stretches, which are removed. No pairs of occurrences are made: each seed and each
 window meets the first of its kind, whatever the number of copies.
+
+Most anchors, extensions and windows occur once. For each of them the hashes alone are counted,
+and a Bloom filter of fixed size keeps what occurs once from being shuffled with its place. Texts
+are read for each of these passes, and shuffled once, to bring the words to be removed to them.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +35,6 @@ from .common import (
     Words,
     bloom,
     in_bloom,
-    likely_in,
     mixed,
     signed,
     small_batches,
@@ -115,119 +119,102 @@ def _list_array(rows: int, row: np.ndarray, columns: dict[str, np.ndarray]) -> p
     return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(values, list(columns)))
 
 
-def _anchors(rows: DataFrame, length: int) -> DataFrame:
-    """``anchor`` of every seed."""
+@dataclass
+class _Known:
+    """Broadcast Bloom filters, as far as they are known: of repeated anchors, extensions and
+    windows, and of the places of the first seed of each repeated extension."""
+
+    anchors: Broadcast | None = None
+    extensions: Broadcast | None = None
+    firsts: Broadcast | None = None
+    windows: Broadcast | None = None
 
-    @F.arrow_udf("array<long>")
-    def anchors(texts: pa.Array) -> pa.Array:
-        row, anchor = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-        for first, data, offsets in _parts(texts):
-            w = _Windows(data, offsets, length)
-            if len(w.starts):
-                row.append(w.words.row[w.starts] + first)
-                anchor.append(w.anchor)
-        at = np.searchsorted(np.concatenate(row), np.arange(len(texts) + 1)).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(at), pa.array(signed(np.concatenate(anchor))))
 
-    return rows.select(F.explode(anchors.asNondeterministic()("text")).alias("anchor"))
+def _places(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return signed(mixed(ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + starts.astype(np.uint64)))
 
 
-def _seeds(rows: DataFrame, length: int, bits: Broadcast) -> DataFrame:
-    """``id, twin, start, n, anchor, extension`` of the seeds whose anchor seems to repeat."""
+def _found(rows: DataFrame, length: int, known: _Known, what: str) -> DataFrame:
+    """``hash`` of every ``what`` (anchor, extension or window), with its place if that may repeat.
 
-    @F.arrow_udf("array<struct<start:int,n:int,anchor:long,extension:long>>")
-    def seeds(texts: pa.Array) -> pa.Array:
-        row, start, n, anchor, extension = ([np.zeros(0, np.int64)] for _ in range(5))
+    Extensions are of seeds whose anchor repeats. Windows are of such seeds too, if their
+    extension occurs once or they are its first. A place is ``id, twin, start, n``.
+    """
+    placed = {"anchor": None, "extension": known.extensions, "window": known.windows}[what]
+
+    @F.arrow_udf("array<struct<hash:long,start:int,n:int>>")
+    def items(ids: pa.Array, texts: pa.Array) -> pa.Array:
+        ids = ids.to_numpy(zero_copy_only=False)
+        row, hashes, start, n = ([np.zeros(0, np.int64)] for _ in range(4))
         for first, data, offsets in _parts(texts):
             w = _Windows(data, offsets, length)
             if not len(w.starts):
                 continue
-            keep = in_bloom(bits.value, w.anchor)
-            starts = w.starts[keep]
-            of = w.words.row[starts]
+            at, of, count = w.starts, w.words.row[w.starts], w.n
+            found = w.anchor if what == "anchor" else w.extension
+            if known.anchors is not None:
+                keep = in_bloom(known.anchors.value, w.anchor)
+                if what == "window":
+                    single = ~in_bloom(known.extensions.value, w.extension)
+                    keep &= single | in_bloom(known.firsts.value, _places(ids[of + first], at - w.words.first[of]))
+                at, of, count, found = at[keep], of[keep], count[keep], found[keep]
+            if what == "window":
+                inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                at, of = np.repeat(at, count) + inner, np.repeat(of, count)
+                count = np.ones(len(at), np.int64)
+                found = mixed(_span_hashes(w.words.hash, at, np.full(len(at), length)))
+            if placed is not None:
+                keep = in_bloom(placed.value, found)
+                at, of, count, found = at[keep], of[keep], count[keep], found[keep]
             row.append(of + first)
-            start.append(starts - w.words.first[of])
-            n.append(w.n[keep])
-            anchor.append(signed(w.anchor[keep]))
-            extension.append(signed(w.extension[keep]))
+            hashes.append(signed(found))
+            start.append(at - w.words.first[of])
+            n.append(count)
         columns = {
+            "hash": np.concatenate(hashes),
             "start": np.concatenate(start).astype(np.int32),
             "n": np.concatenate(n).astype(np.int32),
-            "anchor": np.concatenate(anchor),
-            "extension": np.concatenate(extension),
         }
         return _list_array(len(texts), np.concatenate(row), columns)
 
-    made = rows.select("id", "twin", seeds.asNondeterministic()("text").alias("seeds"))
-    return made.select("id", "twin", F.inline("seeds"))
+    made = rows.select("id", "twin", items.asNondeterministic()("id", "text").alias("items"))
+    if placed is None:
+        return made.select(F.inline("items")).select("hash")
+    return made.select("id", "twin", F.inline("items"))
 
 
-def _window_rows(rows: DataFrame, starts: DataFrame, length: int) -> DataFrame:
-    """``anchor, window, id, twin, start`` of each window of the seeds in ``starts``."""
-    of = written(
-        starts.groupBy("id", "twin").agg(F.collect_list(F.struct("start", "n", "anchor")).alias("seeds"))
-    )
-    bits = rows.sparkSession.sparkContext.broadcast(bloom(of.select("id")))
-    found = rows.filter(likely_in(bits, "id")).join(of, ["id", "twin"])
+def _repeated(hashes: DataFrame) -> Broadcast:
+    """A Bloom filter of the hashes that occur more than once."""
+    twice = hashes.groupBy("hash").agg(F.count("*").alias("c")).filter("c > 1").select("hash")
+    return hashes.sparkSession.sparkContext.broadcast(bloom(twice))
 
-    @F.arrow_udf("array<struct<start:int,anchor:long,window:long>>")
-    def windows(texts: pa.Array, seeds: pa.Array) -> pa.Array:
-        out_row, out_start, out_anchor, out_window = ([np.zeros(0, np.int64)] for _ in range(4))
-        for first, data, offsets in _parts(texts):
-            words = Words(data, offsets)
-            wanted = seeds.slice(first, len(offsets) - 1)
-            items = wanted.flatten()
-            counts = np.array([len(x) for x in wanted], np.int64)
-            row = np.repeat(np.arange(len(wanted)), counts)
-            start, n, anchor = (items.field(i).to_numpy(zero_copy_only=False) for i in range(3))
-            row, anchor, begin = np.repeat(row, n), np.repeat(anchor, n), np.repeat(start, n)
-            begin = begin + np.arange(len(begin)) - np.repeat(np.cumsum(n) - n, n)
-            at = words.first[row] + begin
-            out_row.append(row + first)
-            out_start.append(begin)
-            out_anchor.append(anchor)
-            spans = np.full(len(at), length)
-            out_window.append(signed(mixed(_span_hashes(words.hash, at, spans))))
-        columns = {
-            "start": np.concatenate(out_start).astype(np.int32),
-            "anchor": np.concatenate(out_anchor),
-            "window": np.concatenate(out_window),
-        }
-        return _list_array(len(texts), np.concatenate(out_row), columns)
 
-    made = found.select("id", "twin", windows.asNondeterministic()("text", "seeds").alias("w"))
-    return made.select("id", "twin", F.inline("w"))
+def _later(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The first place of each hash, and all places after the first of their hash."""
+    first = written(placed.groupBy("hash").agg(F.min(F.struct("id", "start")).alias("first")))
+    later = placed.join(first, "hash").filter(F.struct("id", "start") > F.col("first"))
+    return first.select("first.*"), later.select("id", "twin", "start", "n")
 
 
 def repeated_windows(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     """``id, twin, start, n``: ``n`` windows from ``start`` on whose words also start earlier.
 
     ``rows`` has ``id, twin, text``; earlier is a smaller ``id``, or the same and a smaller
-    ``start``. Most anchors occur once; a Bloom filter of the others keeps their seeds, which
-    are most of all seeds, from being shuffled more than as a count.
+    ``start``.
     """
-    context = rows.sparkSession.sparkContext
-    counts = _anchors(rows, length).groupBy("anchor").agg(F.count("*").alias("c"))
-    bits = context.broadcast(bloom(counts.filter("c > 1").select("anchor")))
-    seeds = written(_seeds(rows, length, bits))
-    kinds = written(
-        seeds.groupBy("anchor", "extension").agg(
-            F.count("*").alias("c"), F.min(F.struct("id", "start", "twin", "n")).alias("first")
-        )
-    )
-    later = seeds.join(kinds.filter("c > 1").select("anchor", "extension", "first"), ["anchor", "extension"])
-    later = later.filter(F.struct("id", "start") > F.struct("first.id", "first.start"))
-    several = kinds.groupBy("anchor").agg(F.count("*").alias("k")).filter("k > 1").select("anchor")
-    firsts = kinds.join(several, "anchor", "left_semi").select("anchor", "first.*")
-    windows = written(_window_rows(rows, firsts, length))
-    first = windows.groupBy("anchor", "window").agg(
-        F.count("*").alias("c"), F.min(F.struct("id", "start")).alias("first")
-    )
-    again = windows.join(first.filter("c > 1").drop("c"), ["anchor", "window"])
-    again = again.filter(F.struct("id", "start") > F.col("first"))
-    return later.select("id", "twin", "start", "n").union(
-        again.select("id", "twin", "start", F.lit(1).alias("n"))
-    )
+    known = _Known()
+    known.anchors = _repeated(_found(rows, length, known, "anchor"))
+    known.extensions = _repeated(_found(rows, length, known, "extension"))
+    firsts, later = _later(written(_found(rows, length, known, "extension")))
+
+    @F.arrow_udf("long")
+    def place(ids: pa.Array, starts: pa.Array) -> pa.Array:
+        return pa.array(_places(ids.to_numpy(zero_copy_only=False), starts.to_numpy(zero_copy_only=False)))
+
+    known.firsts = rows.sparkSession.sparkContext.broadcast(bloom(firsts.select(place("id", "start"))))
+    known.windows = _repeated(_found(rows, length, known, "window"))
+    _, again = _later(written(_found(rows, length, known, "window")))
+    return later.union(again)
 
 
 def _texts(docs: DataFrame, id: str, text: str) -> DataFrame:
