@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagevane.functions.language import NON_LETTERS, STOP_WORDS, UNDETERMINED, detect_lang
@@ -10,7 +10,6 @@ from pagevane.operators.extract import compute_once
 
 LANGUAGES = tuple(STOP_WORDS)
 GRAM = 3
-PROFILE_SIZE = 1000
 # Weights are log-probabilities in millionths, as integers: their sums do not
 # depend on the order of addition, so the result is the same for any partitioning.
 WEIGHT_SCALE = 1_000_000
@@ -54,12 +53,10 @@ def train_ngram_profiles(
     label: str = "lang",
     languages: tuple[str, ...] = LANGUAGES,
     n: int = GRAM,
-    size: int = PROFILE_SIZE,
 ) -> DataFrame:
-    """One row per n-gram with a weight column per language.
+    """One row per n-gram with a weight column per language: all n-grams of the texts.
 
-    A profile holds the ``size`` most frequent n-grams of its language, so the
-    result has at most ``size * len(languages)`` rows however large the corpus.
+    A profile can be stored as a table and read again for ``classify_ngrams``.
     """
     # Words are counted first; there are far fewer of them to cut into n-grams.
     words = (
@@ -74,11 +71,11 @@ def train_ngram_profiles(
         .groupBy("label", _cut("word", "at", n).alias("gram"))
         .agg(F.sum("n").alias("n"))
     )
-    by_count = Window.partitionBy("label").orderBy(F.desc("n"), F.asc("gram"))
-    top = counts.withColumn("rank", F.row_number().over(by_count)).filter(F.col("rank") <= size)
-    share = F.col("n") / F.sum("n").over(Window.partitionBy("label"))
+    # One row per language.
+    totals = counts.groupBy("label").agg(F.sum("n").alias("total"))
+    share = F.col("n") / F.col("total")
     weight = F.round(F.log(share) * WEIGHT_SCALE).cast("bigint")
-    weighted = top.withColumn("weight", F.greatest(weight, _floor()))
+    weighted = counts.join(F.broadcast(totals), "label").withColumn("weight", F.greatest(weight, _floor()))
     return (
         weighted.groupBy("gram")
         .pivot("label", list(languages))
@@ -97,19 +94,21 @@ def classify_ngrams(
 ) -> DataFrame:
     """Naive Bayes language of each row: ``(key, detected, n_matched)``.
 
-    The profiles are broadcast (their row count is bounded by construction), so
-    n-grams never move; each task folds its n-grams into one row per key first.
+    A text's words are counted before they are cut, and its n-grams before they meet the
+    profiles, so that each different n-gram of a text is looked up once. How the profiles are
+    joined is left to Spark, which knows their size.
     """
     # The empty word stays in, so that a row without any letter keeps its place.
-    words = df.select(key, _words(text).alias("word"))
-    placed = words.select(key, "word", _grams(F.col("word"), n).alias("at"))
-    grams = placed.select(key, _cut("word", "at", n).alias("gram"))
+    words = df.select(key, _words(text).alias("word")).groupBy(key, "word").agg(F.count("*").alias("n"))
+    placed = words.select(key, "word", "n", _grams(F.col("word"), n).alias("at"))
+    grams = placed.groupBy(key, _cut("word", "at", n).alias("gram")).agg(F.sum("n").alias("n"))
+    known = F.col(f"w_{languages[0]}").isNotNull()
     scored = (
-        grams.join(F.broadcast(profiles), "gram", "left")
+        grams.join(profiles, "gram", "left")
         .groupBy(key)
         .agg(
-            F.count(F.col(f"w_{languages[0]}")).alias("n_matched"),
-            *[F.coalesce(F.sum(f"w_{c}"), F.lit(0)).alias(f"s_{c}") for c in languages],
+            F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("n_matched"),
+            *[F.coalesce(F.sum(F.col(f"w_{c}") * F.col("n")), F.lit(0)).alias(f"s_{c}") for c in languages],
         )
     )
     best = F.greatest(*[F.col(f"s_{c}") for c in languages])

@@ -159,14 +159,11 @@ def _ngram_sql() -> str:
         FROM word),
       counted AS (
         SELECT lang, g, count(*) AS n FROM gram WHERE lang IN {in_list(langs)} GROUP BY lang, g),
-      top AS (
-        SELECT * FROM counted
-        QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, g) <= {N.PROFILE_SIZE}),
       weighted AS (
         SELECT lang, g, greatest(
           round(ln(n / sum(n) OVER (PARTITION BY lang)) * {N.WEIGHT_SCALE})::BIGINT, {floor}
         ) AS weight
-        FROM top),
+        FROM counted),
       profile AS (SELECT g, {weights} FROM weighted GROUP BY g),
       scored AS (
         SELECT d.doc_id, count(p.g) AS n_matched, {sums}

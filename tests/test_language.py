@@ -58,10 +58,22 @@ def test_ngrams_of_nothing_are_undetermined(spark):
     }
 
 
-def test_profiles_are_bounded_and_rank_inside_tasks(spark):
-    profiles = train_ngram_profiles(table(spark, "documents"), size=50)
-    assert profiles.count() <= 50 * len(N.LANGUAGES)
-    assert "WindowGroupLimit" in plan_of(train_ngram_profiles(table(spark, "documents")))
+def test_profiles_hold_every_ngram(spark):
+    docs = table(spark, "documents")
+    words = docs.select(F.explode(F.split(F.lower("text"), N.NON_LETTERS)).alias("w")).filter("w <> ''").distinct()
+    grams = {f" {r.w} "[i : i + N.GRAM] for r in words.collect() for i in range(max(len(r.w), 1))}
+    plan = train_ngram_profiles(docs)
+    assert {r.gram for r in plan.collect()} == grams
+    assert "Window" not in plan_of(plan)
+
+
+def test_ngrams_on_texts_that_were_not_trained_on(spark, tmp_path):
+    docs = table(spark, "documents", "sf0.01")
+    train_ngram_profiles(docs.filter("doc_id % 2 = 0")).write.parquet(str(tmp_path / "profiles"))
+    profiles = spark.read.parquet(str(tmp_path / "profiles"))
+    found = classify_ngrams(docs.filter("doc_id % 2 = 1"), profiles, "doc_id").join(docs, "doc_id")
+    right = found.filter("detected = lang").count()
+    assert right > 0.97 * found.count()
 
 
 def test_filter_and_profile(spark):
