@@ -1,12 +1,14 @@
 """License scans: MinHash bands over overlapping windows, then exact shingle containment.
 
-A text's words (lower-case runs of letters and digits) are cut into blocks of ``STEP`` words;
-each two neighbouring blocks are a window, so that windows overlap by half. A window's set are
-its word pairs. ``BANDS`` MinHash values, a band each, are the smallest hashes of the set under
-as many hash functions; those of a window come from those of its blocks. Templates are cut in the
-same way, and each value of a template's windows is an index entry. With one row a band, a
-window of Jaccard similarity ``j`` to a template's is found with probability
-``1 - (1 - j) ** BANDS``.
+A text's words (lower-case runs of letters and digits) give its word pairs. A window starts at each
+``STEP``-th pair and has twice as many, so that windows overlap by half. The bands of a window are
+the ``BANDS`` smallest hashes of its pairs, the MinHash of its set by one hash function, each a band
+of its own. Templates are cut in the same way, and each band of a template's windows is an index
+entry. Where a text holds a template whose pairs fit a window, some window holds them all; it has
+at most ``2 * STEP`` pairs, so that with ``BANDS > 2 * STEP - t`` bands the smallest of the
+template's ``t`` pairs is among them: found for certain from four pairs (five words) on with these
+settings. Windows of longer templates overlap some window of the text by six of eight pairs or more,
+and there are several of them.
 
 A template found by a window is verified on the words around the window: the share of the
 template's word pairs that occur there, exactly counted, must reach ``CONTAINED``.
@@ -22,8 +24,8 @@ from pyspark.sql import functions as F
 
 from .common import text_of
 
-STEP = 8
-BANDS = 16
+STEP = 4
+BANDS = 5
 CONTAINED = 0.8
 
 # The usual one-line notices of common licenses, by SPDX name.
@@ -62,35 +64,30 @@ def _pairs(words: str) -> Column:
     )
 
 
-def _band_keys(pairs: str, blocks: str) -> Column:
-    """Index keys of all windows, band by band: window ``w`` of band ``b`` is at ``b * windows + w``."""
-    n = F.greatest(F.size(blocks) - 1, F.lit(1))
+def _bands(pairs: str, blocks: str) -> Column:
+    """The bands of each window."""
 
-    def of(band: int) -> Column:
-        def low(i: Column) -> Column:
-            block = F.slice(pairs, i * STEP + 1, F.lit(STEP))
-            return F.array_min(F.transform(block, lambda h: F.xxhash64(h, F.lit(band))))
+    def of(i: Column) -> Column:
+        window = F.array_distinct(F.slice(pairs, i * STEP + 1, F.lit(2 * STEP)))
+        return F.slice(F.sort_array(window), F.lit(1), F.lit(BANDS))
 
-        lows = F.transform(blocks, low)
-        both = F.zip_with(F.slice(lows, F.lit(1), n), F.slice(lows, F.lit(2), n), lambda a, b: F.least(a, b))
-        return F.transform(both, lambda low: F.xxhash64(low, F.lit(-1 - band)))
-
-    return F.concat(*(of(band) for band in range(BANDS)))
+    return F.transform(blocks, of)
 
 
 def _indexed(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``words``, ``pairs``, ``blocks`` and ``keys`` of their ``text``."""
+    """``rows`` with ``words``, ``pairs``, ``blocks`` (window numbers) and ``bands`` of their ``text``."""
     rows = rows.withColumn("words", words_of("text"))
     rows = rows.withColumn("pairs", _pairs("words"))
     some = F.sequence(F.lit(0), F.floor((F.size("pairs") - 1) / STEP).cast("int"))
     rows = rows.withColumn("blocks", F.when(F.size("pairs") > 0, some).otherwise(F.array().cast("array<int>")))
-    return rows.withColumn("keys", F.when(F.size("pairs") > 0, _band_keys("pairs", "blocks")))
+    return rows.withColumn("bands", _bands("pairs", "blocks"))
 
 
 def template_keys(spark: SparkSession, templates: dict[str, str]) -> Keys:
     """Index entries and word pairs of each template, made by the expressions that documents get."""
     rows = spark.createDataFrame(sorted(templates.items()), "name string, text string")
-    found = _indexed(rows).select("name", F.array_distinct("keys").alias("keys"), F.array_distinct("pairs").alias("pairs"))
+    keys = F.array_distinct(F.flatten("bands")).alias("keys")
+    found = _indexed(rows).select("name", keys, F.array_distinct("pairs").alias("pairs"))
     return {r["name"]: (r["keys"], r["pairs"]) for r in found.collect()}
 
 
@@ -100,9 +97,7 @@ def _literals(values: list[int]) -> Column:
 
 def _verified(name: str, keys: list[int], pairs: list[int]) -> Column:
     """Matches of one template, ``license, at, share``: the best window if it holds enough."""
-    windows = F.greatest(F.size("blocks") - 1, F.lit(1))
-    hit = F.transform("keys", lambda k, i: F.when(F.array_contains(_literals(keys), k), i % windows))
-    hit = F.array_distinct(F.filter(hit, lambda w: w.isNotNull()))
+    hit = F.filter("blocks", lambda w: F.arrays_overlap(F.get("bands", w), _literals(keys)))
     margin = len(pairs)
 
     def share(w: Column) -> Column:
@@ -147,8 +142,8 @@ def scan(
     every = sorted({k for keys, _ in known.values() for k in keys})
     none = F.array().cast("array<struct<license:string,at:int,share:double>>")
     # Most texts meet no entry of the index; the rest is verified.
-    met = F.coalesce(F.arrays_overlap("keys", _literals(every)), F.lit(False)) if every else F.lit(False)
-    rows = rows.select("id", "pairs", "blocks", "keys", met.alias("met"))
+    met = F.coalesce(F.arrays_overlap(F.flatten("bands"), _literals(every)), F.lit(False)) if every else F.lit(False)
+    rows = rows.select("id", "pairs", "blocks", "bands", met.alias("met"))
     if known:
         found = F.concat(*(F.coalesce(_verified(name, *x), none) for name, x in known.items()))
         rows = rows.select("id", F.when(F.col("met"), found).otherwise(none).alias("matches"))
