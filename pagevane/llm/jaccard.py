@@ -12,7 +12,8 @@ which one goes on. Links are verified on whole sets.
 
 Groups of near copies aren't compared pair by pair. In rounds, the members of crowded postings
 are first verified against a few leaders of the posting, and classes linked so far count as one
-component. Rounds go on while they find links and the pairs left outnumber the postings. Afterwards all pairs that share a posting and lie in different components are made
+component. Rounds go on while the pairs left outnumber the postings and each round leaves
+clearly fewer. Afterwards all pairs that share a posting and lie in different components are made
 and verified. Pairs inside a component can't change the components, and no other pair is left
 out, so the components are exact.
 """
@@ -20,12 +21,12 @@ out, so the components are exact.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
-from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import (
@@ -47,12 +48,15 @@ from .components import connected
 WORDS = 5
 PERCENT = 75
 SKETCH = 1 << 20
-MOST_MATCHES = 8
+MOST_MATCHES = 3
 # Cost of verifying a pair, for each shingle of a document, against one posting entry.
 VERIFY_COST = 0.05
 # Postings of more classes than this are first met by leaders.
 CROWDED = 8
 LEADERS = 3
+# Rounds of leaders go on while one leaves less than this share of the pairs.
+GAIN = 0.8
+_MEMBER = ("node", "component", "n", "matches", "place")
 
 
 def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
@@ -131,27 +135,41 @@ def _signatures(rows: DataFrame, words: int, percent: int) -> DataFrame:
     return written(made.select("id", "s.*"))
 
 
-def _shared_postings(classes: DataFrame) -> DataFrame:
-    """``token, node, n, matches``: the postings whose shingle is in two prefixes or more."""
-    tokens = classes.select(F.explode("prefix").alias("token"))
+def _shared_postings(signatures: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes ``key, node``, and postings ``node, n, matches, token, place`` of seemingly shared shingles.
+
+    Most shingles occur once: a Bloom filter of the others keeps them from going on.
+    """
+    tokens = signatures.select(F.explode("prefix").alias("token"))
     twice = tokens.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token")
-    twice = written(twice)
-    bits = classes.sparkSession.sparkContext.broadcast(bloom(twice))
+    bits = signatures.sparkSession.sparkContext.broadcast(bloom(twice))
 
-    @F.arrow_udf("array<long>")
+    @F.arrow_udf("array<struct<token:long,place:int>>")
     def likely(prefixes: pa.Array) -> pa.Array:
         flat = prefixes.flatten().to_numpy(zero_copy_only=False)
         keep = in_bloom(bits.value, flat)
         ends = prefixes.offsets.to_numpy() - prefixes.offsets[0].as_py()
+        place = np.arange(len(flat)) - np.repeat(ends[:-1], np.diff(ends))
         total = np.append(0, np.cumsum(keep))
-        return pa.ListArray.from_arrays(pa.array(total[ends].astype(np.int32)), pa.array(flat[keep]))
+        items = [pa.array(flat[keep]), pa.array(place[keep].astype(np.int32))]
+        items = pa.StructArray.from_arrays(items, ["token", "place"])
+        return pa.ListArray.from_arrays(pa.array(total[ends].astype(np.int32)), items)
 
-    postings = classes.select("node", "n", "matches", F.explode(likely("prefix")).alias("token"))
-    return written(postings.join(twice, "token", "left_semi"))
+    some = signatures.select("id", "key", "n", "matches", likely("prefix").alias("prefix"))
+    classes = written(
+        some.groupBy("key").agg(
+            F.min("id").alias("node"), F.min_by(F.struct("n", "matches", "prefix"), "id").alias("s")
+        )
+    )
+    postings = classes.select("node", "s.n", "s.matches", F.inline("s.prefix"))
+    return classes.select("key", "node"), postings
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose whole sets are similar enough."""
+def _verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` of documents in ``rows`` whose whole sets are similar enough."""
+    pairs = written(pairs)
+    ends = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    sets = _sets_of(rows, ends, words)
     first = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     second = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(second, "b").join(first, "a")
@@ -165,7 +183,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return pa.array(out, pa.int64())
 
     counted = both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), common("sa", "sb").alias("i"))
-    return counted.filter(F.col("i") * 100 >= (F.col("na") + F.col("nb") - F.col("i")) * percent).select("a", "b")
+    similar = F.col("i") * 100 >= (F.col("na") + F.col("nb") - F.col("i")) * percent
+    return written(counted.filter(similar).select("a", "b"))
 
 
 def _with_component(postings: DataFrame, components: DataFrame | None) -> DataFrame:
@@ -175,45 +194,57 @@ def _with_component(postings: DataFrame, components: DataFrame | None) -> DataFr
     return known.withColumn("component", F.coalesce("component", "node"))
 
 
-def _mixed_postings(postings: DataFrame) -> DataFrame:
-    """Postings of shingles that more than one component has, with the number of their rows."""
-    mixed_ = postings.groupBy("token").agg(
-        F.count("*").alias("rows"), F.min("component").alias("lo"), F.max("component").alias("hi")
-    )
-    return postings.join(mixed_.filter("lo < hi").select("token", "rows"), "token")
+def _counted(postings: DataFrame) -> DataFrame:
+    """Postings of shingles that more than one class has, with the number of their rows."""
+    rows = postings.groupBy("token").agg(F.count("*").alias("rows")).filter("rows > 1")
+    return written(postings.join(rows, "token"))
 
 
-def _leader_pairs(postings: DataFrame, turn: int, percent: int) -> DataFrame:
+def _leader_pairs(crowded: DataFrame, turn: int, percent: int) -> DataFrame:
     """Pairs of each member of a crowded posting with a few leaders of it.
 
     Leaders are the members with the smallest hashes, so that a group shares them over all its
-    postings; a quarter of the shingles is enough to find them.
+    postings. (Two leaders meet twice, which may make one more candidate.)
     """
-    crowded = postings.filter((F.col("rows") > CROWDED) & (F.pmod("token", F.lit(4)) == turn % 4))
+    member = F.struct(*_MEMBER)
     ranks = [
-        F.min(F.struct(F.xxhash64("node", F.lit(turn * LEADERS + i)), "node", "component", "n")).alias(f"l{i}")
-        for i in range(LEADERS)
+        F.min_by(member, F.xxhash64("node", F.lit(turn * LEADERS + i))).alias(f"l{i}") for i in range(LEADERS)
     ]
     leaders = crowded.groupBy("token").agg(*ranks)
-    leaders = leaders.select("token", F.array(*(f"l{i}" for i in range(LEADERS))).alias("leaders"))
-    met = crowded.join(leaders, "token").select("node", "component", "n", F.explode("leaders").alias("l"))
-    met = met.filter("component <> l.component").filter(_sizes_fit("n", "l.n", percent))
-    return met.select(F.greatest("node", "l.node").alias("a"), F.least("node", "l.node").alias("b")).distinct()
+    leaders = leaders.select("token", F.explode(F.array_distinct(F.array(*(f"l{i}" for i in range(LEADERS))))).alias("b"))
+    met = crowded.select("token", F.struct(*_MEMBER).alias("a")).join(leaders, "token")
+    return _asked(met.filter("a.component <> b.component").filter(_possible(percent)))
+
 
+def _possible(percent: int) -> Column:
+    """Whether ``a`` and ``b``, which share a shingle at known places of both, can be similar.
 
-def _sizes_fit(a: str, b: str, percent: int):
-    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
+    Their sizes must fit. And what they share can't be more than what follows the place in
+    either, and the shared ones before it; of a similar pair's first ``asked`` shared shingles,
+    none has more than ``asked - 1`` before it.
+    """
+    na, nb = F.col("a.n"), F.col("b.n")
+    shared = F.least(na - F.col("a.place"), nb - F.col("b.place")) + F.least("a.matches", "b.matches") - 1
+    sizes = (na * 100 >= nb * percent) & (nb * 100 >= na * percent)
+    return sizes & (shared * (100 + percent) >= (na + nb) * percent)
 
 
 def _all_pairs(postings: DataFrame, percent: int) -> DataFrame:
     """Pairs in different components that share as many prefix shingles as they must."""
-    left = postings.select("token", *(F.col(c).alias(f"{c}_a") for c in ("node", "component", "n", "matches")))
-    right = postings.select("token", *(F.col(c).alias(f"{c}_b") for c in ("node", "component", "n", "matches")))
-    met = left.join(right, "token").filter("node_a > node_b and component_a <> component_b")
-    met = met.filter(_sizes_fit("n_a", "n_b", percent))
-    counted = met.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(
-        F.count("*").alias("shared"), F.min(F.least("matches_a", "matches_b")).alias("asked")
+    left = postings.select("token", F.struct(*_MEMBER).alias("a"))
+    right = postings.select("token", F.struct(*_MEMBER).alias("b"))
+    apart = (F.col("a.node") > F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
+    return _asked(left.join(right, "token").filter(apart & _possible(percent)))
+
+
+def _asked(met: DataFrame) -> DataFrame:
+    """Pairs that met in as many postings as both prefixes ask for."""
+    pairs = met.select(
+        F.greatest("a.node", "b.node").alias("a"),
+        F.least("a.node", "b.node").alias("b"),
+        F.least("a.matches", "b.matches").alias("asked"),
     )
+    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("asked").alias("asked"))
     return counted.filter("shared >= asked").select("a", "b")
 
 
@@ -236,33 +267,27 @@ def jaccard_components(
     rows = docs.select(docs[id].alias("id"), text_of(docs[text]).alias("text"))
     signatures = _signatures(rows, words, percent)
     nodes = signatures.filter("n > 0 and id is not null")
-    classes = written(
-        nodes.groupBy("key").agg(
-            F.min("id").alias("node"),
-            F.min_by(F.struct("n", "matches", "prefix"), "id").alias("s"),
-        )
-    )
-    postings = _shared_postings(classes.select("node", "s.*"))
-    active = written(postings.select("node").distinct())
-    sets = _sets_of(rows, active, words)
-    links, components, turn = None, None, 0
+    classes, postings = _shared_postings(nodes)
+    postings = _counted(postings)
+    crowded = postings.filter(F.col("rows") > CROWDED)
+    links, components, turn, before = None, None, 0, math.inf
     while True:
-        current = written(_mixed_postings(_with_component(postings, components)))
+        current = written(_with_component(crowded, components))
         size, cross = _work(current)
-        if cross <= 2 * size:
+        if cross <= 2 * size or cross > GAIN * before:
             break
-        found = written(_verified(_leader_pairs(current, turn, percent), sets, percent))
+        before = cross
+        found = _verified(_leader_pairs(current, turn, percent), rows, words, percent)
         turn += 1
         if found.isEmpty():
             break
         links = found if links is None else links.union(found)
         components = written(connected(links))
-        postings = current.select("token", "node", "n", "matches")
-    found = written(_verified(_all_pairs(current, percent), sets, percent))
+    found = _verified(_all_pairs(_with_component(postings, components), percent), rows, words, percent)
     links = found if links is None else links.union(found)
     # Documents with one id are one node, whatever their texts; classes of one id link too.
-    same = classes.select(F.col("key"), F.col("node"))
-    twins = _one_id_several_classes(nodes).join(same, "key").select(F.col("id").alias("a"), F.col("node").alias("b"))
+    twins = _one_id_several_classes(nodes).join(classes, "key")
+    twins = twins.select(F.col("id").alias("a"), F.col("node").alias("b"))
     links = links.union(twins.filter("a <> b"))
     components = written(connected(links))
     result = classes.select("key", "node").join(components, "node", "left")
@@ -285,7 +310,7 @@ def _work(postings: DataFrame) -> tuple[int, int]:
     by = postings.groupBy("token", "component").agg(F.count("*").cast("double").alias("c"))
     by = by.groupBy("token").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
     row = by.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
-    return int(row[0] or 0), ceil(row[1] or 0)
+    return int(row[0] or 0), math.ceil(row[1] or 0)
 
 
 def _sets_of(rows: DataFrame, active: DataFrame, words: int) -> DataFrame:
