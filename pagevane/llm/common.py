@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from pagevane.session import shared_dir
 
-# Text bytes that one vectorised step works on; a longer single text is one step.
-STEP_BYTES = 1 << 21
+# Text bytes that one vectorised step works on, small enough for its arrays to stay in cache; a
+# longer single text is one step.
+STEP_BYTES = 1 << 19
 # Bounds of an Arrow batch, so that a run of long texts doesn't fill a worker's memory.
 BATCH_ROWS = "2000"
 BATCH_BYTES = str(32 << 20)
