@@ -9,20 +9,25 @@ are then numbered within their length and take the places of the plan by number.
 
 from __future__ import annotations
 
+import json
 import zlib
+from array import array
 from bisect import bisect_right
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
+from public_tokenizers import PATTERN
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .bpe import _units
-from .common import fresh, steps, text_of, utf8, written
+from .common import steps, text_of, utf8, written
 
-CACHE_UNITS = 400_000
+CACHE_UNITS = 650_000
 # Nodes of the branch-and-bound search, and the fillings kept at a node.
 SEARCH_NODES = 60
 FILLINGS = 6
@@ -33,41 +38,75 @@ _tokenizers: dict = {}
 
 
 class _Ids:
-    """Ids by a tokenizer file, with a cache of units (see ``bpe``)."""
+    """Ids by a byte-level BPE tokenizer file, with a cache of units and pieces (see ``bpe``)."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as file:
+            how = json.load(file)
+        split = how["pre_tokenizer"] or {}
+        if how["normalizer"] or split.get("type") != "ByteLevel" or split.get("add_prefix_space"):
+            raise ValueError(f"not a byte-level tokenizer without prefix space: {path}")
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.letters = _byte_letters()
+        self.pattern = regex.compile(PATTERN)
+        self.units: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers.
 
         The tokenizer's pattern always ends a match where ``_units`` cuts, so that the ids of
-        a text are those of its units. A text that holds an added token's string is given to
-        the tokenizer whole, as such strings may span units.
+        a text are those of the pieces of its units, by the tokenizer's model. A text that
+        holds an added token's string is given to the tokenizer whole.
         """
-        whole = [any(s in t for s in self._added()) for t in texts]
+        whole = [any(s in t for s in self.added) for t in texts]
         units = [[] if w else _units(t) for t, w in zip(texts, whole)]
-        wanted = {u for of in units for u in of}
-        new = [u for u in wanted if u not in self.cache]
-        if len(self.cache) + len(new) > CACHE_UNITS:
-            self.cache.clear()
-            new = list(wanted)
-        for u, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.cache[u] = np.array(e.ids, "<u4").tobytes()
+        self._learn({u for of in units for u in of})
         return [
-            np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+            array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes()
             if w
-            else b"".join(map(self.cache.__getitem__, of))
+            else b"".join(map(self.units.__getitem__, of))
             for t, w, of in zip(texts, whole, units)
         ]
 
-    def _added(self) -> list[str]:
-        if not hasattr(self, "added"):
-            self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
-        return self.added
+    def forget(self) -> None:
+        self.units.clear()
+        self.pieces.clear()
+
+    def _learn(self, units: set[str]) -> None:
+        new = [u for u in units if u not in self.units]
+        if len(self.units) + len(new) > CACHE_UNITS:
+            self.units.clear()
+            new = list(units)
+        cut = [[u] if _one_word(u) else self.pattern.findall(u) for u in new]
+        pieces = {p for of in cut for p in of}
+        if len(self.pieces) + len(pieces) > CACHE_UNITS:
+            self.pieces.clear()
+        for p in pieces:
+            if p not in self.pieces:
+                tokens = self.model.tokenize(p.encode().decode("latin-1").translate(self.letters))
+                self.pieces[p] = array("I", [t.id for t in tokens]).tobytes()
+        for u, of in zip(new, cut):
+            self.units[u] = b"".join(map(self.pieces.__getitem__, of))
+
+
+def _one_word(unit: str) -> bool:
+    """Whether a unit is a space and letters of the Latin blocks: one match of the pattern."""
+    return unit[:1] == " " and unit[1:].isalpha() and max(unit) < "\u0250"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The printable character that a byte-level vocabulary has for each byte.
+
+    Printable bytes of Latin-1 stand for themselves, the others for the characters from 256 on.
+    """
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = (b for b in range(256) if b not in plain)
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 def _ids(path: str) -> _Ids:
@@ -86,33 +125,40 @@ def pieces(text: str | Column, path: str, capacity: int, end_id: int = 0) -> Col
     """
 
     @F.arrow_udf("array<struct<piece:int,start:long,length:long,ids_crc32:long>>")
-    def cut(texts: pa.Array) -> pa.Array:
+    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ids = _ids(path)
-        end = np.array([end_id], "<u4").tobytes()
-        offsets, number, start, length, crc = [0], [], [], [], []
-        _, bytes_at = utf8(texts)
-        for first, last in steps(bytes_at):
-            for row in ids.encode(texts.slice(first, last - first).fill_null("").to_pylist()):
-                data = memoryview(row + end)
-                n = len(data) // 4
-                at, to = 0, n % capacity or capacity
-                count = 0
-                while at < n:
-                    number.append(count)
-                    start.append(at)
-                    length.append(to - at)
-                    crc.append(zlib.crc32(data[4 * at : 4 * to]))
-                    at, to, count = to, to + capacity, count + 1
-                offsets.append(len(number))
-        names = ["piece", "start", "length", "ids_crc32"]
-        values = [pa.array(number, pa.int32())] + [pa.array(x, pa.int64()) for x in (start, length, crc)]
-        return pa.ListArray.from_arrays(
-            pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(values, names)
-        )
+        try:
+            for texts in batches:
+                yield _cut(texts, ids, capacity, end_id)
+        finally:
+            ids.forget()  # the worker may go on to other work
 
     return cut.asNondeterministic()(text_of(text))
 
 
+def _cut(texts: pa.Array, ids: _Ids, capacity: int, end_id: int) -> pa.Array:
+    end = np.array([end_id], "<u4").tobytes()
+    offsets, number, start, length, crc = [0], [], [], [], []
+    _, bytes_at = utf8(texts)
+    for first, last in steps(bytes_at):
+        for row in ids.encode(texts.slice(first, last - first).fill_null("").to_pylist()):
+            data = memoryview(row + end)
+            n = len(data) // 4
+            at, to = 0, n % capacity or capacity
+            count = 0
+            while at < n:
+                number.append(count)
+                start.append(at)
+                length.append(to - at)
+                crc.append(zlib.crc32(data[4 * at : 4 * to]))
+                at, to, count = to, to + capacity, count + 1
+            offsets.append(len(number))
+    names = ["piece", "start", "length", "ids_crc32"]
+    values = [pa.array(number, pa.int32())] + [pa.array(x, pa.int64()) for x in (start, length, crc)]
+    items = pa.StructArray.from_arrays(values, names)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items)
+
+
 # --- the plan, on the histogram of lengths -------------------------------------------
 
 Filling = tuple[int, ...]  # lengths, longest first
