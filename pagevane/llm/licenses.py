@@ -7,7 +7,7 @@ of its own. Templates are cut in the same way, and each band of a template's win
 entry. Where a text holds a template whose pairs fit a window, some window holds them all; it has
 at most ``2 * STEP`` pairs, so that with ``BANDS > 2 * STEP - t`` bands the smallest of the
 template's ``t`` pairs is among them: found for certain from four pairs (five words) on with these
-settings. Windows of longer templates overlap some window of the text by six of eight pairs or more,
+settings. Shorter templates are looked up by all pairs of a window. Windows of longer templates overlap some window of the text by six of eight pairs or more,
 and there are several of them.
 
 A template found by a window is verified on the words around the window: the share of the
@@ -28,21 +28,93 @@ STEP = 4
 BANDS = 5
 CONTAINED = 0.8
 
-# The usual one-line notices of common licenses, by SPDX name.
+# Short notices of common licenses, by SPDX name ("Proprietary" where rights are kept).
 TEMPLATES = {
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "BSD-3-Clause": "Use of this source code is governed by a BSD-style license",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
+    "CC-BY-NC-4.0": "CC BY-NC 4.0",
+    "CC-BY-NC-ND-4.0": "CC BY-NC-ND 4.0",
+    "CC-BY-NC-SA-4.0": "CC BY-NC-SA 4.0",
+    "CC-BY-ND-4.0": "CC BY-ND 4.0",
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "CC0-1.0": "CC0 1.0 Universal",
     "GPL-2.0": "This work is licensed under the GNU General Public License, version 2",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
     "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3",
     "MIT": "Released under the MIT License",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0",
-    "Proprietary": "All rights reserved. No part of this work may be reproduced without permission",
+    "Proprietary": "All rights reserved",
 }
 
-Keys = dict[str, tuple[list[int], list[int]]]  # of a template: index entries, word pairs
+_GNU = "under the terms of the GNU {} as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version"
+_CC = "Creative Commons Attribution-{} 4.0 International"
+
+# Further wordings, and passages by which license bodies are known: titles, grants and conditions.
+# "BSD" is what the 2-clause and the 3-clause body have in common.
+PASSAGES = [
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("AGPL-3.0", _GNU.format("Affero General Public License", 3)),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    (
+        "Apache-2.0",
+        "each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, "
+        "irrevocable copyright license to reproduce, prepare Derivative Works of",
+    ),
+    (
+        "BSD",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met",
+    ),
+    ("BSD", "Redistributions of source code must retain the above copyright notice, this list of conditions and"),
+    (
+        "BSD-3-Clause",
+        "nor the names of its contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission",
+    ),
+    ("CC-BY-4.0", "CC BY 4.0"),
+    ("CC-BY-NC-4.0", _CC.format("NonCommercial")),
+    ("CC-BY-NC-ND-4.0", _CC.format("NonCommercial-NoDerivatives")),
+    ("CC-BY-NC-SA-4.0", _CC.format("NonCommercial-ShareAlike")),
+    ("CC-BY-ND-4.0", _CC.format("NoDerivatives")),
+    ("CC-BY-SA-4.0", "CC BY-SA 4.0"),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("GPL-2.0", _GNU.format("General Public License", 2)),
+    ("GPL-2.0", "The licenses for most software are designed to take away your freedom to share and change it"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("GPL-3.0", _GNU.format("General Public License", 3)),
+    (
+        "GPL-3.0",
+        "The licenses for most software and other practical works are designed to take away your freedom to share "
+        "and change the works",
+    ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted",
+    ),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("LGPL-2.1", _GNU.format("Lesser General Public License", 2.1)),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("LGPL-3.0", _GNU.format("Lesser General Public License", 3)),
+    ("MIT", "under the MIT License"),
+    (
+        "MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+        "associated documentation files",
+    ),
+    (
+        "MIT",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial "
+        "portions of the Software",
+    ),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("Proprietary", "No part of this work may be reproduced without permission"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain"),
+]
+
+Keys = list[tuple[str, list[int], list[int]]]  # of each template: name, index entries, word pairs
 
 
 def words_of(text: str | Column) -> Column:
@@ -83,21 +155,31 @@ def _indexed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("bands", _bands("pairs", "blocks"))
 
 
-def template_keys(spark: SparkSession, templates: dict[str, str]) -> Keys:
+def template_keys(spark: SparkSession, templates: list[tuple[str, str]]) -> Keys:
     """Index entries and word pairs of each template, made by the expressions that documents get."""
-    rows = spark.createDataFrame(sorted(templates.items()), "name string, text string")
+    rows = spark.createDataFrame(sorted(templates), "name string, text string")
     keys = F.array_distinct(F.flatten("bands")).alias("keys")
     found = _indexed(rows).select("name", keys, F.array_distinct("pairs").alias("pairs"))
-    return {r["name"]: (r["keys"], r["pairs"]) for r in found.collect()}
+    return [(r["name"], r["keys"], r["pairs"]) for r in found.collect() if r["pairs"]]
+
+
+def _short(pairs: list[int]) -> bool:
+    """Whether a window can hold a template without a pair of it among the window's bands."""
+    return BANDS <= 2 * STEP - len(pairs)
 
 
 def _literals(values: list[int]) -> Column:
-    return F.array(*(F.lit(v).cast("bigint") for v in values))
+    return F.expr(f"array({', '.join(f'{v}L' for v in values)})")
 
 
 def _verified(name: str, keys: list[int], pairs: list[int]) -> Column:
     """Matches of one template, ``license, at, share``: the best window if it holds enough."""
-    hit = F.filter("blocks", lambda w: F.arrays_overlap(F.get("bands", w), _literals(keys)))
+
+    def meets(w: Column) -> Column:
+        window = F.slice("pairs", w * STEP + 1, F.lit(2 * STEP)) if _short(pairs) else F.get("bands", w)
+        return F.arrays_overlap(window, _literals(pairs if _short(pairs) else keys))
+
+    hit = F.filter("blocks", meets)
     margin = len(pairs)
 
     def share(w: Column) -> Column:
@@ -136,16 +218,20 @@ def scan(
     templates found at one place, the one with the largest share counts. Null, empty and wordless
     texts have none.
     """
-    known = template_keys(docs.sparkSession, TEMPLATES if templates is None else templates)
-    known = {name: x for name, x in known.items() if x[1]}
+    texts = [*TEMPLATES.items(), *PASSAGES] if templates is None else list(templates.items())
+    known = template_keys(docs.sparkSession, texts)
     rows = _indexed(docs.select(docs[id].alias("id"), text_of(docs[text]).alias("text")))
-    every = sorted({k for keys, _ in known.values() for k in keys})
+    every = sorted({k for _, keys, pairs in known if not _short(pairs) for k in keys})
+    short = sorted({k for _, _, pairs in known if _short(pairs) for k in pairs})
     none = F.array().cast("array<struct<license:string,at:int,share:double>>")
     # Most texts meet no entry of the index; the rest is verified.
-    met = F.coalesce(F.arrays_overlap(F.flatten("bands"), _literals(every)), F.lit(False)) if every else F.lit(False)
+    met = F.lit(False)
+    for items, entries in ((F.flatten("bands"), every), (F.col("pairs"), short)):
+        if entries:
+            met = met | F.coalesce(F.arrays_overlap(items, _literals(entries)), F.lit(False))
     rows = rows.select("id", "pairs", "blocks", "bands", met.alias("met"))
     if known:
-        found = F.concat(*(F.coalesce(_verified(name, *x), none) for name, x in known.items()))
+        found = F.concat(*(F.coalesce(_verified(*x), none) for x in known))
         rows = rows.select("id", F.when(F.col("met"), found).otherwise(none).alias("matches"))
     else:
         rows = rows.select("id", none.alias("matches"))

@@ -255,6 +255,46 @@ def test_licenses_wherever_they_stand(spark):
     assert all(set(v) <= {expected[i]} for i, v in found.items())
 
 
+def test_license_lines_of_the_tables(spark):
+    """The lines as they are in the tables, whatever the templates."""
+    lines = {
+        "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
+        "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+        "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+        "MIT": "Released under the MIT License.",
+        "Proprietary": "All rights reserved.",
+    }
+    docs = {r.doc_id: r.text for r in table(spark, "documents", "sf0.01").collect()}
+    rows = {r.doc_id: r.licenses for r in QUERIES["op9_license_scan"](spark, f"{DATA}/sf0.01").collect()}
+    assert rows == {i: ",".join(k for k, v in lines.items() if v in t) for i, t in docs.items()}
+    assert {k for v in rows.values() for k in v.split(",") if k} == set(lines)
+
+
+def test_license_bodies_and_other_wordings(spark):
+    cases = [
+        ("MIT", "Copyright (c) 2020 X\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\n"
+         "of this software and associated documentation files (the \"Software\"), to deal in the Software"),
+        ("BSD", "Redistribution and use in source and binary forms, with or without\nmodification, are permitted "
+         "provided that the following conditions are met:"),
+        ("Apache-2.0", "Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/"),
+        ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991\nCopyright (C) 1989, 1991"),
+        ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007"),
+        ("GPL-2.0", "you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+         "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+        ("CC-BY-NC-SA-4.0", "photos: CC BY-NC-SA 4.0, by the author"),
+        ("CC-BY-NC-4.0", "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+        ("Proprietary", "(c) 2001 Someone. All Rights Reserved"),
+    ]
+    rng = random.Random(3)
+    rows, expected = [], {}
+    for i, ((name, text), n) in enumerate(itertools.product(cases, range(12))):
+        around = " ".join(f"w{rng.randrange(999)}" for _ in range(n))
+        rows.append((i, f"{around} {text} {around}"))
+        expected[i] = [name]
+    found = {r.doc_id: r.licenses for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == expected
+
+
 def test_licenses_of_odd_rows(odd, none):
     rows = licenses.scan(odd).collect()
     assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in odd.collect())
