@@ -19,11 +19,12 @@ import math
 import random
 import re
 from bisect import bisect_right
-from collections import defaultdict
-from collections.abc import Iterable
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import reduce
 from operator import add
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -107,8 +108,11 @@ _SPELT = re.compile(
     rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}{_AT}[A-Za-z0-9-]{{1,63}}(?:(?:{_DOT}|\.)[A-Za-z0-9-]{{1,63}}){{1,4}}"
 )
 _SPELT_SIGN = re.compile(r"\b(?:at|AT)\b|＠|@")
-_NUMBER = re.compile(r"(?<![0-9A-Za-z])[+(]?[0-9]++(?:[ ().:,/_\[\]-]{1,3}+[0-9]++){1,9}+(?![0-9A-Za-z])|(?<![0-9A-Za-z])[0-9]{9,19}+(?![0-9A-Za-z])")
-_LONGEST = 64  # characters of a segment of digits, and parts of a longer one's
+_GROUP = re.compile(r"[0-9]+")
+_GAP = re.compile(r"[ ().:,/_\[\]-]{1,3}")  # between two groups of a segment
+_NUMERALS = frozenset("0123456789")
+_LETTER = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+_LONGEST = 64  # characters of a segment of digits
 _CUES = {
     "email": ("mail", "contact", "write", "reach"),
     "ip": ("ip", "host", "server", "address"),
@@ -119,27 +123,61 @@ _CUES = {
 
 def candidates(text: str) -> list[tuple[int, int]]:
     """Segments that could be personal data, by start; all parts of groups within a number."""
-    found: set[tuple[int, int]] = set()
-    if _SPELT_SIGN.search(text):
-        found.update(m.span() for m in _SPELT.finditer(text))
-    if _DIGITS.search(text):
-        for m in _NUMBER.finditer(text):
-            s, e = m.span()
-            groups = [g.span() for g in re.finditer(r"[0-9]+", m[0])]
-            lead = 1 if m[0][0] in "+(" else 0
-            if e - s <= _LONGEST:
-                found.add((s, e))
-            for i in range(len(groups)):
-                for j in range(i + 3, min(i + 8, len(groups))):
-                    a = s + groups[i][0] - (lead if i == 0 else 0)
-                    b = s + groups[j][1]
-                    if b - a <= _LONGEST:
-                        found.add((a, b))
-    return sorted(found)
+    return sorted({*_spelt(text), *_parts(text, [], None)})
+
+
+def _spelt(text: str) -> list[tuple[int, int]]:
+    return [m.span() for m in _SPELT.finditer(text)] if _SPELT_SIGN.search(text) else []
+
+
+def _parts(
+    text: str, taken: list[tuple[int, int]], worth: Callable[[int, int, frozenset[str]], bool] | None
+) -> Iterator[tuple[int, int]]:
+    """Each one or more neighbouring groups of digits within ``_LONGEST`` characters, by start.
+
+    Those that overlap one of ``taken`` (disjoint, sorted), and those whose number of digits and groups
+    and separators ``worth`` rules out, are left out. A sign or bracket in front makes another one.
+    """
+    if not _DIGITS.search(text):
+        return
+    groups = [m.span() for m in _GROUP.finditer(text)]
+    at = 0
+    for i, (s, first) in enumerate(groups):
+        while at < len(taken) and taken[at][1] <= s:
+            at += 1
+        limit = taken[at][0] if at < len(taken) else len(text)
+        starts = [s] if s == 0 or text[s - 1] not in _LETTER else []
+        if s and text[s - 1] in "+(" and not (s > 1 and (text[s - 2] in _LETTER or text[s - 2] in _NUMERALS)):
+            if not at or taken[at - 1][1] < s:
+                starts.append(s - 1)
+        if not starts:
+            continue
+        digits, end, inside = 0, s, frozenset()
+        for j in range(i, len(groups)):
+            b, e = groups[j]
+            if e > limit or e - s > _LONGEST or (j > i and (b - end > 3 or not _GAP.fullmatch(text, end, b))):
+                break
+            if not inside.issuperset(text[end:b]):
+                inside = inside.union(text[end:b])
+            digits, end = digits + e - b, e
+            if worth and not worth(digits, j - i + 1, inside):
+                continue
+            if e == len(text) or text[e] not in _LETTER:
+                yield from ((a, e) for a in starts if e - a <= _LONGEST)
 
 
 def features(text: str, start: int, end: int, kind: str) -> list[str]:
     """Names of the whole-span features that hold, each for one kind."""
+    shape, before = _shape(text, start, end), _before(text, start)
+    return [f"{kind}:{f}" for f in shape + ["cue"] * any(cue in before for cue in _CUES[kind])]
+
+
+def _before(text: str, start: int) -> str:
+    return text[max(0, start - 24) : start].lower()
+
+
+def _shape(text: str, start: int, end: int) -> list[str]:
+    """The features that are the same for each kind."""
     s = text[start:end]
     digits = _digits(s)
     groups = [g for g in re.split(r"[^0-9]+", s) if g]
@@ -166,10 +204,7 @@ def features(text: str, start: int, end: int, kind: str) -> list[str]:
         out.append("even" if len({len(g) for g in groups[:-1]} or {0}) == 1 else "uneven")
         if len(digits) >= 10:
             out.append("tenplus")
-    before = text[max(0, start - 24) : start].lower()
-    if any(cue in before for cue in _CUES[kind]):
-        out.append("cue")
-    return [f"{kind}:{f}" for f in out]
+    return out
 
 
 # --- the semi-Markov field -----------------------------------------------------------
@@ -181,17 +216,64 @@ def _score(weights: Weights, text: str, start: int, end: int, kind: str) -> floa
     return sum(weights.get(f, 0.0) for f in features(text, start, end, kind))
 
 
+def _scores(weights: Weights, text: str, start: int, end: int) -> list[tuple[str, float]]:
+    """Each kind with its score."""
+    shape, before = _shape(text, start, end), _before(text, start)
+    out = []
+    for kind in KINDS:
+        score = sum(weights.get(f"{kind}:{f}", 0.0) for f in shape)
+        out.append((kind, score + weights.get(f"{kind}:cue", 0.0) * any(cue in before for cue in _CUES[kind])))
+    return out
+
+
+class _Worth:
+    """Whether a segment of so many digits and groups, with these separators, can score above 0 at all.
+
+    By upper bounds, so that what it rules out is no option whatever its groups and the words before.
+    """
+
+    def __init__(self, weights: Weights):
+        self.weights = weights
+        self.known: dict[tuple[int, int, frozenset[str]], bool] = {}
+
+    def __call__(self, digits: int, groups: int, inside: frozenset[str]) -> bool:
+        key = (min(digits, 20), min(groups, 8), inside)
+        if key not in self.known:
+            self.known[key] = any(self._most(k, *key) > 1e-12 for k in KINDS)
+        return self.known[key]
+
+    def _most(self, kind: str, digits: int, groups: int, inside: frozenset[str]) -> float:
+        w = lambda f: self.weights.get(f"{kind}:{f}", 0.0)
+        total = w("bias") + w(f"digits{digits}") + w(f"groups{groups}") + w("noletters") + w("tenplus") * (digits >= 10)
+        total += max(w("octets"), w("nooctets")) if groups == 4 else w("nooctets")
+        total += max(w("luhn"), w("noluhn")) if 14 <= digits <= 19 else w("noluhn")
+        total += w("mixed") if len(inside - set("+()")) > 1 else w("plain")
+        total += max(w("even"), w("uneven")) + max(0.0, w("cue")) + sum(w(f"sep{c}") for c in inside)
+        return total + max(w("lead"), *(w(f"lead{c}") + w(f"sep{c}") * (c not in inside) for c in "+("))
+
+
+_known: _Worth | None = None  # of the weights used last
+
+
 def segment(text: str, fixed: list[Span], weights: Weights) -> list[Span]:
     """The added spans of the best segmentation: none overlaps another or a fixed span."""
-    blocked = sorted((s, e) for s, e, _ in fixed)
+    global _known
+    if _known is None or _known.weights is not weights:
+        _known = _Worth(weights)
+    taken: list[tuple[int, int]] = []
+    for s, e, _ in sorted(fixed):
+        if taken and s < taken[-1][1]:
+            taken[-1] = (taken[-1][0], max(e, taken[-1][1]))
+        else:
+            taken.append((s, e))
+    spelt = []
+    for s, e in _spelt(text):
+        after = bisect_right(taken, s, key=lambda t: t[1])
+        if after == len(taken) or taken[after][0] >= e:
+            spelt.append((s, e))
     options: list[tuple[int, int, str, float]] = []
-    at = 0
-    for s, e in candidates(text):
-        while at < len(blocked) and blocked[at][1] <= s:
-            at += 1
-        if any(b[0] < e and b[1] > s for b in blocked[at : at + 8]):
-            continue
-        kind, score = max(((k, _score(weights, text, s, e, k)) for k in KINDS), key=lambda x: x[1])
+    for s, e in sorted({*spelt, *_parts(text, taken, _known)}):
+        kind, score = max(_scores(weights, text, s, e), key=lambda x: x[1])
         if score > 0:
             options.append((s, e, kind, score))
     options.sort(key=lambda o: (o[1], o[0]))
@@ -222,27 +304,40 @@ def train(examples: list[tuple[str, list[Span]]], rounds: int = 60, step: float
     An example is a short window with its spans. Expected features come from the forward and
     backward sums over all segmentations of its candidates.
     """
-    prepared = []
+    # Many examples are alike in all that counts: they are one, so many times.
+    alike: Counter[tuple] = Counter()
+    number: dict[str, int] = {}  # of features
     for text, spans in examples:
         segments = sorted(set(candidates(text)) | {(s, e) for s, e, _ in spans}, key=lambda x: (x[1], x[0]))
+        place = {c: i for i, c in enumerate(sorted({0} | {x for segment in segments for x in segment}))}
         gold = set(spans)
-        rows = [(s, e, k, features(text, s, e, k), (s, e, k) in gold) for s, e in segments for k in KINDS]
-        if rows:
-            prepared.append(rows)
-    weights: Weights = defaultdict(float)
+        names = [[tuple(number.setdefault(f, len(number)) for f in features(text, *x, k)) for k in KINDS] for x in segments]
+        hits = tuple((s, e, k) in gold for s, e in segments for k in KINDS)
+        if segments:
+            alike[tuple((place[s], place[e]) for s, e in segments), tuple(f for fs in names for f in fs), hits] += 1
+    if not alike:
+        return {}
+    rows = [f for _, fs, _ in alike for f in fs]
+    length = np.array([len(f) for f in rows])
+    flat, first = np.concatenate([np.array(f) for f in rows]), np.cumsum(length) - length
+    hit = np.concatenate([np.array(h, float) for *_, h in alike])
+    times = np.concatenate([np.full(len(h), n, float) for (*_, h), n in alike.items()])
+    weights, total = np.zeros(len(number)), sum(alike.values())
     for _ in range(rounds):
-        gradient: Weights = defaultdict(float)
-        for rows in prepared:
-            scores = [sum(weights[f] for f in fs) for *_, fs, _ in rows]
-            for (_, _, _, fs, hit), p in zip(rows, _marginals(rows, scores)):
-                for f in fs:
-                    gradient[f] += hit - p
-        for f, g in gradient.items():
-            weights[f] += step * (g / math.sqrt(len(prepared)) - ridge * weights[f])
-    return dict(weights)
-
-
-def _marginals(rows: list[tuple], scores: list[float]) -> list[float]:
+        scores = np.add.reduceat(weights[flat], first).reshape(-1, len(KINDS))
+        # A segment's score is that of all its kinds together, which then share its probability.
+        whole = np.logaddexp.reduce(scores, axis=1)
+        listed, each, at = whole.tolist(), [], 0
+        for segments, _, _ in alike:
+            each += _marginals(segments, listed[at : at + len(segments)])
+            at += len(segments)
+        chance = (np.array(each)[:, None] * np.exp(scores - whole[:, None])).ravel()
+        gradient = np.bincount(flat, np.repeat(times * (hit - chance), length), len(number))
+        weights += step * (gradient / math.sqrt(total) - ridge * weights)
+    return dict(zip(number, weights.tolist()))
+
+
+def _marginals(rows: Sequence[tuple], scores: list[float]) -> list[float]:
     """Probability of each labelled segment, over all sets of segments that don't overlap."""
     cuts = sorted({0} | {s for s, *_ in rows} | {e for _, e, *_ in rows})
     number = {c: i for i, c in enumerate(cuts)}
@@ -289,9 +384,27 @@ def make_examples(texts: Iterable[str]) -> list[tuple[str, list[Span]]]:
             for form, hit in [(span, True), *_rewritten(span, kind, chance)]:
                 gold = [(len(before), len(before) + len(form), kind)] if hit else []
                 out.append((before + form + after, gold))
+            if kind == "email":
+                continue
+            # Neighbouring numbers: where one ends and the next begins.
+            for form in [f for f, hit in _rewritten(span, kind, chance) if hit]:
+                years = [str(y) for y in range(1950, 2030)]
+                # Also a year with which the whole passes the check sum of a card.
+                passing = [y for y in years if luhn(_digits(y + form))]
+                cases = [(form, ", "), (form, " "), (chance.choice(years), ", "), (chance.choice(passing), ", ")]
+                for first, between in cases:
+                    at = len(before) + len(first) + len(between)
+                    gold = [(at, at + len(form), kind)]
+                    if first == form:
+                        gold.insert(0, (len(before), len(before) + len(form), kind))
+                    out.append((before + first + between + form + after, gold))
     return out
 
 
+# Years, months, days, hours, minutes and seconds of near misses.
+_CLOCK = ((1990, 2030), (1, 13), (1, 29), (0, 24), (0, 60), (0, 60))
+
+
 def _rewritten(span: str, kind: str, chance: random.Random) -> list[tuple[str, bool]]:
     digits = _digits(span)
     if kind == "email":
@@ -313,6 +426,8 @@ def _rewritten(span: str, kind: str, chance: random.Random) -> list[tuple[str, b
             (".".join([*parts[:3], str(256 + chance.randrange(600))]), False),
             ("/".join(parts[:3]), False),
             (".".join(parts[:3]), False),
+            ("{}-{:02}-{:02} {:02}:{:02}:{:02}".format(*(chance.randrange(*r) for r in _CLOCK)), False),
+            (" ".join(str(chance.randrange(1, 300)) for _ in range(8)), False),
         ]
     if kind == "card":
         four = [digits[i : i + 4] for i in range(0, len(digits), 4)]

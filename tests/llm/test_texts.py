@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -194,6 +195,29 @@ def test_the_field_adds_spans(weights, text, added):
     assert base == [] and [k for *_, k in more] == added
 
 
+@pytest.mark.parametrize(
+    ("text", "added"),
+    [
+        ("call 555-123-4567, 555-987-6543", ["555-123-4567", "555-987-6543"]),
+        ("in 2024, 555-123-4567", ["555-123-4567"]),
+        ("(212) 555-0100, (212) 555-0101", ["(212) 555-0100", "(212) 555-0101"]),
+        ("555-123-4567 5pm", ["555-123-4567"]),
+        ("10[.]0[.]0[.]1, 10[.]0[.]0[.]2, 10[.]0[.]0[.]3", ["10[.]0[.]0[.]1", "10[.]0[.]0[.]2", "10[.]0[.]0[.]3"]),
+    ],
+)
+def test_neighbouring_numbers_are_parted(weights, text, added):
+    found = personal.candidates(text)
+    assert all((text.find(a), text.find(a) + len(a)) in found for a in added)
+    assert [text[s:e] for s, e, _ in personal.find_spans(text, weights)[1]] == added
+
+
+def test_candidates_are_all_parts_of_groups():
+    text = " ".join(str(i) for i in range(10, 34))
+    groups = [m.span() for m in re.finditer("[0-9]+", text)]
+    parts = {(s, e) for (s, _), (_, e) in itertools.combinations_with_replacement(groups, 2) if e - s <= 64}
+    assert personal.candidates(text) == sorted(parts)
+
+
 def test_added_spans_are_right_on_texts_not_trained_on(spark, weights):
     texts = [r.text for r in table(spark, "documents", "sf0.1").orderBy("doc_id").collect()]
     texts = [t for t in texts if re.search(r"@|[0-9]{4}", t)][-150:]
