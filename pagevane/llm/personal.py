@@ -365,15 +365,25 @@ def _log_sum(values: list[float]) -> float:
 # --- examples ------------------------------------------------------------------------
 
 SAMPLE = 200  # documents with base spans that are read for training
+_SPANS = 4  # base spans of each that are made examples
 _WINDOW = 60
 
 
+def _chosen(text: str) -> list[Span]:
+    """At most ``_SPANS`` base spans of a whole text, those with the smallest hashes, in order."""
+
+    def chance(span: Span) -> bytes:
+        return hashlib.sha256(f"{span[0]} {text[span[0] : span[1]]}".encode()).digest()
+
+    return sorted(sorted(base_spans(text), key=chance)[:_SPANS], key=_order)
+
+
 def make_examples(texts: Iterable[str]) -> list[tuple[str, list[Span]]]:
     """Windows around base spans, as they are, rewritten, and with near misses in their place."""
     out: list[tuple[str, list[Span]]] = []
     for number, text in enumerate(texts):
         chance = random.Random(number)
-        for s, e, kind in base_spans(text)[:4]:
+        for s, e, kind in _chosen(text):
             before, span, after = text[max(0, s - _WINDOW) : s], text[s:e], text[e : e + _WINDOW]
             # Sentences around it without spans of their own.
             before, after = (re.sub(r"[0-9@+]", "", x) for x in (before, after))
@@ -457,14 +467,13 @@ def _rewritten(span: str, kind: str, chance: random.Random) -> list[tuple[str, b
 def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Weights:
     """Weights learnt on at most ``sample`` texts that hold a digit or ``@``, the same each time.
 
-    The sample is the texts with the smallest hashes; of a longer text, the first 20,000
-    characters (a limit of the sample, not of what is searched).
+    The sample is the texts with the smallest hashes, as a whole. Each gives the examples of at most
+    ``_SPANS`` spans, wherever they stand, and all examples are learnt from.
     """
-    texts = docs.select(F.substring(text_of(docs[text]), 1, 20_000).alias("t"))
+    texts = docs.select(text_of(docs[text]).alias("t"))
     texts = texts.filter(F.col("t").rlike(r"@[A-Za-z0-9-]+\.|[0-9][0-9 .-]{8}"))
     chosen = texts.select("t", F.xxhash64("t").alias("h")).distinct().orderBy("h", "t").limit(sample)
-    examples = make_examples(r["t"] for r in chosen.collect())
-    return train(examples[:4000])
+    return train(make_examples(r["t"] for r in chosen.collect()))
 
 
 # --- the operator --------------------------------------------------------------------

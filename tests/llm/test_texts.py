@@ -211,6 +211,14 @@ def test_neighbouring_numbers_are_parted(weights, text, added):
     assert [text[s:e] for s, e, _ in personal.find_spans(text, weights)[1]] == added
 
 
+def test_training_reads_whole_texts(spark):
+    late = "plain words " * 2000 + "write to anna@mail.org today"
+    assert personal.fit(spark.createDataFrame([(late,)], "text string"))
+    many = [f"u{i:03}@m.nn" for i in range(40)]
+    taken = {text[s:e] for text, gold in personal.make_examples([" ".join(many)]) for s, e, _ in gold}
+    assert len(taken & set(many)) == 4 and taken & set(many[4:])
+
+
 def test_candidates_are_all_parts_of_groups():
     text = " ".join(str(i) for i in range(10, 34))
     groups = [m.span() for m in re.finditer("[0-9]+", text)]
