@@ -10,6 +10,7 @@ Rules that hold for every operator here:
 from __future__ import annotations
 
 import atexit
+import hashlib
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -90,6 +91,40 @@ def _remove_at_end(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def joined_sha256(rows: DataFrame, keys: list[str], order: list[str], piece: Column, between: str, name: str) -> DataFrame:
+    """SHA-256 (lower-case hex, column ``name``) of a key's pieces in their order, joined by ``between``.
+
+    Pieces stream through the task that holds the key, so that no key's pieces are ever held together. Keys
+    aren't null.
+    """
+    dealt = rows.select(*keys, *order, piece.alias("_piece")).repartition(*keys)
+    fields = dealt.select(*keys).schema
+    names = [*keys, name]
+    glue = between.encode()
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, running, kinds = None, None, None
+        for batch in batches:
+            kinds = [batch.schema.field(k).type for k in keys] + [pa.string()]
+            done = []
+            for *key, text in zip(*(batch.column(c).to_pylist() for c in (*keys, "_piece"))):
+                data = (text or "").encode()
+                if key == now:
+                    running.update(glue + data)
+                    continue
+                if now is not None:
+                    done.append([*now, running.hexdigest()])
+                now, running = key, hashlib.sha256(data)
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)], names)
+        if now is not None:
+            last = [*now, running.hexdigest()]
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(last, kinds)], names)
+
+    sorted_ = dealt.sortWithinPartitions(*keys, *order)
+    return sorted_.mapInArrow(digest, fields.add(name, "string"))
+
+
 # --- arrays of a fixed size, gathered from all rows -----------------------------------
 
 BLOCKS = 64

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from pagevane.session import ship_package
 
-from . import bpe, fingerprints, jaccard, licenses, lines, near_vectors, packing, personal, substrings, toxicity
+from . import archives, bpe, fingerprints, jaccard, licenses, lines, near_vectors, packing, personal, prefixes, repair
+from . import substrings, toxicity
 from .common import small_batches, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +75,21 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removal_digest(_documents(spark, sf_dir))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _prepare(spark)
+    return repair.repair_digest(table(spark, sf_dir, "conversations"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _prepare(spark)
+    return prefixes.trie_digest(table(spark, sf_dir, "conversations"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _prepare(spark)
+    return archives.archived(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_byte_bpe": op2_byte_bpe,
@@ -85,8 +101,14 @@ QUERIES: dict[str, Query] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_license_scan": op9_license_scan,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_warc": op13_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": lines.SQL,
+    "op11_conversation_repair": repair.SQL,
+    "op12_prefix_trie": prefixes.SQL,
+    "op13_warc": archives.SQL,
 }
