@@ -91,13 +91,49 @@ def _remove_at_end(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def joined_sha256(rows: DataFrame, keys: list[str], order: list[str], piece: Column, between: str, name: str) -> DataFrame:
+def _in_blocks(rows: DataFrame, keys: list[str], order: list[str], glue: bytes) -> DataFrame:
+    """Neighbouring pieces of a key as one, of up to about ``STEP_BYTES``: ``keys, _part, _run, _piece``."""
+    sorted_ = rows.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    schema = rows.select(*keys).schema.add("_part", "int").add("_run", "long").add("_piece", "string")
+    names = schema.fieldNames()
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, run, now, held, size = TaskContext.get().partitionId(), 0, None, [], 0
+        for batch in batches:
+            kinds = [batch.schema.field(k).type for k in keys] + [pa.int32(), pa.int64(), pa.string()]
+            done = []
+            for *key, text in zip(*(batch.column(c).to_pylist() for c in (*keys, "_piece"))):
+                data = (text or "").encode()
+                if held and (key != now or size > STEP_BYTES):
+                    done.append([*now, part, run, glue.join(held).decode()])
+                    run, held, size = run + 1, [], 0
+                now = key
+                held.append(data)
+                size += len(data)
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)], names)
+        if held:
+            last = [*now, part, run, glue.join(held).decode()]
+            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(last, kinds)], names)
+
+    return sorted_.mapInArrow(build, schema)
+
+
+def joined_sha256(
+    rows: DataFrame, keys: list[str], order: list[str], piece: Column, between: str, name: str, short: bool = False
+) -> DataFrame:
     """SHA-256 (lower-case hex, column ``name``) of a key's pieces in their order, joined by ``between``.
 
-    Pieces stream through the task that holds the key, so that no key's pieces are ever held together. Keys
-    aren't null.
+    Pieces stream through the task that holds the key, so that no key's pieces are ever held together. Many
+    ``short`` ones are first joined where they lie, dealt by ranges, so that the key's task reads few rows.
+    Keys aren't null.
     """
-    dealt = rows.select(*keys, *order, piece.alias("_piece")).repartition(*keys)
+    dealt = rows.select(*keys, *order, piece.alias("_piece"))
+    if short:
+        dealt, order = _in_blocks(dealt, keys, order, between.encode()), ["_part", "_run"]
+    dealt = dealt.repartition(*keys)
     fields = dealt.select(*keys).schema
     names = [*keys, name]
     glue = between.encode()

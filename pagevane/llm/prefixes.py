@@ -366,7 +366,7 @@ def trie_digest(conversations: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """One row for each node, with a digest of the members that end there."""
     nodes, ends = prefix_trie(conversations, chunk)
     name = ["depth", "x", "y"]
-    digests = joined_sha256(ends, name, ["member"], F.col("member").cast("string"), ",", "ends_sha256")
+    digests = joined_sha256(ends, name, ["member"], F.col("member").cast("string"), ",", "ends_sha256", short=True)
     joined = nodes.join(digests, name, "left")
     none = F.sha2(F.lit(""), 256)
     return joined.select(
