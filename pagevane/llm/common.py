@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagevane.session import shared_dir
 
@@ -94,7 +95,7 @@ def _remove_at_end(spark: SparkSession, path: str) -> None:
 def _in_blocks(rows: DataFrame, keys: list[str], order: list[str], glue: bytes) -> DataFrame:
     """Neighbouring pieces of a key as one, of up to about ``STEP_BYTES``: ``keys, _part, _run, _piece``."""
     sorted_ = rows.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
-    schema = rows.select(*keys).schema.add("_part", "int").add("_run", "long").add("_piece", "string")
+    schema = rows.select(*keys).schema.add("_part", T.IntegerType()).add("_run", T.LongType()).add("_piece", T.StringType())
     names = schema.fieldNames()
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +159,7 @@ def joined_sha256(
             yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(last, kinds)], names)
 
     sorted_ = dealt.sortWithinPartitions(*keys, *order)
-    return sorted_.mapInArrow(digest, fields.add(name, "string"))
+    return sorted_.mapInArrow(digest, fields.add(name, T.StringType()))
 
 
 # --- arrays of a fixed size, gathered from all rows -----------------------------------
