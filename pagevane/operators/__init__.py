@@ -11,6 +11,7 @@ from pagevane.operators.embed import (
     mean_pool,
 )
 from pagevane.operators.extract import compute_once, extract_pages, page_key, with_headings
+from pagevane.operators.fulltext import StoredSearch, search_postings
 from pagevane.operators.index import index_batches, index_rows
 from pagevane.operators.language import (
     classify_ngrams,
@@ -39,6 +40,7 @@ from pagevane.operators.segments import explode_segments, segment_counts, with_s
 
 __all__ = [
     "HashingEncoder",
+    "StoredSearch",
     "bm25_search",
     "classify_ngrams",
     "compute_once",
@@ -70,6 +72,7 @@ __all__ = [
     "require_fields",
     "route_metrics",
     "running_total",
+    "search_postings",
     "segment_counts",
     "stamp",
     "train_ngram_profiles",

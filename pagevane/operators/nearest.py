@@ -34,9 +34,9 @@ MAX_HELD_ROWS = 4_000_000
 BLOCK_CELLS = 4_000_000
 
 
-def top_k(scored: DataFrame, query_id: str, key: str, k: int) -> DataFrame:
-    """First k rows per query; Spark cuts each partition to k rows before the shuffle."""
-    order = Window.partitionBy(query_id).orderBy(F.desc("score"), F.asc(key))
+def top_k(scored: DataFrame, query_id: str, key: str, k: int, *ties: str) -> DataFrame:
+    """First k rows per query, equal scores by ``key`` (and ``ties``); Spark cuts each partition to k rows before the shuffle."""
+    order = Window.partitionBy(query_id).orderBy(F.desc("score"), F.asc(key), *map(F.asc, ties))
     ranked = scored.withColumn("rank", F.row_number().over(order).cast("bigint"))
     return ranked.filter(F.col("rank") <= k)
 

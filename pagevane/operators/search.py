@@ -48,7 +48,7 @@ def postings(df: DataFrame, key: str, text: str = "h1") -> DataFrame:
     )
 
 
-def _query_terms(text: str) -> list[str]:
+def query_terms(text: str) -> list[str]:
     """Terms of a query string, by the rule of ``functions.text.tokens``."""
     return re.findall(r"[^\W_]+", text.lower())
 
@@ -67,7 +67,7 @@ def bm25_search(
     best k rows per task and query are shuffled, however common a term is. Many
     queries are answered in several passes.
     """
-    terms = {q: list(dict.fromkeys(_query_terms(words))) for q, words in queries.items()}
+    terms = {q: list(dict.fromkeys(query_terms(words))) for q, words in queries.items()}
     names = list(queries)
     passes = [names[i : i + QUERIES_PER_PASS] for i in range(0, len(names), QUERIES_PER_PASS)]
     analysed = df.select(key, F.inline(F.array(F.struct(tokens(text).alias("terms")))))

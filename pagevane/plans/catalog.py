@@ -23,6 +23,8 @@ from pagevane.functions import (
     word_count,
 )
 from pagevane.operators.extract import compute_once
+from pagevane.session import scratch_dir
+from pagevane.sinks.postings import append_postings
 from pagevane.sources import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +33,8 @@ K = 10
 ROUND = 6
 BATCH = 128
 ROWS_PER_BUCKET = 200
+# Loads that a table is appended to the stored postings in; together they are the whole table.
+LOADS = 3
 # One full-text query per language.
 FULL_TEXT = {
     "q_de": "der und ein",
@@ -279,6 +283,27 @@ def h1_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("score", _rounded("score"))
 
 
+def _stored_search(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Postings of the whole table, written in as many loads as ``LOADS``, then searched."""
+    spark = df.sparkSession
+    path = scratch_dir(spark)
+    load = F.pmod(F.xxhash64(key), F.lit(LOADS))
+    for i in range(LOADS):
+        append_postings(df.filter(load == i), path, i, key, text)
+    found = op.search_postings(spark, path, FULL_TEXT, K, df.schema[key].dataType)
+    return found.select("query_id", F.col("key").alias(key), _rounded("score").alias("score"), "rank")
+
+
+def h1_bm25_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    headings = op.with_headings(_pages(spark, sf_dir)).select("page_id", "h1")
+    return _stored_search(headings, "page_id", "h1")
+
+
+def text_bm25_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return _stored_search(docs, "doc_id", "text")
+
+
 # --- metrics -----------------------------------------------------------------------
 
 
@@ -377,6 +402,8 @@ QUERIES: dict[str, Query] = {
     "url_lookup": url_lookup,
     "h1_postings": h1_postings,
     "h1_bm25": h1_bm25,
+    "h1_bm25_stored": h1_bm25_stored,
+    "text_bm25_stored": text_bm25_stored,
     "parse_props": parse_props,
     "metric_total": metric_total,
     "metric_routing": metric_routing,

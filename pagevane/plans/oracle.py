@@ -294,30 +294,31 @@ def _knn_sql(condition: str) -> str:
 # --- full text ---------------------------------------------------------------------
 
 
-def _bm25_sql() -> str:
+def _bm25_sql(source: str = "", key: str = "page_id", text: str = "h1") -> str:
+    source = source or f"{_heading_cte()}, asked_of AS (SELECT page_id, h1 FROM heading)"
     asked = ", ".join(
         f"({q(name)}, {q(t)})" for name, text in C.FULL_TEXT.items() for t in text.split()
     )
     return f"""
-      WITH {_heading_cte()},
-      analysed AS (SELECT page_id, {tokens('h1')} AS terms FROM heading),
+      WITH {source},
+      analysed AS (SELECT {key}, {tokens(text)} AS terms FROM asked_of),
       stats AS (SELECT count(*) AS n, avg(len(terms)) AS avg_len FROM analysed),
       posting AS (
-        SELECT page_id, len(terms) AS dl, term, count(*) AS tf
-        FROM (SELECT page_id, terms, unnest(terms) AS term FROM analysed)
-        GROUP BY page_id, dl, term),
+        SELECT {key}, len(terms) AS dl, term, count(*) AS tf
+        FROM (SELECT {key}, terms, unnest(terms) AS term FROM analysed)
+        GROUP BY {key}, dl, term),
       frequency AS (SELECT term, count(*) AS df FROM posting GROUP BY term),
       asked(query_id, term) AS (VALUES {asked}),
       scored AS (
-        SELECT query_id, page_id, round(sum(
+        SELECT query_id, {key}, round(sum(
           ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * {Q.K1 + 1}
           / (tf + {Q.K1} * ({1 - Q.B} + {Q.B} * dl / avg_len))), {K.SCORE_DECIMALS}) AS s
         FROM asked JOIN posting USING (term) JOIN frequency USING (term), stats
-        GROUP BY query_id, page_id),
+        GROUP BY query_id, {key}),
       ranked AS (
-        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, page_id) AS rank
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, {key}) AS rank
         FROM scored)
-      SELECT query_id, page_id, {rounded('s', 'score')}, rank FROM ranked WHERE rank <= {C.K}"""
+      SELECT query_id, {key}, {rounded('s', 'score')}, rank FROM ranked WHERE rank <= {C.K}"""
 
 
 def _routing_sql() -> str:
@@ -441,6 +442,8 @@ def oracle_sql() -> dict[str, str]:
           FROM (SELECT page_id, len(terms) AS doc_len, unnest(terms) AS term FROM analysed)
           GROUP BY term, page_id, doc_len""",
         "h1_bm25": _bm25_sql(),
+        "h1_bm25_stored": _bm25_sql(),
+        "text_bm25_stored": _bm25_sql("asked_of AS (SELECT doc_id, text FROM documents)", "doc_id", "text"),
         "parse_props": f"SELECT event_id, {props_k} AS k FROM events",
         "metric_total": f"""
           SELECT event_id, {rounded(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,6 +70,20 @@ def shared_dir(spark: SparkSession) -> str:
     return _made[app]
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """A new folder name for tables of this session in the shared folder; removed when Python ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/pagevane-scratch-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is None:
+        return
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so a lost executor costs no recomputation."""
     context = df.sparkSession.sparkContext

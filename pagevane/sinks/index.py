@@ -11,6 +11,7 @@ from pagevane.functions.vectors import DIM
 from pagevane.operators.embed import dim_check
 from pagevane.operators.index import index_rows
 from pagevane.operators.messages import ERROR, require_fields
+from pagevane.sinks.postings import append_postings, postings_path
 
 CREATED = "created"
 
@@ -62,7 +63,8 @@ def append_index(df: DataFrame, path: str, load: str | int) -> int:
     ``_error`` or without a field the index needs, or whose vector doesn't have the index's
     dimension or holds a null, go to ``rejected_path`` with the reason,
     ``rebalance`` lets Spark even out the files by size, which also splits a hot
-    url; a Bloom filter on the keyword field serves exact lookups.
+    url; a Bloom filter on the keyword field serves exact lookups, and the postings of the
+    headings, written beside the table from the stored rows, full text.
     """
     known = index_exists(df.sparkSession, path)
     checked = _checked(df, index_dim(df.sparkSession, path) if known else None)
@@ -75,8 +77,10 @@ def append_index(df: DataFrame, path: str, load: str | int) -> int:
         .parquet(good)
     )
     checked.filter(F.col(ERROR).isNotNull()).write.mode("overwrite").parquet(bad)
+    stored = df.sparkSession.read.parquet(good)
+    append_postings(stored, postings_path(path), load)
     # Row counts come from the file footers.
-    return df.sparkSession.read.parquet(good).count()
+    return stored.count()
 
 
 def rejected_path(path: str) -> str:

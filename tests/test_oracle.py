@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from pagevane.plans import catalog, oracle
 
 from .conftest import DATA, ROOT
 
@@ -53,8 +54,9 @@ def test_query_equals_sql(spark, duck, name):
     assert found
 
 
-def test_every_query_but_lsh_has_sql():
-    assert set(QUERIES) - set(ORACLE) == {"knn_lsh"}
+def test_every_query_but_approximate_search_has_sql():
+    own = set(catalog.QUERIES)
+    assert own - set(oracle.oracle_sql()) == {"knn_lsh"}
     assert set(ORACLE) <= set(QUERIES)
 
 
