@@ -1,5 +1,6 @@
 """DataFrame -> DataFrame operators."""
 
+from pagevane.operators.cells import CellModel, CellSearch, append_cells, train_cells
 from pagevane.operators.embed import (
     HashingEncoder,
     dim_check,
@@ -39,8 +40,11 @@ from pagevane.operators.search import bm25_search, keyword_lookup, postings
 from pagevane.operators.segments import explode_segments, segment_counts, with_segments
 
 __all__ = [
+    "CellModel",
+    "CellSearch",
     "HashingEncoder",
     "StoredSearch",
+    "append_cells",
     "bm25_search",
     "classify_ngrams",
     "compute_once",
@@ -75,6 +79,7 @@ __all__ = [
     "search_postings",
     "segment_counts",
     "stamp",
+    "train_cells",
     "train_ngram_profiles",
     "with_headings",
     "with_language",

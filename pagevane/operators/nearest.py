@@ -1,16 +1,20 @@
-"""Nearest neighbours over a column of unit vectors, exact and approximate.
+"""Nearest neighbours over a column of unit vectors, exact and by random projections.
 
-Vectors have unit length, so the order by inner product is also that of cosine and
-Euclidean distance.
+Vectors have unit length, so the order by inner product is also that of cosine and Euclidean distance.
+
+One plan serves any number of queries. Both sides become blocks of vectors, keyed by what they must agree in
+(a filter's value, or nothing); blocks that meet in an equi-join are multiplied as matrices in the task, which
+passes on at most k rows for each query and block, and Spark's window keeps the best k. A query set of at most
+``SMALL`` rows is broadcast, and the corpus stays where it is; of a larger one each block is sent to all salts,
+and the corpus is dealt over the salts once, so that no value, however common, is one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
+import hashlib
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
@@ -21,17 +25,18 @@ from pyspark.sql import types as T
 
 from pagevane.functions.text import let
 from pagevane.functions.vectors import dot
-from pagevane.session import cut_lineage
 
 # Scores are compared after rounding to this many decimals, so that equal vectors
 # tie (and the smaller id wins) whatever order the products were added in.
 SCORE_DECIMALS = 9
-# Largest query set sent to every task at once (about 12 MB at 384 dimensions).
-MAX_QUERIES = 4096
-# Most result rows a task holds for one query set.
-MAX_HELD_ROWS = 4_000_000
+# Largest query set that is broadcast (about 12 MB at 384 dimensions).
+SMALL = 4096
+# Vectors of a block.
+BLOCK_ROWS = 4096
 # Cells of one score matrix inside a task (32 MB of doubles).
 BLOCK_CELLS = 4_000_000
+# Query blocks whose k-th best scores a task remembers, to pass on fewer rows.
+FLOORS = 64
 
 
 def top_k(scored: DataFrame, query_id: str, key: str, k: int, *ties: str) -> DataFrame:
@@ -41,166 +46,162 @@ def top_k(scored: DataFrame, query_id: str, key: str, k: int, *ties: str) -> Dat
     return ranked.filter(F.col("rank") <= k)
 
 
-# --- inside a task ------------------------------------------------------------------
-
-
-def _matrix(vectors: pa.Array, dtype=np.float64) -> np.ndarray:
-    """Equal-length lists as the rows of a matrix."""
-    flat = vectors.flatten().to_numpy().astype(dtype, copy=False)
-    return flat.reshape(len(vectors), -1) if len(vectors) else np.zeros((0, 0), dtype)
-
-
-class _Probe:
-    """The queries of one pass: ids, vectors, and what else a row must agree in."""
-
-    def __init__(self, queries: pa.Table, match_on: str | None, hashes: str | None):
-        self.ids = queries.column(0).combine_chunks()
-        self.vectors = _matrix(queries.column(1).combine_chunks())
-        self.groups = self.codes = self.hashes = None
-        if match_on:
-            self.groups = pd.Index(queries.column(match_on).to_pandas().unique())
-            self.codes = self.groups.get_indexer(queries.column(match_on).to_pandas())
-        if hashes:
-            self.hashes = _matrix(queries.column(hashes).combine_chunks(), np.int64)
-
-    def rows_of_interest(self, hashes: np.ndarray) -> np.ndarray:
-        """Rows that share a bucket with any query."""
-        found = [np.isin(hashes[:, t], self.hashes[:, t]) for t in range(hashes.shape[1])]
-        return np.logical_or.reduce(found)
-
-    def not_candidates(self, hashes: np.ndarray) -> np.ndarray:
-        shared = np.zeros((len(self.hashes), len(hashes)), dtype=bool)
-        for t in range(hashes.shape[1]):
-            shared |= self.hashes[:, t, None] == hashes[None, :, t]
-        return ~shared
-
-
-class _Best:
-    """The k best rows per query that a task has seen, smaller ids first among equals."""
-
-    def __init__(self, n_queries: int, k: int):
-        self.k = k
-        self.rows = pd.DataFrame({"query": [], "id": [], "score": []})
-        self.floor = np.full(n_queries, -np.inf)
-
-    def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
-        keep = min(self.k, scores.shape[1])
-        kth = -np.partition(-scores, keep - 1, axis=1)[:, keep - 1]
-        floor = np.maximum(kth, self.floor)[:, None]
-        query, row = np.nonzero((scores >= floor) & np.isfinite(scores))
-        if not len(query):
-            return
-        hits = pd.DataFrame({"query": query, "id": ids[row], "score": scores[query, row]})
-        both = pd.concat([self.rows, hits]) if len(self.rows) else hits
-        order = both.sort_values(["query", "score", "id"], ascending=[True, False, True])
-        self.rows = order.groupby("query", sort=False).head(self.k)
-        held = self.rows.groupby("query")["score"].agg(["size", "min"])
-        full = held[held["size"] == self.k]
-        self.floor[full.index.to_numpy(np.int64)] = full["min"].to_numpy()
-
-
-def _score_block(
-    block: pa.RecordBatch, probe: _Probe, vector: str, match_on: str | None, hashes: str | None
-) -> tuple[np.ndarray, pa.RecordBatch]:
-    """Scores of the rows of a block, minus infinity where a pair is excluded."""
-    mine = None
-    if hashes:
-        mine = _matrix(block.column(hashes), np.int64)
-        chosen = np.flatnonzero(probe.rows_of_interest(mine))
-        block, mine = block.take(pa.array(chosen)), mine[chosen]
-    # Rows without a vector have no score; a vector of another length is an error.
-    block = block.filter(block.column(vector).is_valid())
-    if mine is not None and len(mine) != block.num_rows:
-        mine = _matrix(block.column(hashes), np.int64)
-    if not block.num_rows:
-        return np.zeros((len(probe.ids), 0)), block
-    lengths = pc.unique(pc.list_value_length(block.column(vector))).to_pylist()
-    if lengths != [probe.vectors.shape[1]] or block.column(vector).flatten().null_count:
-        raise ValueError(f"vectors of length {lengths} or with nulls, query of {probe.vectors.shape[1]}")
-    scores = np.round(probe.vectors @ _matrix(block.column(vector)).T, SCORE_DECIMALS)
-    if match_on:
-        own = probe.groups.get_indexer(block.column(match_on).to_pandas())
-        scores[probe.codes[:, None] != own[None, :]] = -np.inf
-    if hashes:
-        scores[probe.not_candidates(mine)] = -np.inf
-    return scores, block
-
-
-def _scan(
-    corpus: DataFrame,
-    queries: pa.Table,
-    id_field: T.StructField,
-    k: int,
-    key: str,
-    vector: str,
-    match_on: str | None = None,
-    hashes: str | None = None,
+# --- blocks ---------------------------------------------------------------------------
+
+
+def to_blocks(
+    df: DataFrame, key: str, vector: str, group: str | None = None, extra: str | None = None, rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """k best rows per query of every corpus partition."""
-    score = T.StructField("score", T.DoubleType())
-    out_schema = T.StructType([id_field, corpus.schema[key], score])
-    names = out_schema.fieldNames()
-    probe = _Probe(queries, match_on, hashes)
-    shared = corpus.sparkSession.sparkContext.broadcast(probe)
-    n_queries = queries.num_rows
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, key_type = _Best(n_queries, k), None
-        rows = max(1, BLOCK_CELLS // max(1, n_queries))
+    """Rows as blocks ``grp, ids, flat`` (vectors end to end), and ``extra`` likewise, within the input's tasks.
+
+    ``extra`` is a column of arrays of one length, or of single values.
+    A block holds rows of one value of ``group``; rows without a value agree with nothing and are left out, as are
+    rows without a vector. Vectors that hold nulls, or differ in length within a batch, are an error.
+    """
+    kinds = {"grp": df.schema[group].dataType if group else T.IntegerType()}
+    kinds |= {"ids": T.ArrayType(df.schema[key].dataType), "flat": df.schema[vector].dataType}
+    if extra:
+        kind = df.schema[extra].dataType
+        kinds["extra"] = kind if isinstance(kind, T.ArrayType) else T.ArrayType(kind)
+    schema = T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key_type = batch.schema.field(key).type
-            batch = batch.filter(pc.is_valid(batch.column(vector)))
-            for at in range(0, batch.num_rows if n_queries else 0, rows):
-                scores, block = _score_block(
-                    batch.slice(at, rows), shared.value, vector, match_on, hashes
-                )
-                if block.num_rows:
-                    best.add(scores, block.column(key).to_pandas().to_numpy())
-        if len(best.rows):
-            columns = [
-                shared.value.ids.take(pa.array(best.rows["query"].to_numpy(np.int64))),
-                pa.array(best.rows["id"].tolist(), key_type),
-                pa.array(best.rows["score"].to_numpy(), pa.float64()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    columns = dict.fromkeys([key, vector, *filter(None, [match_on, hashes])])
-    return corpus.select(*columns).mapInArrow(scan, out_schema)
-
-
-# --- on the driver ------------------------------------------------------------------
-
-
-def _in_passes(
-    queries: DataFrame,
-    query_id: str,
-    limit: int,
-    one_pass: Callable[[pa.Table], DataFrame],
-    level: int = 0,
+            table = pa.Table.from_batches([batch])
+            table = table.filter(pc.is_valid(table.column(vector)))
+            if group:
+                table = table.filter(pc.is_valid(table.column(group))).sort_by(group)
+            if not table.num_rows:
+                continue
+            yield _as_blocks(table.combine_chunks(), key, vector, group, extra, rows)
+
+    columns = dict.fromkeys([key, vector, *filter(None, [group, extra])])
+    return df.select(*columns).mapInArrow(build, schema)
+
+
+def _as_blocks(
+    table: pa.Table, key: str, vector: str, group: str | None, extra: str | None, rows: int
+) -> pa.RecordBatch:
+    def column(name: str) -> pa.Array:
+        return table.column(name).chunk(0)
+
+    lengths = pc.unique(pc.list_value_length(column(vector))).to_pylist()
+    if len(lengths) != 1 or column(vector).flatten().null_count:
+        raise ValueError(f"vectors of lengths {lengths} or with nulls")
+    firsts = np.zeros(1, np.int64)
+    if group:
+        codes = column(group).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        firsts = np.concatenate([firsts, np.flatnonzero(np.diff(codes)) + 1])
+    edges = [*firsts, table.num_rows]
+    at = np.concatenate([np.arange(x, y, rows) for x, y in zip(edges, edges[1:])] + [[table.num_rows]])
+    groups = column(group).take(pa.array(at[:-1])) if group else pa.array(np.zeros(len(at) - 1, np.int32))
+
+    def lists(values: pa.Array, width: int) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(at * width, pa.int32()), values)
+
+    columns = [groups, lists(column(key), 1), lists(column(vector).flatten(), lengths[0])]
+    names = ["grp", "ids", "flat"]
+    if extra:
+        nested = pa.types.is_list(column(extra).type)
+        width = pc.list_value_length(column(extra))[0].as_py() if nested else 1
+        columns.append(lists(column(extra).flatten() if nested else column(extra), width))
+        names.append("extra")
+    return pa.RecordBatch.from_arrays(columns, names)
+
+
+def meet(corpus: DataFrame, queries: DataFrame, small: bool) -> DataFrame:
+    """Blocks of both sides that share ``grp``; columns of queries begin with ``q_``."""
+    asked = queries.select(*(F.col(c).alias(f"q_{c}") for c in queries.columns))
+    if small:
+        return corpus.join(F.broadcast(asked), F.col("grp") == F.col("q_grp"))
+    salts = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = asked.withColumn("q_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = corpus.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    return salted.join(spread, (F.col("grp") == F.col("q_grp")) & (F.col("salt") == F.col("q_salt")))
+
+
+def matrix(row: pa.Scalar, n: int, dtype=np.float64) -> np.ndarray:
+    return row.values.to_numpy(zero_copy_only=False).astype(dtype, copy=False).reshape(n, -1)
+
+
+def best(scores: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the k best of each row, smaller ids first among equals, none below ``floor``; raises ``floor``."""
+    keep = min(k, scores.shape[1])
+    kth = -np.partition(-scores, keep - 1, axis=1)[:, keep - 1]
+    least = np.maximum(kth, floor)
+    query, row = np.nonzero((scores >= least[:, None]) & np.isfinite(scores))
+    if keep == k:
+        np.maximum(floor, kth, out=floor)
+    order = np.lexsort((ids[row], -scores[query, row], query))
+    query, row = query[order], row[order]
+    place = np.arange(len(query)) - np.searchsorted(query, query)
+    return query[place < k], row[place < k]
+
+
+def scored_blocks(
+    met: DataFrame, key: T.StructField, query_id: T.StructField, k: int, masked: bool = False
 ) -> DataFrame:
-    """Union of ``one_pass`` over parts of at most ``limit`` queries each.
+    """``query_id, key, score``: at most k rows for each query and pair of blocks that met.
 
-    No more than ``limit`` queries are ever collected or broadcast at a time. A
-    larger set is first written to the shared folder and then split by hash; each
-    query is answered in exactly one pass.
+    With ``masked`` rows and queries are compared only where one of their ``extra`` numbers, place by place, is equal.
     """
-    head = queries.limit(limit + 1).toArrow()
-    if head.num_rows <= limit:
-        return one_pass(head)
-    if level == 3:
-        raise ValueError(f"{query_id} is not unique: cannot split the query set")
-    queries = cut_lineage(queries) if level == 0 else queries
-    parts = -(-queries.count() // limit) * 2
-    part = F.pmod(F.xxhash64(F.col(query_id), F.lit(level)), F.lit(parts))
-    pieces = [
-        _in_passes(queries.filter(part == i), query_id, limit, one_pass, level + 1)
-        for i in range(parts)
-    ]
-    return reduce(DataFrame.union, pieces)
+    out = T.StructType([query_id, key, T.StructField("score", T.DoubleType())])
+    names = out.fieldNames()
 
-
-def _pass_size(max_queries: int, k: int) -> int:
-    return max(1, min(max_queries, MAX_HELD_ROWS // k))
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        floors: dict[bytes, np.ndarray] = {}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, asked = batch.column("ids")[i].values, batch.column("q_ids")[i].values
+                vectors = matrix(batch.column("flat")[i], len(ids))
+                wanted = matrix(batch.column("q_flat")[i], len(asked))
+                if vectors.shape[1] != wanted.shape[1]:
+                    raise ValueError(f"vectors of length {vectors.shape[1]}, queries of {wanted.shape[1]}")
+                mine = theirs = None
+                if masked:
+                    theirs = matrix(batch.column("q_extra")[i], len(asked), np.int64)
+                    mine = matrix(batch.column("extra")[i], len(ids), np.int64)
+                    near = np.logical_or.reduce([np.isin(a, b) for a, b in zip(mine.T, theirs.T)])
+                    ids, vectors, mine = ids.filter(pa.array(near)), vectors[near], mine[near]
+                asking = f"{batch.column('grp')[i]} {asked.to_pylist()}".encode()
+                name = hashlib.blake2b(asking + wanted.tobytes()).digest()
+                if name not in floors and len(floors) == FLOORS:
+                    floors.pop(next(iter(floors)))
+                floor = floors.setdefault(name, np.full(len(asked), -np.inf))
+                step = max(1, BLOCK_CELLS // len(asked))
+                for at in range(0, len(ids), step):
+                    scores = np.round(wanted @ vectors[at : at + step].T, SCORE_DECIMALS)
+                    if masked:
+                        shared = np.zeros(scores.shape, bool)
+                        for a, b in zip(theirs.T, mine[at : at + step].T):
+                            shared |= a[:, None] == b[None, :]
+                        scores[~shared] = -np.inf
+                    some = ids.slice(at, step)
+                    query, row = best(scores, _plain(some), k, floor)
+                    if len(query):
+                        columns = [asked.take(pa.array(query)), some.take(pa.array(row)), pa.array(scores[query, row])]
+                        yield pa.RecordBatch.from_arrays(columns, names)
+
+    columns = ["grp", "ids", "flat", "q_ids", "q_flat", *(["extra", "q_extra"] if masked else [])]
+    return met.select(*columns).mapInArrow(score, out)
+
+
+def _plain(ids: pa.Array) -> np.ndarray:
+    values = ids.to_numpy(zero_copy_only=False)
+    return values.astype(str) if values.dtype == object else values
+
+
+def query_blocks(queries: DataFrame, key: str, vector: str, small: int, *more: str, **how) -> tuple[DataFrame, bool]:
+    """Queries as blocks, and whether they are at most ``small``; a small set is computed once, and is one task."""
+    chosen = queries.select(key, vector, *dict.fromkeys(more))
+    head = chosen.limit(small + 1).toArrow()
+    few = head.num_rows <= small
+    if few:
+        chosen = queries.sparkSession.createDataFrame(head, chosen.schema).coalesce(1)
+    return to_blocks(chosen, key, vector, rows=1024, **how), few
+
+
+# --- exact search -----------------------------------------------------------------------
 
 
 def knn_exact(
@@ -212,26 +213,18 @@ def knn_exact(
     query_id: str = "query_id",
     query_vector: str = "query_vector",
     match_on: str | None = None,
-    max_queries: int = MAX_QUERIES,
+    max_queries: int = SMALL,
 ) -> DataFrame:
     """The k corpus rows with the largest inner product per query, exactly.
 
-    The corpus is read once and never shuffled: each task multiplies its batches
-    with the query matrix and keeps k rows per query; only those meet in the final
-    ranking. A query set above ``max_queries`` is answered in several passes.
-
-    ``match_on`` names a column of both sides that must be equal (a filtered
-    search with its own filter value per query). ``query_id`` must be unique.
-    Result: ``query_id, key, score, rank``.
+    ``match_on`` names a column of both sides that must be equal (a filtered search with its own filter value
+    per query): blocks of other values never meet. Up to ``max_queries`` queries are broadcast; more are
+    dealt with the corpus. Result: ``query_id, key, score, rank``.
     """
-    queries = queries.select(query_id, query_vector, *filter(None, [match_on]))
-
-    def one_pass(some: pa.Table) -> DataFrame:
-        id_field = queries.schema[query_id]
-        found = _scan(corpus, some, id_field, k, key, vector, match_on)
-        return top_k(found, query_id, key, k)
-
-    return _in_passes(queries, query_id, _pass_size(max_queries, k), one_pass)
+    more = filter(None, [match_on])
+    asked, few = query_blocks(queries, query_id, query_vector, max_queries, *more, group=match_on)
+    met = meet(to_blocks(corpus, key, vector, match_on), asked, few)
+    return top_k(scored_blocks(met, corpus.schema[key], queries.schema[query_id], k), query_id, key, k)
 
 
 def knn_single(
@@ -316,21 +309,17 @@ def knn_lsh(
     query_id: str = "query_id",
     query_vector: str = "query_vector",
     per_table: int = PER_TABLE,
-    max_queries: int = MAX_QUERIES,
+    max_queries: int = SMALL,
 ) -> DataFrame:
     """Approximate nearest neighbours: exact scores of the rows that share a bucket.
 
-    ``indexed`` comes from ``lsh_index``. As in the exact search the corpus stays
-    where it is and the queries travel, so a crowded bucket is worked on by all
-    tasks that hold its rows. Rows that share no bucket with any query are dropped
-    before anything is multiplied; no candidate is left out.
+    ``indexed`` comes from ``lsh_index``. As in the exact search blocks of vectors meet blocks of queries; rows
+    that share no bucket with any query of a block are dropped before anything is multiplied, so a crowded
+    bucket is worked on by all tasks that hold its rows. No candidate is left out.
     """
     hashes = "hashes"
     probes = lsh_index(queries.select(query_id, query_vector), model, query_vector, per_table)
-
-    def one_pass(some: pa.Table) -> DataFrame:
-        id_field = probes.schema[query_id]
-        found = _scan(indexed, some, id_field, k, key, vector, hashes=hashes)
-        return top_k(found, query_id, key, k)
-
-    return _in_passes(probes, query_id, _pass_size(max_queries, k), one_pass)
+    asked, few = query_blocks(probes, query_id, query_vector, max_queries, hashes, extra=hashes)
+    met = meet(to_blocks(indexed, key, vector, extra=hashes), asked, few)
+    found = scored_blocks(met, indexed.schema[key], probes.schema[query_id], k, masked=True)
+    return top_k(found, query_id, key, k)

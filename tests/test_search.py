@@ -59,7 +59,7 @@ def test_all_vectors_against_brute_force(spark, vectors):
     assert all(ids[0] == q for q, ids in expected.items())
 
 
-def test_query_sets_above_the_bound_take_several_passes(vectors):
+def test_query_sets_above_the_bound_are_dealt_with_the_corpus(vectors):
     queries = vectors.filter("label < 5")
     found = knn_exact(vectors, as_queries(queries), 3, max_queries=60)
     assert ranked(found) == brute(vectors.collect(), queries.collect(), 3)
@@ -100,11 +100,24 @@ def test_single_query_keeps_k_rows_per_task(vectors):
     assert "TakeOrderedAndProject" in plan_of(found)
 
 
-def test_exact_search_neither_joins_nor_shuffles_the_corpus(spark):
+def test_exact_search_leaves_the_corpus_where_it_is(spark):
+    """Query blocks are broadcast to the corpus; what is shuffled are best rows only, cut before."""
     vectors = table(spark, "embeddings")
     plan = plan_of(knn_exact(vectors, as_queries(vectors), 3))
-    assert "Join" not in plan and "Cartesian" not in plan
-    assert "WindowGroupLimit" in plan and plan.count("Exchange") == 1
+    assert plan.count("BroadcastHashJoin") == 1 and "NestedLoop" not in plan and "Cartesian" not in plan
+    assert "WindowGroupLimit" in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_one_vector_asked_with_several_filters(spark, vectors):
+    """What is known of one filter's best rows says nothing of another's."""
+    one = vectors.orderBy("vec_id").limit(1).select("embedding").first()[0]
+    asked = spark.createDataFrame([(i, one, i) for i in range(10)], "query_id int, query_vector array<double>, label int")
+    found = knn_exact(vectors, asked, 4, match_on="label")
+    for q in range(10):
+        some = [r for r in vectors.collect() if r.label == q]
+        best = sorted(some, key=lambda r: (-round(float(np.dot(r.embedding, one)), 9), r.vec_id))[:4]
+        got = [r.vec_id for r in sorted(found.filter(f"query_id = {q}").collect(), key=lambda r: r["rank"])]
+        assert got == [r.vec_id for r in best]
 
 
 def recall(found, exact):
