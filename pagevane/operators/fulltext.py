@@ -39,8 +39,11 @@ class StoredSearch:
     ):
         self.spark, self.k = spark, k
         self.terms = {q: list(dict.fromkeys(query_terms(words))) for q, words in queries.items()}
-        texts, words = read_sizes(spark, path).agg(F.sum("texts"), F.sum("words")).first()
-        self.texts, self.avg_len = texts or 0, (words or 0) / (texts or 1) or 1.0
+        sums = read_sizes(spark, path).agg(
+            F.sum("texts"), F.sum("measured"), F.sum("words"), F.sort_array(F.collect_set("buckets"))
+        )
+        texts, measured, words, self.buckets = sums.first()
+        self.texts, self.avg_len = texts or 0, (words or 0) / (measured or 1) or 1.0
         self.blocks = self._blocks_of(read_blocks(spark, path, key))
         self.idf, self.most, self.cut = self._weights()
         self.floor = self._floors()
@@ -49,7 +52,9 @@ class StoredSearch:
         """Blocks of the search's terms, by folder and by term, and the most that a posting in each can have."""
         wanted = sorted({t for found in self.terms.values() for t in found})
         rows = self.spark.createDataFrame([(t,) for t in wanted], "term string")
-        buckets = sorted({r["b"] for r in rows.select(bucket_of(F.col("term")).alias("b")).collect()})
+        # Loads may have been cut into different numbers of folders.
+        folders = F.explode(F.array(*(bucket_of(F.col("term"), n) for n in self.buckets)))
+        buckets = sorted({r["b"] for r in rows.select(folders.alias("b")).collect()})
         chosen = blocks.filter(F.col("bucket").isin(*buckets) & F.col("term").isin(*wanted))
         return chosen.withColumn("share", _share(F.col("max_tf"), F.col("min_length"), self.avg_len))
 

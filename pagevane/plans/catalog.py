@@ -306,13 +306,14 @@ def h1_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored_search(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Postings of the whole table, written in as many loads as ``LOADS``, then searched."""
+    """Postings of the whole table, appended in ``LOADS`` loads of stored rows, then searched."""
     spark = df.sparkSession
-    path = scratch_dir(spark)
-    load = F.pmod(F.xxhash64(key), F.lit(LOADS))
+    path, schema = scratch_dir(spark), df.schema
+    parts = f"{path}/rows"
+    df.withColumn("load", F.pmod(F.xxhash64(key), F.lit(LOADS))).write.partitionBy("load").parquet(parts)
     for i in range(LOADS):
-        append_postings(df.filter(load == i), path, i, key, text)
-    found = op.search_postings(spark, path, FULL_TEXT, K, df.schema[key].dataType)
+        append_postings(spark.read.schema(schema).parquet(f"{parts}/load={i}"), path, i, key, text)
+    found = op.search_postings(spark, path, FULL_TEXT, K, schema[key].dataType)
     return found.select("query_id", F.col("key").alias(key), _rounded("score").alias("score"), "rank")
 
 

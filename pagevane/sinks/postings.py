@@ -4,7 +4,7 @@
 postings of a term are in order of impact (frequency, then shortness of the text), so that a block's largest
 frequency and smallest length bound what it can add to a score, and most blocks of a common term can be
 skipped unread. ``bucket`` is a hash of the term; files are sorted by term inside, so a search opens the folders
-of its terms and the row groups around them. ``<path>/sizes/load=L`` has the number of texts and of their words.
+of its terms and the row groups around them. ``<path>/sizes/load=L`` has the numbers of texts, words and buckets.
 """
 
 from __future__ import annotations
@@ -20,11 +20,12 @@ from pyspark.sql import types as T
 from pagevane.functions.text import let, tokens
 
 BLOCK = 128
-BUCKETS = 256
+# Folders of a load. A load of very many texts wants more; each load may have its own number.
+BUCKETS = 16
 
 
-def bucket_of(term: Column) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
+def bucket_of(term: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
 def postings_path(index: str) -> str:
@@ -55,7 +56,9 @@ def term_counts(terms: str) -> Column:
     )
 
 
-def append_postings(df: DataFrame, path: str, load: str | int, key: str = "url", text: str = "h1") -> None:
+def append_postings(
+    df: DataFrame, path: str, load: str | int, key: str = "url", text: str = "h1", buckets: int = BUCKETS
+) -> None:
     """Add the postings of one load; writing the same load again replaces it.
 
     Every row is a text of its own, also where keys are equal. Postings are dealt by ranges of (bucket, term,
@@ -67,7 +70,7 @@ def append_postings(df: DataFrame, path: str, load: str | int, key: str = "url",
     )
     counted = analysed.select("doc", "key", F.size("terms").alias("length"), F.inline(term_counts("terms")))
     order = [F.col("bucket"), F.col("term"), F.col("tf").desc(), F.col("length"), F.col("doc")]
-    dealt = counted.withColumn("bucket", bucket_of(F.col("term"))).repartitionByRange(*order)
+    dealt = counted.withColumn("bucket", bucket_of(F.col("term"), buckets)).repartitionByRange(*order)
     columns = ["bucket", "term", "doc", "key", "tf", "length"]
     sorted_ = dealt.sortWithinPartitions(*order).select(*columns)
     schema = block_schema(df.schema[key].dataType)
@@ -76,9 +79,13 @@ def append_postings(df: DataFrame, path: str, load: str | int, key: str = "url",
     blocks.write.mode("overwrite").partitionBy("bucket").option("maxRecordsPerFile", 1_000_000).parquet(
         f"{path.rstrip('/')}/blocks/load={load}"
     )
-    sizes = df.select(F.size(tokens(text)).alias("length"))
-    sizes = sizes.agg(F.count("*").alias("texts"), F.coalesce(F.sum("length"), F.lit(0)).cast("long").alias("words"))
-    sizes.write.mode("overwrite").parquet(f"{path.rstrip('/')}/sizes/load={load}")
+    # Texts that are null are counted, but have no length. Words are those of the blocks just written.
+    stored = df.sparkSession.read.schema(whole).parquet(f"{path.rstrip('/')}/blocks/load={load}")
+    words = stored.agg(F.sum(F.aggregate("entries", F.lit(0).cast("long"), lambda n, e: n + e["tf"])).alias("words"))
+    sizes = df.agg(F.count("*").alias("texts"), F.count(text).alias("measured"))
+    sizes = sizes.withColumn("words", F.coalesce(words.scalar(), F.lit(0)).cast("long"))
+    sizes = sizes.withColumn("buckets", F.lit(buckets))
+    sizes.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/sizes/load={load}")
 
 
 def _cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,4 +141,4 @@ def read_blocks(spark: SparkSession, path: str, key: T.DataType) -> DataFrame:
 
 
 def read_sizes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("texts long, words long, load string").parquet(f"{path.rstrip('/')}/sizes")
+    return spark.read.schema("texts long, measured long, words long, buckets int, load string").parquet(f"{path.rstrip('/')}/sizes")

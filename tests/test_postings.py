@@ -16,7 +16,8 @@ SOME = {**FULL_TEXT, "none": "zzzz", "empty": "", "rare": "the qui 2024 nicht"}
 
 def loaded(docs, path, loads=3):
     for i in range(loads):
-        append_postings(docs.filter(F.col("doc_id") % loads == i), path, i, "doc_id", "text")
+        part = docs.filter(F.pmod("doc_id", F.lit(loads)) == i)
+        append_postings(part, path, i, "doc_id", "text", buckets=8 * (i + 1))
 
 
 def ranked(found, key):
@@ -25,6 +26,7 @@ def ranked(found, key):
 
 def test_three_loads_equal_a_scan_of_all(spark, tmp_path):
     docs = table(spark, "documents", "sf0.01").select("doc_id", "text")
+    docs = docs.union(spark.createDataFrame([(-1, None), (-2, ""), (-3, "the of the")], docs.schema))
     loaded(docs, str(tmp_path))
     key = docs.schema["doc_id"].dataType
     found = search_postings(spark, str(tmp_path), SOME, 10, key)
