@@ -44,6 +44,8 @@ class Settings:
     # Tasks to spread a heavy encoder over; None keeps the splits of the input.
     encode_partitions: int | None = None
     computer: str = "spark"
+    # Index a message once, however many loads bring it.
+    index_once: bool = False
 
 
 def archive_pages(paths: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -68,8 +70,9 @@ def extract_step(
     settings: Settings = Settings(),
     metrics: str | None = None,
     trace: str | None = None,
+    once: bool = False,
 ) -> None:
-    """Pages to text messages ``url, h1, text`` in ``out``."""
+    """Pages to text messages ``url, h1, text`` in ``out``; ``once`` publishes a stream's batch."""
     started = time.monotonic()
     damaged = F.col(ERROR).isNotNull() if ERROR in pages.columns else None
     texts = extract_pages(pages, settings.lang, keep=damaged)
@@ -80,7 +83,7 @@ def extract_step(
     rows = texts.select("url", "h1", "text", *place, ERROR)
     # Few pages pass the language filter; rebalancing turns the many near-empty
     # outputs of the scan into files of even size.
-    write_checked(rows.hint("rebalance"), out, batch)
+    write_checked(rows.hint("rebalance"), out, batch, once)
     if trace is not None:
         written = pages.sparkSession.read.parquet(batch_path(out, batch))
         write_trace(written.filter("status = 'ok'").select("url", "h1", "text"), trace)
@@ -98,6 +101,7 @@ def embed_step(
     batch: str | int,
     settings: Settings = Settings(),
     metrics: str | None = None,
+    once: bool = False,
 ) -> None:
     """Text messages to document embeddings ``url, h1, embedding`` in ``out``.
 
@@ -123,7 +127,7 @@ def embed_step(
         .when(~F.col("dim_ok"), "wrong dimension")
     )
     keep = ["url", "h1", "embedding", *(["value"] if "value" in before else [])]
-    write_checked(vectors.withColumn(ERROR, reason).select(*keep, ERROR), out, batch)
+    write_checked(vectors.withColumn(ERROR, reason).select(*keep, ERROR), out, batch, once)
     spent = time.monotonic() - started
     emit_metric(
         texts.sparkSession, metrics, batch, step="vector", url=str(batch),
@@ -148,7 +152,7 @@ def index_step(
     create_index(spark, index, settings.dim)
     if index_dim(spark, index) != settings.dim:
         raise ValueError(f"index has dimension {index_dim(spark, index)}, not {settings.dim}")
-    written = append_index(vectors, index, batch)
+    written = append_index(vectors, index, batch, settings.index_once)
     spent = time.monotonic() - started
     emit_metric(
         spark, metrics, batch, step="index_batch_async", batchsize=written, batch_time=spent,

@@ -12,8 +12,10 @@ from pagevane.operators.embed import dim_check
 from pagevane.operators.index import index_rows
 from pagevane.operators.messages import ERROR, require_fields
 from pagevane.sinks.postings import append_postings, postings_path
+from pagevane.sinks.seen import keyed, remember, seen_path, unseen
 
 CREATED = "created"
+MESSAGE = ("url", "h1", "embedding")
 
 
 def index_schema(dim: int = DIM) -> T.StructType:
@@ -56,9 +58,12 @@ def index_dim(spark: SparkSession, path: str) -> int:
     return created.schema["embedding"].metadata["dim"]
 
 
-def append_index(df: DataFrame, path: str, load: str | int) -> int:
+def append_index(df: DataFrame, path: str, load: str | int, once: bool = False) -> int:
     """Add one load of good rows; returns their number. Writing the same load again replaces it.
 
+    With ``once`` a message that another load has, or that is repeated in this one, isn't added; equal in all
+    three fields are the same message. Loads that are written so are remembered, others aren't.
+
     The name of a load must be its own: a run's or a stream's id and its batch. Rows with
     ``_error`` or without a field the index needs, or whose vector doesn't have the index's
     dimension or holds a null, go to ``rejected_path`` with the reason,
@@ -70,6 +75,8 @@ def append_index(df: DataFrame, path: str, load: str | int) -> int:
     checked = _checked(df, index_dim(df.sparkSession, path) if known else None)
     good, bad = f"{path.rstrip('/')}/load={load}", f"{rejected_path(path)}/load={load}"
     rows = checked.filter(F.col(ERROR).isNull())
+    if once:
+        rows = unseen(rows, seen_path(path), load, *MESSAGE)
     (
         index_rows(rows).hint("rebalance").sortWithinPartitions("url")
         .write.mode("overwrite")
@@ -79,6 +86,9 @@ def append_index(df: DataFrame, path: str, load: str | int) -> int:
     checked.filter(F.col(ERROR).isNotNull()).write.mode("overwrite").parquet(bad)
     stored = df.sparkSession.read.parquet(good)
     append_postings(stored, postings_path(path), load)
+    if once:
+        # After the rows: a load that was lost between the two is run again, and meets its own keys only.
+        remember(keyed(stored, *MESSAGE), seen_path(path), load)
     # Row counts come from the file footers.
     return stored.count()
 

@@ -1,8 +1,8 @@
 """Streaming jobs: one per stage, and one that fuses all stages.
 
-Every job runs a batch step per micro-batch into the folder named after the batch
-id. Spark commits the source offsets only after the step has returned, and a
-replay overwrites the same folder: nothing is lost and nothing is doubled.
+Every job runs a batch step per micro-batch into a folder named after the stream's own id and the batch. Spark
+commits the source offsets only after the step has returned. What another stage reads is published once
+(``sinks.tables.publish``): a replay finds it and leaves it alone, so nothing is lost and nothing is read twice.
 """
 
 from __future__ import annotations
@@ -69,7 +69,8 @@ def extract_job(
     """Manifest messages to text messages; ``drain`` stops when the queue is empty."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        extract_step(archive_pages(batch), out, batch_id, settings, metrics)
+        load = _load_name(batch.sparkSession, _location(manifest, "extract", checkpoint), batch_id)
+        extract_step(archive_pages(batch), out, load, settings, metrics, once=True)
 
     return _start(manifest, "extract", step, checkpoint, drain, interval)
 
@@ -86,7 +87,8 @@ def vectorize_job(
     """Text messages to document embeddings."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        embed_step(batch, out, batch_id, settings, metrics)
+        load = _load_name(batch.sparkSession, _location(texts, "vectorize", checkpoint), batch_id)
+        embed_step(batch, out, load, settings, metrics, once=True)
 
     return _start(texts, "vectorize", step, checkpoint, drain, interval)
 
@@ -161,7 +163,8 @@ def metrics_job(
     """Metric messages to the time-series tables."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        metrics_step(batch, out, rejected, batch_id)
+        load = _load_name(batch.sparkSession, _location(messages, "metrics", checkpoint), batch_id)
+        metrics_step(batch, out, rejected, load)
 
     return _start(messages, "metrics", step, checkpoint, drain, interval)
 

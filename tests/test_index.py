@@ -165,3 +165,30 @@ def test_a_cluster_must_name_the_shared_folder(spark, monkeypatch):
     if spark.conf.get("spark.checkpoint.dir", None) is None:
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             session.shared_dir(spark)
+
+
+def test_loads_that_overlap_index_each_message_once(spark, tmp_path):
+    pages = table(spark, "pages")
+    index, work = str(tmp_path / "index"), str(tmp_path / "work")
+    once = Settings(index_once=True)
+    some, more = pages.filter("page_id < 30"), pages.filter("page_id >= 10")
+    build_index(spark, some, index, work, "one", once)
+    build_index(spark, more.union(more.limit(20)), index, work, "two", once)
+    whole = str(tmp_path / "whole")
+    build_index(spark, pages, whole, str(tmp_path / "work2"), "all")
+    want = sorted((r.url, r.h1) for r in read_index(spark, whole).collect())
+    assert sorted((r.url, r.h1) for r in read_index(spark, index).collect()) == want
+    # Each run again: the same rows, in the same loads.
+    before = sorted((r.url, r.load) for r in read_index(spark, index).collect())
+    build_index(spark, some, index, work, "one", once)
+    build_index(spark, more, index, work, "two", once)
+    assert sorted((r.url, r.load) for r in read_index(spark, index).collect()) == before
+
+
+def test_one_message_very_often_is_indexed_once(spark, tmp_path):
+    path = str(tmp_path / "index")
+    settings = Settings(dim=2, index_once=True)
+    many = spark.range(5000).select(F.lit("u").alias("url"), F.lit("t").alias("h1"), F.array(F.lit(1.0), F.lit(0.0)).alias("embedding"))
+    index_step(many, path, "a", settings)
+    index_step(many, path, "b", settings)
+    assert read_index(spark, path).count() == 1

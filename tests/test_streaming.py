@@ -117,6 +117,86 @@ def test_replay_leaves_no_duplicates(spark, at):
     assert spark.read.parquet(checked_path(at("vectors"))).count() == 6
 
 
+def lose_commit(checkpoint, batch):
+    """As if the driver was lost between a batch's write and its commit."""
+    for name in (str(batch), f".{batch}.crc"):
+        file = os.path.join(checkpoint, "commits", name)
+        if os.path.exists(file):
+            os.rename(file, os.path.join(checkpoint, f"lost-{name.strip('.')}-{len(os.listdir(checkpoint))}"))
+
+
+def test_a_replay_is_not_read_again_downstream(spark, at):
+    """The stage behind has read a batch that the stage before runs again; nothing repeats, also without a filter."""
+    put(at("queue"), "1.json", *[text_message(i) for i in range(4)], text_message(0))
+
+    def vectorize():
+        stream = json_queue(spark, at("queue"), TEXT_SCHEMA)
+        drain(vectorize_job(stream, at("vectors"), metrics=at("metrics"), checkpoint=at("cp1"), drain=True))
+
+    def index():
+        vectors = stage_queue(spark, at("vectors"), INDEX_SCHEMA)
+        drain(index_job(vectors, at("index"), checkpoint=at("cp2"), drain=True, drop_repeated=False))
+
+    vectorize()
+    index()
+    first = sorted(r.url for r in read_index(spark, at("index")).collect())
+    assert first == ["u0", "u0", "u1", "u2", "u3"]
+    files = sorted(f for _, _, names in os.walk(at("vectors")) for f in names)
+    lose_commit(at("cp1"), 0)
+    vectorize()
+    index()
+    assert sorted(f for _, _, names in os.walk(at("vectors")) for f in names) == files
+    assert sorted(r.url for r in read_index(spark, at("index")).collect()) == first
+    # A metric of the batch is there once, too.
+    assert message_count(spark, at("metrics")) == 1
+    put(at("queue"), "2.json", text_message(7))
+    vectorize()
+    index()
+    assert sorted(r.url for r in read_index(spark, at("index")).collect()) == [*first, "u7"]
+
+
+def message_count(spark, path):
+    return spark.read.text(f"{path}/*").count()
+
+
+def test_a_new_stream_into_the_same_folder_replaces_nothing(spark, at):
+    for run in ("a", "b"):
+        put(at(run), "1.json", text_message(run))
+        stream = json_queue(spark, at(run), TEXT_SCHEMA)
+        drain(vectorize_job(stream, at("vectors"), checkpoint=at(f"cp-{run}"), drain=True))
+    assert {r.url for r in spark.read.parquet(checked_path(at("vectors"))).collect()} == {"ua", "ub"}
+
+
+def test_an_unfinished_batch_is_not_seen(spark, at):
+    from pagevane.sinks.tables import publish
+
+    def half(folder):
+        spark.range(3).write.parquet(folder)
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        publish(spark, at("out", "batch=0"), half)
+    assert not os.path.exists(at("out", "batch=0"))
+    assert publish(spark, at("out", "batch=0"), lambda folder: spark.range(3).write.parquet(folder))
+    assert not publish(spark, at("out", "batch=0"), lambda folder: spark.range(9).write.parquet(folder))
+    assert spark.read.parquet(at("out", "batch=*")).count() == 3
+
+
+def test_index_once_over_batches_of_a_stream(spark, at):
+    row = '{"url":"u","h1":"t","embedding":[1.0,0.0]}'
+    other = '{"url":"u","h1":null,"embedding":[0.0,1.0]}'
+    for i, rows in enumerate([[row, row], [row], [other.replace("null", '""')], [row]]):
+        put(at("queue"), f"{i}.json", *rows)
+    stream = spark.readStream.schema(INDEX_SCHEMA).option("maxFilesPerTrigger", 1).json(at("queue"))
+    settings = Settings(dim=2, index_once=True)
+    drain(index_job(stream, at("index"), settings, checkpoint=at("cp"), drain=True, drop_repeated=False))
+    assert sorted(r.h1 for r in read_index(spark, at("index")).collect()) == ["", "t"]
+    lose_commit(at("cp"), 3)
+    stream = spark.readStream.schema(INDEX_SCHEMA).option("maxFilesPerTrigger", 1).json(at("queue"))
+    drain(index_job(stream, at("index"), settings, checkpoint=at("cp"), drain=True, drop_repeated=False))
+    assert read_index(spark, at("index")).count() == 2
+
+
 def test_bad_messages_do_not_stop_the_stream(spark, at):
     good = [text_message(i) for i in range(3)]
     bad = ["{", '{"url":"u"}', text_message(8, "  "), ""]
