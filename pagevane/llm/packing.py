@@ -14,13 +14,13 @@ import zlib
 from array import array
 from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 from public_tokenizers import PATTERN
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -28,11 +28,10 @@ from .bpe import _units
 from .common import steps, text_of, utf8, written
 
 CACHE_UNITS = 650_000
-# Nodes of the branch-and-bound search, and the fillings kept at a node.
-SEARCH_NODES = 60
-FILLINGS = 6
-# Pieces are numbered in this many slices of each length, so that no length is one task.
-SLICES = 64
+# Fillings that the branch-and-bound search looks at.
+TRIES = 1000
+# Pieces of all lengths for each slice in which a length's pieces are numbered.
+SLICE_ROWS = 50_000
 
 _tokenizers: dict = {}
 
@@ -78,25 +77,34 @@ class _Ids:
         self.pieces.clear()
 
     def _learn(self, units: set[str]) -> None:
-        new = [u for u in units if u not in self.units]
-        if len(self.units) + len(new) > CACHE_UNITS:
-            self.units.clear()
-            new = list(units)
-        cut = [[u] if _one_word(u) else self.pattern.findall(u) for u in new]
-        pieces = {p for of in cut for p in of}
-        if len(self.pieces) + len(pieces) > CACHE_UNITS:
+        known = self.units
+        new = [u for u in units if u not in known]
+        if len(known) + len(new) > CACHE_UNITS:
+            known.clear()
+            new = units
+        if len(self.pieces) > CACHE_UNITS:
             self.pieces.clear()
-        for p in pieces:
-            if p not in self.pieces:
-                tokens = self.model.tokenize(p.encode().decode("latin-1").translate(self.letters))
-                self.pieces[p] = array("I", [t.id for t in tokens]).tobytes()
-        for u, of in zip(new, cut):
-            self.units[u] = b"".join(map(self.pieces.__getitem__, of))
+        pieces, findall, ids = self.pieces, self.pattern.findall, self._piece
+        for u in new:
+            # Most units are one match of the pattern, and need no search.
+            if _one_word(u):
+                known[u] = ids(u)
+                continue
+            row = []
+            for p in findall(u):
+                if p not in pieces:
+                    pieces[p] = known[p] if p in known else ids(p)
+                row.append(pieces[p])
+            known[u] = b"".join(row)
+
+    def _piece(self, piece: str) -> bytes:
+        letters = piece if piece.isascii() and piece.isalnum() else piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
 
 def _one_word(unit: str) -> bool:
     """Whether a unit is a space and letters of the Latin blocks: one match of the pattern."""
-    return unit[:1] == " " and unit[1:].isalpha() and max(unit) < "\u0250"
+    return unit[:1] == " " and unit[1:].isalpha() and (unit.isascii() or max(unit) < "\u0250")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -161,46 +169,82 @@ def _cut(texts: pa.Array, ids: _Ids, capacity: int, end_id: int) -> pa.Array:
 
 # --- the plan, on the histogram of lengths -------------------------------------------
 
-Filling = tuple[int, ...]  # lengths, longest first
+Filling = tuple[tuple[int, int], ...]  # lengths and how many of each, longest first
 Plan = list[tuple[Filling, int]]
 
 
-def plan(counts: dict[int, int], capacity: int, nodes: int = SEARCH_NODES) -> Plan:
+def plan(counts: dict[int, int], capacity: int, tries: int = TRIES) -> Plan:
     """Fillings and how often each is used, in as few sequences as the search finds.
 
     Bin completion by branch and bound. The first incumbent is best fit decreasing. A node
-    takes the longest length left, enumerates undominated fillings around it, least waste
-    first, and uses one as often as the counts allow. A branch is cut when its waste so far and
-    the least waste of the rest can't beat the incumbent. Each node that is reached is also
-    completed by best fit, for a new incumbent. The search ends when the incumbent meets the
-    bound or after ``nodes`` nodes; the plan is whole either way.
+    takes the longest length left and goes through the undominated fillings around it, least waste
+    first, as they are asked for; it uses one as often as the counts allow, then half as often, down to once. A
+    branch is cut when its waste so far and the least waste of the rest can't beat the incumbent. Each node that is
+    reached is also completed by best fit, for a new incumbent. The search ends when the incumbent meets the
+    bound, when no branch is left (the plan is then the best one), or after ``tries`` fillings, as packing is
+    NP-hard; the plan is whole either way.
     """
     counts = {k: n for k, n in counts.items() if n > 0}
-    total = sum(k * n for k, n in counts.items())
-    bound = max(_ceil(total, capacity), sum(n for k, n in counts.items() if 2 * k > capacity))
+    bound = lower_bound(counts, capacity)
     best = best_fit(counts, capacity)
     used = sum(n for _, n in best)
-    seen = 0
-
-    def consider(candidate: Plan) -> None:
-        nonlocal best, used
-        if (n := sum(n for _, n in candidate)) < used:
-            best, used = candidate, n
-
-    stack: list[tuple[dict[int, int], Plan, int]] = [(counts, [], 0)]
-    while stack and used > bound and seen < nodes:
-        left, chosen, bins = stack.pop()
-        if not left:
-            consider(chosen)
+    chosen: Plan = []
+    bins = 0
+    # One open enumeration for each level, and what its node had left.
+    stack = [(counts, _ways(counts, capacity))] if counts else []
+    while stack and used > bound and tries > 0:
+        left, ways = stack[-1]
+        filling, times = next(ways, (None, 0))
+        # What may be wasted from here on, if the incumbent is to be beaten.
+        spare = (used - 1 - bins) * capacity - sum(k * n for k, n in left.items())
+        if filling is None or capacity - size(filling) > spare:
+            stack.pop()
+            if chosen:
+                bins -= chosen.pop()[1]
             continue
-        rest = sum(k * n for k, n in left.items())
-        if bins + _ceil(rest, capacity) >= used:
+        tries -= 1
+        if not times:
             continue
-        seen += 1
-        consider(chosen + best_fit(left, capacity))
-        for filling in reversed(fillings(left, capacity, FILLINGS)):
-            after, times = _use(left, filling)
-            stack.append((after, [*chosen, (filling, times)], bins + times))
+        after = _after(left, filling, times)
+        if bins + times + lower_bound(after, capacity) >= used:
+            continue
+        rest = best_fit(after, capacity)
+        if (total := bins + times + sum(n for _, n in rest)) < used:
+            best, used = [*chosen, (filling, times), *rest], total
+        if after:
+            chosen.append((filling, times))
+            bins += times
+            stack.append((after, _ways(after, capacity)))
+    return best
+
+
+def _ways(left: dict[int, int], capacity: int) -> Iterator[tuple[Filling, int]]:
+    """Fillings with numbers of times; a dominated filling has none."""
+    for filling, dominated in fillings(left, capacity):
+        times = 0 if dominated else min(left[k] // n for k, n in filling)
+        yield filling, times
+        while times > 1:
+            times //= 2
+            yield filling, times
+
+
+def size(filling: Filling) -> int:
+    return sum(k * n for k, n in filling)
+
+
+def lower_bound(counts: dict[int, int], capacity: int) -> int:
+    """Sequences that any plan needs: by volume, and by the dual feasible functions of Fekete and Schepers (2001)."""
+    if not counts:
+        return 0
+    lengths = np.array(list(counts), np.int64)
+    times = np.array(list(counts.values()), np.int64)
+    best = _ceil(int(lengths @ times), capacity)
+    for k in range(1, 21):
+        scaled = (k + 1) * lengths
+        # A length that is a whole part of the capacity counts as it is, others as the parts they fill.
+        exact = scaled % capacity == 0
+        share = np.where(exact, k * lengths, scaled // capacity * capacity)
+        best = max(best, _ceil(int(share @ times), k * capacity))
     return best
 
 
@@ -208,99 +252,110 @@ def _ceil(a: int, b: int) -> int:
     return -(-a // b)
 
 
-def _use(left: dict[int, int], filling: Filling) -> tuple[dict[int, int], int]:
-    need = Counter(filling)
-    times = min(left[k] // n for k, n in need.items())
+def _after(left: dict[int, int], filling: Filling, times: int) -> dict[int, int]:
     after = dict(left)
-    for k, n in need.items():
+    for k, n in filling:
         after[k] -= n * times
         if not after[k]:
             del after[k]
-    return after, times
+    return after
+
 
+def _sums(reach: int, length: int, count: int) -> int:
+    """Bits of the sums that ``reach`` has when up to ``count`` of a length are added."""
+    step = 1
+    while count:
+        take = min(step, count)
+        reach |= reach << (take * length)
+        count -= take
+        step *= 2
+    return reach
 
-def fillings(left: dict[int, int], capacity: int, most: int) -> list[Filling]:
-    """Undominated fillings around the longest length, least waste first, ``most`` of them.
 
-    Enumerated longest length first with a bound on the waste: a subset is given up when the
-    shortest length no longer fits, or when ``most`` fillings without waste are known. A filling
-    is dominated when another one holds, in place of some of its lengths, one as long or longer.
+def fillings(left: dict[int, int], capacity: int) -> Iterator[tuple[Filling, bool]]:
+    """All fillings around the longest length, least waste first, one at a time, and whether each is dominated.
+
+    For each waste, from none upward, those whose lengths add up to what it leaves: tables of sums that the
+    shorter lengths can reach show which ways lead there, so that no way is tried in vain. Lengths are taken
+    longest first, as many as fit first. A way is a stack of counts; nothing recurses.
     """
-    lengths = sorted(left, reverse=True)
-    shortest = lengths[-1]
-    ascending = lengths[::-1]
-    found: dict[Filling, int] = {}
-    budget = 40 * most + 40
-
-    def extend(filling: Filling, room: int, upto: int) -> None:
-        nonlocal budget
-        if budget <= 0:
-            return
-        i = bisect_right(ascending, min(room, upto)) - 1
-        if room < shortest or i < 0:
-            budget -= 1
-            found[filling] = room
-            return
-        tried = 0
-        while i >= 0 and tried < 8 and budget > 0:
-            k = ascending[i]
-            if filling.count(k) < left[k]:
-                tried += 1
-                extend((*filling, k), room - k, k)
-                if any(not w for w in found.values()) and len(found) >= most:
-                    return
-            i -= 1
-        if not tried:
-            budget -= 1
-            found[filling] = room
-
-    longest = lengths[0]
-    extend((longest,), capacity - longest, longest)
-    # A pair of lengths that fills the room exactly may lie far from the longest ones.
+    lengths = sorted(left)
+    longest = lengths[-1]
     room = capacity - longest
-    for k in ascending:
-        other = room - k
-        if k <= other and left.get(other, 0) and Counter((longest, other, k))[k] <= left[k]:
-            if Counter((longest, other, k))[other] <= left[other]:
-                found[(longest, other, k)] = 0
+    pool = {k: left[k] - (k == longest) for k in lengths if k <= room and left[k] - (k == longest) > 0}
+    shorter = sorted(pool)
+    mask = (1 << (room + 1)) - 1
+    # reach[i]: sums of the i shortest lengths.
+    reach = [1]
+    for k in shorter:
+        reach.append(_sums(reach[-1], k, min(pool[k], room // k)) & mask)
+    available = 0
+    for k in shorter:
+        available |= 1 << k
+    for waste in range(room + 1):
+        target = room - waste
+        if not reach[-1] >> target & 1:
+            continue
+        # Counts chosen so far, from the longest; each entry: index, count, sum that is still to come.
+        way: list[tuple[int, int, int]] = []
+        i, rest, n = len(shorter), target, None
+        while True:
+            if rest == 0:
+                counted = Counter({shorter[j]: c for j, c, _ in way if c})
+                counted[longest] += 1
+                filling = tuple(sorted(counted.items(), reverse=True))
+                yield filling, _dominated(filling, pool, available, longest, waste)
+            else:
+                k = shorter[i - 1]
+                if n is None:
+                    n = min(pool[k], rest // k)
+                while n >= 0 and not reach[i - 1] >> (rest - n * k) & 1:
+                    n -= 1
+                if n >= 0:
+                    way.append((i - 1, n, rest))
+                    i, rest, n = i - 1, rest - n * k, None
+                    continue
+            # Back to the last length of which one less can be taken.
+            while way and not way[-1][1]:
+                way.pop()
+            if not way:
                 break
-    ranked = sorted(found, key=lambda f: (found[f], len(f), [-k for k in f]))
-    kept: list[Filling] = []
-    for f in ranked:
-        if not any(dominates(g, f) for g in kept):
-            kept.append(f)
-        if len(kept) == most:
-            break
-    return kept
-
-
-def dominates(a: Filling, b: Filling) -> bool:
-    """Whether the lengths of ``b`` can be shared out into those of ``a`` without excess."""
-    rooms = list(a)
-
-    def place(i: int) -> bool:
-        if i == len(b):
-            return True
-        tried = set()
-        for j, room in enumerate(rooms):
-            if room >= b[i] and room not in tried:
-                tried.add(room)
-                rooms[j] -= b[i]
-                if place(i + 1):
-                    return True
-                rooms[j] += b[i]
-        return False
+            j, count, rest = way.pop()
+            i, n = j + 1, count - 1
+
 
-    return sum(b) <= sum(a) and len(b) <= 12 and place(0)
+def _dominated(filling: Filling, pool: dict[int, int], available: int, longest: int, waste: int) -> bool:
+    """Whether a length that is left can stand in for some of the filling's that are no longer, and still fit.
+
+    A single length is replaced by a longer one; several also by one of their own sum.
+    """
+    single, several, taken = 0, 0, dict(filling)
+    taken[longest] -= 1
+    free = available
+    for k, n in taken.items():
+        if not n:
+            continue
+        if pool[k] <= n:
+            free &= ~(1 << k)
+        # Two or more: as before and any of this length, one and one or more of it, or two or more of it.
+        several = _sums(several, k, n) | _sums(single << k, k, n - 1)
+        if n > 1:
+            several |= _sums(1 << 2 * k, k, n - 2)
+        single |= 1 << k
+    wider = single << 1 if waste else 0
+    for w in range(waste + 1):
+        if several << w & free or (w and wider << (w - 1) & free):
+            return True
+    return False
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> Plan:
     """Best fit decreasing on a histogram: many sequences of equal filling at a time."""
-    open_: dict[int, list[tuple[Filling, int]]] = {}
+    open_: dict[int, list[tuple[Filling, int]]] = {}  # by the room that is left
     rooms: list[int] = []  # ascending
 
     def put(filling: Filling, times: int) -> None:
-        room = capacity - sum(filling)
+        room = capacity - size(filling)
         if room not in open_:
             open_[room] = []
             rooms.insert(bisect_right(rooms, room), room)
@@ -313,10 +368,10 @@ def best_fit(counts: dict[int, int], capacity: int) -> Plan:
             if at == len(rooms):
                 each = capacity // length
                 if n >= each:
-                    put((length,) * each, n // each)
+                    put(((length, each),), n // each)
                     n %= each
                 if n:
-                    put((length,) * n, 1)
+                    put(((length, n),), 1)
                     n = 0
                 continue
             room = rooms[at]
@@ -327,7 +382,7 @@ def best_fit(counts: dict[int, int], capacity: int) -> Plan:
             use = min(times, n // each)
             if use < times:
                 put(filling, times - use)
-            put(filling + (length,) * each, use)
+            put((*filling, (length, each)), use)
             n -= use * each
     return [x for room in sorted(open_) for x in open_[room]]
 
@@ -351,39 +406,46 @@ def pack(
     rows = docs.select(docs[id].alias("id"), pieces(docs[text], path, capacity).alias("cut"))
     rows = written(rows.select("id", F.inline("cut")))
     counts = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    places, base = [], 0
-    taken: Counter = Counter()
-    for filling, times in plan(counts, capacity):
-        at = 0
-        for k, n in sorted(Counter(filling).items(), reverse=True):
-            for i in range(n):
-                places.append((k, taken[k], taken[k] + times, base, at))
-                taken[k] += times
-                at += k
-        base += times
-    spark = docs.sparkSession
-    # At most one row for each place in a filling: bounded by the number of lengths.
-    places = spark.createDataFrame(
-        places, "length long, from_ long, to_ long, base long, offset long"
-    )
-    slice_ = F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.lit(SLICES))
-    rows = rows.withColumn("slice", slice_)
+    place = _places(plan(counts, capacity), docs.sparkSession)
+    # Slices of a length grow in number with the rows, so that no length is one task.
+    slices = F.lit(1 + sum(counts.values()) // SLICE_ROWS)
+    rows = rows.withColumn("slice", F.pmod(F.xxhash64("id", "piece", "ids_crc32"), slices))
     sizes = rows.groupBy("length", "slice").agg(F.count("*").alias("n"))
     before = W.partitionBy("length").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
     sizes = sizes.select("length", "slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     order = W.partitionBy("length", "slice").orderBy("id", "piece", "ids_crc32")
     ranked = rows.withColumn("rank", F.row_number().over(order) - 1)
     ranked = ranked.join(sizes, ["length", "slice"]).withColumn("rank", F.col("rank") + F.col("before"))
-    placed = ranked.join(
-        places.withColumnRenamed("length", "of"),
-        (F.col("length") == F.col("of")) & (F.col("rank") >= F.col("from_")) & (F.col("rank") < F.col("to_")),
-    )
-    return placed.select(
-        F.col("id").alias(id),
-        "piece",
-        "start",
-        "length",
-        "ids_crc32",
-        (F.col("base") + F.col("rank") - F.col("from_")).alias("sequence_id"),
-        "offset",
-    )
+    placed = ranked.withColumn("place", place("length", "rank"))
+    return placed.select(F.col("id").alias(id), "piece", "start", "length", "ids_crc32", "place.sequence_id", "place.offset")
+
+
+def _places(chosen: Plan, spark: SparkSession) -> Callable[[str, str], Column]:
+    """The place of the n-th piece of a length, as an expression.
+
+    The plan has a row for each filling and length in it: as many as the plan is long, whatever the rows.
+    """
+    taken: Counter = Counter()
+    places, base = [], 0
+    for filling, times in chosen:
+        at = 0
+        for k, n in filling:
+            places.append((k, taken[k], n, base, at))
+            taken[k] += n * times
+            at += n * k
+        base += times
+    table = np.array(sorted(places), np.int64).reshape(-1, 5)
+    shared = spark.sparkContext.broadcast(table)
+
+    @F.arrow_udf("sequence_id long, offset long")
+    def place(length: pa.Array, rank: pa.Array) -> pa.Array:
+        of = shared.value
+        k, n = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in (length, rank))
+        # Rows are in order of length, then number: the last that begins no later.
+        keys = of[:, 0] << 44 | of[:, 1]
+        _, first, each, bins, offset = of[np.searchsorted(keys, k << 44 | n, "right") - 1].T
+        nth = n - first
+        columns = [pa.array(bins + nth // each), pa.array(offset + nth % each * k)]
+        return pa.StructArray.from_arrays(columns, ["sequence_id", "offset"])
+
+    return place

@@ -15,6 +15,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pagevane.llm import bpe, fingerprints, packing, personal
@@ -113,23 +114,101 @@ def test_packing_of_odd_rows(odd, none):
     assert packing.pack(none, TOKENIZER_FILE, CAPACITY).collect() == []
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.dictionaries(st.integers(1, 24), st.integers(1, 9), max_size=12))
-def test_plans_hold_all_and_are_no_worse_than_best_fit(counts):
-    found = packing.plan(counts, 24)
+def _hold(found, counts, capacity):
     held = Counter()
     for filling, times in found:
-        assert sum(filling) <= 24 and times > 0
-        for k in filling:
-            held[k] += times
+        assert sum(k * n for k, n in filling) <= capacity and times > 0
+        for k, n in filling:
+            held[k] += n * times
     assert held == Counter(counts)
-    assert sum(n for _, n in found) <= sum(n for _, n in packing.best_fit(counts, 24))
+    return sum(times for _, times in found)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.dictionaries(st.integers(1, 24), st.integers(1, 9), max_size=12))
+def test_plans_hold_all_and_are_no_worse_than_best_fit(counts):
+    used = _hold(packing.plan(counts, 24), counts, 24)
+    assert packing.lower_bound(counts, 24) <= used <= sum(n for _, n in packing.best_fit(counts, 24))
+
+
+def _least(lengths, capacity):
+    """Fewest sequences, by trying each length in each of them."""
+    best = len(lengths)
+
+    def put(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(lengths):
+            best = len(rooms)
+            return
+        for room in set(rooms):
+            if room >= lengths[i]:
+                rest = list(rooms)
+                rest[rest.index(room)] -= lengths[i]
+                put(i + 1, rest)
+        put(i + 1, [*rooms, capacity - lengths[i]])
+
+    put(0, [])
+    return best
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 20), min_size=1, max_size=9))
+def test_plans_are_optimal_where_the_search_ends(lengths):
+    lengths.sort(reverse=True)
+    counts = dict(Counter(lengths))
+    assert _hold(packing.plan(counts, 20, 10**6), counts, 20) == _least(lengths, 20)
 
 
 def test_search_fills_sequences_and_knows_dominance():
     counts = {7: 1, 6: 1, 5: 2, 4: 1, 3: 1}  # 30 in three of 10
-    assert sum(n for _, n in packing.plan(counts, 10)) == 3
-    assert packing.dominates((8,), (5, 3)) and not packing.dominates((5, 3), (8,))
+    assert _hold(packing.plan(counts, 10), counts, 10) == 3
+    found = dict(packing.fillings({10: 1, 8: 1, 5: 1, 3: 1, 2: 2, 1: 1}, 18))
+    assert found[(10, 1), (8, 1)] is False
+    assert found[(10, 1), (5, 1), (3, 1)] is True  # the 8 can stand for both
+    assert found[(10, 1), (5, 1), (2, 1)] is True  # the 3 can stand for the 2
+
+
+def test_all_undominated_fillings_are_listed():
+    left = {9: 1, 6: 2, 5: 1, 4: 2, 2: 3, 1: 2}
+    found = list(packing.fillings(left, 20))
+    every = set()
+    pool = sorted((Counter(left) - Counter([9])).elements())
+    for n in range(len(pool) + 1):
+        for some in itertools.combinations(pool, n):
+            if sum(some) <= 11:
+                every.add(tuple(sorted(Counter([9, *some]).items(), reverse=True)))
+    assert {f for f, _ in found} == every and len(found) == len(every)
+    waste = [20 - packing.size(f) for f, _ in found]
+    assert waste == sorted(waste)
+
+
+def test_very_many_short_documents():
+    """Rows without text are one token each: a filling holds more of them than Python's stack has room for."""
+    counts = {700: 300, 1: 5000}
+    assert _hold(packing.plan(counts, 2048), counts, 2048) == 150
+    _hold(packing.plan({1: 10**9, 2048: 10**6, 3: 7}, 2048), {1: 10**9, 2048: 10**6, 3: 7}, 2048)
+    picked = random.Random(4)
+    counts = {k: picked.randrange(1, 10**6) for k in range(1, 2049)}
+    found = packing.plan(counts, 2048)
+    assert _hold(found, counts, 2048) >= packing.lower_bound(counts, 2048)
+
+
+def test_packing_of_many_empty_texts(spark):
+    words = "word " * 350
+    rows = spark.range(5300).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 300, words).otherwise("").alias("text"))
+    found = packing.pack(rows, TOKENIZER_FILE, CAPACITY).collect()
+    sequences = defaultdict(list)
+    for r in found:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    assert len(found) == 5300
+    for places in sequences.values():
+        ends = 0
+        for offset, length in sorted(places):
+            assert offset == ends
+            ends += length
+        assert ends <= CAPACITY
 
 
 PATTERNS = {
