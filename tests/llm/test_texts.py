@@ -100,6 +100,13 @@ def _check_packing(rows, texts):
     return len(sequences)
 
 
+def test_merging_by_ranks_gives_the_models_ids():
+    assert packing.by_ranks(TOKENIZER_FILE)
+    texts = [d + " \n\t x <|endoftext|> é漢字🙂 it's 1234567 \x00" for d in ("", "Word's", "ünï  codé", "a" * 5000)]
+    plain, ranked = packing._Ids(TOKENIZER_FILE), packing._Ids(TOKENIZER_FILE, True)
+    assert plain.encode(texts) == ranked.encode(texts)
+
+
 def test_packing_query(spark):
     rows = QUERIES["op3_best_fit_packing"](spark, SF).collect()
     texts = [(r.doc_id, r.text) for r in table(spark, "documents").collect()]
