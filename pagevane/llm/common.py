@@ -10,9 +10,11 @@ Rules that hold for every operator here:
 from __future__ import annotations
 
 import atexit
+import ctypes
 import hashlib
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -272,6 +274,22 @@ def steps(offsets: np.ndarray, size: int = STEP_BYTES) -> Iterator[tuple[int, in
         last = min(max(last, first + 1), rows)
         yield first, last
         first = last
+    give_back()
+
+
+@lru_cache(maxsize=1)
+def _trim() -> Callable[[int], int] | None:
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return None
+
+
+def give_back() -> None:
+    """Hand memory that a batch needed back to the system: a worker lives on, and its next work needs other arrays."""
+    pa.default_memory_pool().release_unused()
+    if _trim() is not None:
+        _trim()(0)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .bpe import _units
-from .common import steps, text_of, utf8, written
+from .common import give_back, steps, text_of, utf8, written
 
 CACHE_UNITS = 650_000
 # Fillings that the branch-and-bound search looks at; each may cost a best fit of ``capacity`` lengths.
@@ -184,6 +184,7 @@ def pieces(text: str | Column, path: str, capacity: int, end_id: int = 0) -> Col
                 yield _cut(texts, ids, capacity, end_id)
         finally:
             ids.forget()  # the worker may go on to other work
+            give_back()
 
     return cut.asNondeterministic()(text_of(text))
 
