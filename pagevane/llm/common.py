@@ -266,15 +266,16 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[at[0] : at[-1]], at - at[0]
 
 
-def steps(offsets: np.ndarray, size: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``size`` bytes each, of one row at least."""
+def steps(offsets: np.ndarray, size: int = STEP_BYTES, trim: bool = False) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``size`` bytes each, of one row at least; ``trim`` hands memory back at the end."""
     first, rows = 0, len(offsets) - 1
     while first < rows:
         last = int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1
         last = min(max(last, first + 1), rows)
         yield first, last
         first = last
-    give_back()
+    if trim:
+        give_back()
 
 
 @lru_cache(maxsize=1)

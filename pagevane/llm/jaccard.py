@@ -62,7 +62,7 @@ _MEMBER = ("node", "component", "n", "matches", "place")
 def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text; fewer words: the whole sequence as one."""
     data, offsets = utf8(texts)
-    for first, last in steps(offsets):
+    for first, last in steps(offsets, trim=True):
         at = offsets[first : last + 1]
         found = Words(data[at[0] : at[-1]], at - at[0], lower=True)
         hashes, _ = found.shingles(words)

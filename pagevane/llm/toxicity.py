@@ -46,7 +46,7 @@ def word_counts(texts: pa.Array, vocabulary: np.ndarray) -> Iterator[tuple[np.nd
     """For each text, the places in the sorted hashes ``vocabulary`` of its words, and their counts."""
     data, offsets = utf8(texts)
     size = max(len(vocabulary), 1)
-    for first, last in steps(offsets):
+    for first, last in steps(offsets, trim=True):
         at = offsets[first : last + 1]
         words = _plain_words(data[at[0] : at[-1]], at - at[0])
         place = np.searchsorted(vocabulary, words.hash)
