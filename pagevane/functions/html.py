@@ -11,7 +11,7 @@ Three readings of a page, all evaluated in the JVM in one pass over the row:
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,75 +40,124 @@ NOISE_CLASSES = (
 
 
 
+# What follows a tag's name. A quote counts only as the start of a value, and a ">" in a quoted value
+# doesn't end the tag; a quote that never closes is a character like others. Possessive, so linear.
+_ATTRIBUTES = r"""[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+"""
+# As in an HTML parser a tag that never ends takes the rest of the page.
+_TAG_END = r"(?:>|\z)"
+_ANY_TAG = rf"/?[a-zA-Z]{_ATTRIBUTES}{_TAG_END}"
+
+
 def _elements(names: tuple[str, ...]) -> str:
-    return "|".join(rf"{t}\b[^>]*>.*?(?:</{t}\s*>|\z)" for t in names)
+    return "|".join(rf"{t}\b{_ATTRIBUTES}{_TAG_END}.*?(?:</{t}\s*>|\z)" for t in names)
 
 
 # One alternation behind one "<", so the text is scanned once and whichever
-# element opens first wins (a tag inside a comment or a script string is not seen
-# as markup). An unclosed element runs to the end, as in an HTML parser; an opening
-# tag therefore always matches, and the scan is linear on broken pages too.
+# element opens first wins (a tag inside a comment, a script string or an attribute
+# is not seen as markup: other tags are taken whole and put back). An unclosed
+# element runs to the end, as in an HTML parser; an opening tag therefore always
+# matches, and the scan is linear on broken pages too.
 _RAW = rf"!--.*?(?:-->|\z)|{_elements(RAW_ELEMENTS)}"
-RAW_PATTERN = f"(?is)<(?:{_RAW})"
-DROP_PATTERN = f"(?is)<(?:{_RAW}|{_elements(CHROME_ELEMENTS)})"
-TAG_PATTERN = r"</?[a-zA-Z!?][^>]*>"
-BLOCK_PATTERN = rf"(?i)(</?(?:{'|'.join(BLOCK_ELEMENTS)})\b[^>]*>)"
-CONTENT_PATTERN = rf"(?i)^</?(?:{'|'.join(CONTENT_ELEMENTS)})\b"
-NOISE_PATTERN = (
-    r"(?i)^<[a-z][^>]*\b(?:class|id)\s*=\s*[\"']?[^\"'>]*\b(?:"
-    + "|".join(NOISE_CLASSES)
-    + r")\b"
+RAW_PATTERN = f"(?is)<(?:{_RAW})|(<{_ANY_TAG})"
+DROP_PATTERN = f"(?is)<(?:{_RAW}|{_elements(CHROME_ELEMENTS)})|(<{_ANY_TAG})"
+TAG_PATTERN = rf"<(?:{_ANY_TAG}|[!?][^>]*+{_TAG_END})"
+# What comes before a tag that starts or ends a block, with all other tags whole, and that tag.
+_BLOCK_TAG = rf"/?(?:{'|'.join(BLOCK_ELEMENTS)})\b"
+BLOCK_PATTERN = (
+    rf"(?is)((?:[^<]++|<(?!{_BLOCK_TAG})(?:{_ANY_TAG})?+)*+)"
+    rf"(<{_BLOCK_TAG}{_ATTRIBUTES}{_TAG_END}|\z)"
 )
+CONTENT_PATTERN = rf"(?i)^</?(?:{'|'.join(CONTENT_ELEMENTS)})\b"
+
+
+def _noise(attribute: str) -> str:
+    name = rf"(?<![\w-]){attribute}\s*+="
+    before = rf"""(?:(?!{name})[^>=]|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
+    word = rf"\b(?:{'|'.join(NOISE_CLASSES)})\b"
+    return rf"""[a-z]{before}{name}\s*+(?:"[^"]*{word}|'[^']*{word}|[^\s"'>]*{word})"""
+
+
+NOISE_PATTERN = rf"(?is)^<(?:{_noise('class')}|{_noise('id')})"
 ANCHOR_START = r"(?i)<a\b"
 ANCHOR_REST = r"(?is)</a\b.*"
-# A heading ends at the next heading tag, opening or closing.
-H1_PATTERN = r"(?is)<h1\b[^>]*>(.*?)(?:</?h[1-6]\b|\z)"
-ENTITY_PATTERN = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"
+# The first heading that is not inside an attribute; it ends at the next heading tag, opening or closing.
+H1_PATTERN = (
+    rf"(?is)\A(?:[^<]++|<(?!h1\b)(?:{_ANY_TAG})?+)*+"
+    rf"<h1\b{_ATTRIBUTES}>(.*?)(?:</?h[1-6]\b|\z)"
+)
+DECIMAL_PATTERN = r"^#(0*+[0-9]{1,7})(?![0-9]);?"
+HEX_PATTERN = r"^#[xX](0*+[0-9a-fA-F]{1,6})(?![0-9a-fA-F]);?"
+NAME_PATTERN = r"^([a-zA-Z][a-zA-Z0-9]{1,31});"
+# Names that count without a semicolon too, from the standard library's table; the longest wins.
+BARE_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+BARE_PATTERN = f"^({'|'.join(BARE_NAMES)})"
 BLOCK_MARK = "\u0001"
 MIN_BLOCK_WORDS = 10
 
 
 def named_entities() -> dict[str, str]:
-    """Entity name -> character, from the standard library's table."""
+    """Name -> character of the entities that pages use most, from the standard library's table."""
     table = {name: chr(cp) for name, cp in name2codepoint.items()}
     table["apos"] = "'"
     return table
 
 
-def _named_map() -> Column:
+def _map(table: dict[str, str]) -> Column:
     # Control characters as separators: none of the mapped values contains one.
-    packed = "\u0002".join(f"{k}\u0003{v}" for k, v in sorted(named_entities().items()))
+    packed = "\u0002".join(f"{k}\u0003{v}" for k, v in sorted(table.items()))
     return F.str_to_map(F.lit(packed), F.lit("\u0002"), F.lit("\u0003"))
 
 
-def _code_point(entity: Column) -> Column:
-    is_hex = F.lower(F.substring(entity, 2, 1)) == "x"
-    digits = F.when(is_hex, F.conv(F.substring(entity, 3, 8), 16, 10)).otherwise(
-        F.substring(entity, 2, 8)
+def _named(name: Column) -> Column:
+    # A map is searched from its start: the long table only for what the short one lacks.
+    whole = {n.rstrip(";"): text for n, text in html5.items()}
+    return F.coalesce(
+        F.try_element_at(_map(named_entities()), name), F.try_element_at(_map(whole), name)
     )
-    return digits.cast("bigint")
 
 
-def _decode_entity(entity: Column) -> Column:
-    cp = _code_point(entity)
+def _numbered(cp: Column) -> Column:
+    # Numbers of control characters mean windows-1252, where that has a character.
+    codes = [c for c in range(0x80, 0xA0) if c not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
     valid = cp.between(1, 0xD7FF) | cp.between(0xE000, 0x10FFFF)
-    numeric = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32"))
-    named = F.try_element_at(_named_map(), entity)
-    return F.when(entity.startswith("#"), numeric).otherwise(named)
+    char = F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
+    meant = F.translate(char, "".join(map(chr, codes)), bytes(codes).decode("cp1252"))
+    return F.when(valid, meant)
+
+
+def _decode_piece(piece: Column) -> Column:
+    """The text after an ampersand with the reference it starts with decoded; null if there is none."""
+
+    def after(pattern: str) -> Column:
+        return F.substr(piece, F.length(F.regexp_extract(piece, pattern, 0)) + 1)
+
+    def code(pattern: str, base: int) -> Column:
+        digits = F.regexp_extract(piece, pattern, 1)
+        return F.when(digits != "", F.conv(digits, base, 10).cast("bigint"))
+
+    def number(pattern: str, base: int) -> Column:
+        return F.concat(_numbered(code(pattern, base)), after(pattern))
+
+    def name(pattern: str) -> Column:
+        found = F.regexp_extract(piece, pattern, 1)
+        return F.when(found != "", F.concat(_named(found), after(pattern)))
+
+    numeric = F.coalesce(number(DECIMAL_PATTERN, 10), number(HEX_PATTERN, 16))
+    named = F.coalesce(name(NAME_PATTERN), name(BARE_PATTERN))
+    return F.when(piece.startswith("#"), numeric).otherwise(named)
 
 
 def unescape(c: Column | str) -> Column:
     """Replace named and numeric character references, each once; unknown ones stay.
 
+    As in HTML5 a number needs no semicolon, the oldest names need none either, and numbers of
+    control characters mean windows-1252. Numbers that are no character stay as they are.
     The text is cut at the ampersands and every piece decoded by itself, so the
     cost is linear however many different references a page uses.
     """
 
     def decode_piece(piece: Column) -> Column:
-        entity = F.regexp_extract(piece, ENTITY_PATTERN, 1)
-        rest = F.substr(piece, F.length(entity) + 2)
-        decoded = F.when(entity != "", _decode_entity(entity))
-        return F.coalesce(F.concat(decoded, rest), F.concat(F.lit("&"), piece))
+        return F.coalesce(_decode_piece(piece), F.concat(F.lit("&"), piece))
 
     def decode(pieces: Column) -> Column:
         after = F.slice(pieces, 2, F.size(pieces))
@@ -131,7 +180,7 @@ def _n_words(c: Column) -> Column:
 
 def extract_text(html: Column | str) -> Column:
     """All visible text of a page on one line; ``''`` if there is none."""
-    visible = F.regexp_replace(col(html), DROP_PATTERN, " ")
+    visible = F.regexp_replace(col(html), DROP_PATTERN, " $1")
     return collapse_spaces(unescape(_drop_tags(visible, " ")))
 
 
@@ -158,8 +207,8 @@ def main_text(html: Column | str, min_words: int = MIN_BLOCK_WORDS) -> Column:
     paragraph-like element or has ``min_words`` words, and its class or id does
     not mark it as an advertisement or page furniture.
     """
-    visible = F.regexp_replace(col(html), DROP_PATTERN, " ")
-    marked = F.regexp_replace(visible, BLOCK_PATTERN, BLOCK_MARK + "$1")
+    visible = F.regexp_replace(col(html), DROP_PATTERN, " $1")
+    marked = F.regexp_replace(visible, BLOCK_PATTERN, "$1" + BLOCK_MARK + "$2")
     with_text = F.transform(
         F.split(marked, BLOCK_MARK),
         lambda b: F.struct(b.alias("block"), collapse_spaces(_drop_tags(b, " ")).alias("text")),
@@ -171,5 +220,5 @@ def main_text(html: Column | str, min_words: int = MIN_BLOCK_WORDS) -> Column:
 
 def first_h1(html: Column | str) -> Column:
     """Text of the first ``<h1>``, nested tags removed, not trimmed; ``''`` if absent."""
-    rendered = F.regexp_replace(col(html), RAW_PATTERN, "")
+    rendered = F.regexp_replace(col(html), RAW_PATTERN, "$1")
     return unescape(_drop_tags(F.regexp_extract(rendered, H1_PATTERN, 1), ""))

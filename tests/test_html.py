@@ -25,6 +25,12 @@ LONG = "one two three four five six seven eight nine ten eleven."
         ("<h1>open<h2>next</h2>", "open"),
         ("<h1>never closed", "never closed"),
         ("<h1>two\nlines</h1>", "two\nlines"),
+        ('<h1 title="a>b">T</h1>', "T"),
+        ("<h1 title = 'a>b' id=x>T<i alt='>'>U</i></h1>", "TU"),
+        ('<a title="<h1>no</h1>">x</a><h1>yes</h1>', "yes"),
+        ('<a title="<script>">x</a><h1>yes</h1>', "yes"),
+        ("<h1 title=it's>a</h1><p title='x'>", "a"),
+        ('<p title="never closed><h1>yes</h1>', "yes"),
     ],
 )
 def test_first_h1(one, html, expected):
@@ -60,6 +66,9 @@ def test_unescape(one, text, expected):
         ("a&nbsp;&nbsp;b c", "a b c"),
         ("<title>t</title>", ""),
         ("<header>h</header>", "h"),
+        ('<p title="1 > 0">a</p><img alt="x>y">b', "a b"),
+        ('<script data-x="</script>a>">gone</script>b', "b"),
+        ("a<b c", "a"),
         (None, None),
     ],
 )
@@ -81,6 +90,9 @@ def test_extract_text(one, html, expected):
         ('<p><a href="/a">one <a href="/b">two</p><p>kept</p>', "kept"),
         ("<nav>never closed <p>text</p>", ""),
         ("<p>unclosed<p>next", "unclosed\nnext"),
+        ('<p title="1 > 0">kept</p><p title="a>b" class="big ad">gone</p>', "kept"),
+        ('<p data-class="ad">kept</p><p class="x" id=promo>gone</p>', "kept"),
+        ('<div title="<p>no</p>"></div><p>kept</p>', "kept"),
         ("", ""),
     ],
 )
@@ -98,8 +110,13 @@ def test_main_text(one, html, expected):
         "&" * 500_000,
         "".join(f"&#{i};" for i in range(1000, 6000)) * 20,
         "<!--" + "x" * 1_000_000,
+        '<a x="' * 100_000,
+        "<a x='>" * 100_000 + '"',
+        "<p " + "class=" * 100_000,
+        "<p " + 'class="b" ' * 100_000 + ">",
+        "&eacute" * 100_000,
     ],
-    ids=["nav", "h1", "a", "lt", "amp", "entities", "comment"],
+    ids="nav h1 a lt amp entities comment quote quotes equals classes bare".split(),
 )
 def test_broken_pages_take_linear_time(spark, html):
     df = spark.createDataFrame([(html,)], "c string")
