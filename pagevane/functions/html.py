@@ -46,6 +46,8 @@ _ATTRIBUTES = r"""[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+"""
 # As in an HTML parser a tag that never ends takes the rest of the page.
 _TAG_END = r"(?:>|\z)"
 _ANY_TAG = rf"/?[a-zA-Z]{_ATTRIBUTES}{_TAG_END}"
+# A tag with a value; only these can hide markup.
+_VALUE_TAG = rf"[a-zA-Z][^<>=]*+(?==){_ATTRIBUTES}{_TAG_END}"
 
 
 def _elements(names: tuple[str, ...]) -> str:
@@ -54,12 +56,12 @@ def _elements(names: tuple[str, ...]) -> str:
 
 # One alternation behind one "<", so the text is scanned once and whichever
 # element opens first wins (a tag inside a comment, a script string or an attribute
-# is not seen as markup: other tags are taken whole and put back). An unclosed
+# is not seen as markup: other tags with values are taken whole and put back). An unclosed
 # element runs to the end, as in an HTML parser; an opening tag therefore always
 # matches, and the scan is linear on broken pages too.
 _RAW = rf"!--.*?(?:-->|\z)|{_elements(RAW_ELEMENTS)}"
-RAW_PATTERN = f"(?is)<(?:{_RAW})|(<{_ANY_TAG})"
-DROP_PATTERN = f"(?is)<(?:{_RAW}|{_elements(CHROME_ELEMENTS)})|(<{_ANY_TAG})"
+RAW_PATTERN = f"(?is)<(?:{_RAW})|(<{_VALUE_TAG})"
+DROP_PATTERN = f"(?is)<(?:{_RAW}|{_elements(CHROME_ELEMENTS)})|(<{_VALUE_TAG})"
 TAG_PATTERN = rf"<(?:{_ANY_TAG}|[!?][^>]*+{_TAG_END})"
 # What comes before a tag that starts or ends a block, with all other tags whole, and that tag.
 _BLOCK_TAG = rf"/?(?:{'|'.join(BLOCK_ELEMENTS)})\b"

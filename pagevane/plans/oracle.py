@@ -26,8 +26,8 @@ def q(text: str) -> str:
 
 
 def pattern(text: str) -> str:
-    """SQL literal of a pattern without its possessive quantifiers."""
-    return q(re.sub(r"([*+?])\+", r"\1", text))
+    """SQL literal of a pattern without its possessive quantifiers and looks ahead."""
+    return q(re.sub(r"([*+?])\+", r"\1", text.replace("(?==)", "")))
 
 
 # Simpler than Spark's patterns: no tag before the one that counts holds markup in an attribute, and
