@@ -8,6 +8,7 @@ tables, and running a step again with the same batch replaces its output.
 from __future__ import annotations
 
 import time
+from collections import defaultdict
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from pagevane.functions.segment import MAX_WORDS, OVERLAP_SENTENCES
 from pagevane.functions.vectors import DIM
-from pagevane.operators.embed import EncoderFactory, HashingEncoder, dim_check, embed_documents
+from pagevane.operators.embed import Encoder, EncoderFactory, HashingEncoder, dim_check, embed_documents
 from pagevane.operators.extract import TARGET_LANG, extract_pages
 from pagevane.operators.messages import ERROR, require_fields
 from pagevane.operators.metrics import route_metrics, stamp
@@ -23,13 +24,17 @@ from pagevane.sinks import (
     append_index,
     create_index,
     emit_metric,
+    emit_metrics,
     index_dim,
     write_checked,
     write_metrics,
     write_trace,
 )
-from pagevane.sinks.tables import batch_path
-from pagevane.sources.warc import read_archives
+from pagevane.sinks.tables import TIMES, batch_path
+from pagevane.sources.warc import TIMES_SCHEMA, read_archives
+
+# Seconds of indexing since this driver started, by index.
+_indexing: dict[str, float] = defaultdict(float)
 
 
 @dataclass(frozen=True)
@@ -48,14 +53,14 @@ class Settings:
     index_once: bool = False
 
 
-def archive_pages(paths: DataFrame, partitions: int | None = None) -> DataFrame:
+def archive_pages(paths: DataFrame, partitions: int | None = None, timed: bool = False) -> DataFrame:
     """Response records of the archives in ``paths``.
 
     Damaged archives, and manifest messages that could not be decoded, are rows
-    with ``_error`` set.
+    with ``_error`` set. ``timed`` adds the measured times of each archive (see ``read_archives``).
     """
     usable = paths.filter(F.col(ERROR).isNull()) if ERROR in paths.columns else paths
-    records = read_archives(usable, mode="PERMISSIVE", partitions=partitions)
+    records = read_archives(usable, mode="PERMISSIVE", partitions=partitions, timed=timed)
     pages = records.withColumnRenamed("error", ERROR)
     if ERROR not in paths.columns:
         return pages
@@ -72,14 +77,22 @@ def extract_step(
     trace: str | None = None,
     once: bool = False,
 ) -> None:
-    """Pages to text messages ``url, h1, text`` in ``out``; ``once`` publishes a stream's batch."""
+    """Pages to text messages ``url, h1, text`` in ``out``; ``once`` publishes a stream's batch.
+
+    Metrics are one message for each archive if its times were measured (``archive_pages(timed=True)``),
+    otherwise one for the batch.
+    """
     started = time.monotonic()
+    timed = "times" in pages.columns
     damaged = F.col(ERROR).isNotNull() if ERROR in pages.columns else None
-    texts = extract_pages(pages, settings.lang, keep=damaged)
+    measured = F.col("times").isNotNull() if timed else F.lit(False)
+    texts = extract_pages(
+        pages, settings.lang, keep=measured if damaged is None else damaged | measured
+    )
     if damaged is None:
         texts = require_fields(texts)
     # Where something was rejected, its path (or message) is kept with the reason.
-    place = [F.col("path")] if "path" in pages.columns else []
+    place = [F.col(c) for c in ("path", "times") if c in pages.columns]
     rows = texts.select("url", "h1", "text", *place, ERROR)
     # Few pages pass the language filter; rebalancing turns the many near-empty
     # outputs of the scan into files of even size.
@@ -88,11 +101,49 @@ def extract_step(
         written = pages.sparkSession.read.parquet(batch_path(out, batch))
         write_trace(written.filter("status = 'ok'").select("url", "h1", "text"), trace)
     spent = time.monotonic() - started
-    emit_metric(
-        pages.sparkSession, metrics, batch, step="warc", warc_url=str(batch),
-        total_time=spent, processing_time=spent, load_time=0.0, download_time=0.0,
-        rabbit_connection_time=0.0, computer=settings.computer,
-    )
+    if not timed:
+        emit_metric(
+            pages.sparkSession, metrics, batch, step="warc", warc_url=str(batch),
+            total_time=spent, processing_time=spent, computer=settings.computer,
+        )
+    elif metrics is not None:
+        emit_metrics(_archive_metrics(pages.sparkSession, out, batch, settings), metrics, batch, "warc")
+
+
+def _archive_metrics(
+    spark: SparkSession, out: str, batch: str | int, settings: Settings
+) -> DataFrame:
+    """The extraction metric of each archive of a batch that was written."""
+    schema = f"path string, times {TIMES_SCHEMA}, status string"
+    written = spark.read.schema(schema).parquet(batch_path(out, batch))
+    parts = ("download_time", "load_time", "processing_time")
+    total = sum((F.col(f"times.{p}") for p in parts[1:]), F.col(f"times.{parts[0]}"))
+    return written.filter(F.col("status") == TIMES).select(
+        F.lit("warc").alias("step"),
+        F.col("path").alias("warc_url"),
+        total.alias("total_time"),
+        *[f"times.{p}" for p in parts],
+        F.lit(settings.computer).alias("computer"),
+    )
+
+
+class _TimedEncoder:
+    """A factory whose encoders add the seconds that they take to an accumulator."""
+
+    def __init__(self, factory: EncoderFactory, seconds):
+        self.factory = factory
+        self.seconds = seconds
+
+    def __call__(self) -> Encoder:
+        encode, seconds = self.factory(), self.seconds
+
+        def timed(texts):
+            started = time.monotonic()
+            vectors = encode(texts)
+            seconds.add(time.monotonic() - started)
+            return vectors
+
+        return timed
 
 
 def embed_step(
@@ -107,8 +158,12 @@ def embed_step(
 
     Rows with ``_error`` (from decoding), without a required field, without any
     sentence or with a vector of the wrong length are written with status ``bad``.
+    In the metric ``time_encode`` is the sum over all tasks of the seconds inside the encoder (tasks
+    that ran twice count twice), ``time_embeding`` the seconds that the step took.
     """
     started = time.monotonic()
+    seconds = texts.sparkSession.sparkContext.accumulator(0.0)
+    encoder = _TimedEncoder(settings.encoder, seconds)
     before = texts.columns
     checked = texts if ERROR in before else require_fields(texts, "url", "h1", "text")
     # A rejected message must not cost an encoder call.
@@ -117,7 +172,7 @@ def embed_step(
         usable = usable.repartition(settings.encode_partitions)
     vectors = dim_check(
         embed_documents(
-            usable, "text", settings.encoder, settings.max_words, settings.overlap_sentences
+            usable, "text", encoder, settings.max_words, settings.overlap_sentences
         ),
         settings.dim,
     )
@@ -131,7 +186,7 @@ def embed_step(
     spent = time.monotonic() - started
     emit_metric(
         texts.sparkSession, metrics, batch, step="vector", url=str(batch),
-        time_encode=spent, time_get_rabbit_connection=0.0, computer=settings.computer,
+        time_encode=seconds.value, time_embeding=spent, computer=settings.computer,
     )
 
 
@@ -154,9 +209,10 @@ def index_step(
         raise ValueError(f"index has dimension {index_dim(spark, index)}, not {settings.dim}")
     written = append_index(vectors, index, batch, settings.index_once)
     spent = time.monotonic() - started
+    _indexing[index] += spent
     emit_metric(
         spark, metrics, batch, step="index_batch_async", batchsize=written, batch_time=spent,
-        time_rabbitmq_connection=0.0, time_es_connection=0.0, machine=settings.computer,
+        cumulative_index_time=_indexing[index], machine=settings.computer,
     )
 
 

@@ -12,6 +12,7 @@ from pagevane.sinks.tables import (
     batch_path,
     checked_path,
     emit_metric,
+    emit_metrics,
     write_checked,
     write_messages,
     write_metrics,
@@ -24,6 +25,7 @@ __all__ = [
     "checked_path",
     "create_index",
     "emit_metric",
+    "emit_metrics",
     "index_dim",
     "index_exists",
     "read_index",

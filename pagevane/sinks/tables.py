@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pagevane.operators.messages import ERROR, encode_messages
 from pagevane.operators.metrics import METRIC_SCHEMA
 
-OK, BAD = "ok", "bad"
+OK, BAD, TIMES = "ok", "bad", "times"
 
 
 def batch_path(path: str, batch: str | int) -> str:
@@ -47,10 +47,13 @@ def publish(spark: SparkSession, folder: str, write: Callable[[str], None]) -> b
 def write_checked(df: DataFrame, path: str, batch: str | int, once: bool = False) -> None:
     """Write good and bad rows of a batch in one job, apart by ``status``; ``once`` publishes them.
 
-    Bad rows are those with ``_error`` set. One write, so the work that made the
+    Bad rows are those with ``_error`` set, and rows with a value in ``times`` are measurements, apart
+    from both. One write, so the work that made the
     rows is done once and not once per outcome.
     """
     status = F.when(F.col(ERROR).isNull(), OK).otherwise(BAD)
+    if "times" in df.columns:
+        status = F.when(F.col("times").isNotNull(), TIMES).otherwise(status)
     rows = df.withColumn("status", status)
 
     def write(folder: str) -> None:
@@ -92,5 +95,10 @@ def emit_metric(spark: SparkSession, path: str | None, batch: str | int, **field
     if unknown:
         raise ValueError(f"unknown metric fields {sorted(unknown)}")
     one = spark.createDataFrame([tuple(row.values())], METRIC_SCHEMA)
-    folder = f"{path.rstrip('/')}/{fields['step']}-{batch}"
-    publish(spark, folder, lambda aside: write_messages(one, aside))
+    emit_metrics(one, path, batch, fields["step"])
+
+
+def emit_metrics(rows: DataFrame, path: str, batch: str | int, step: str) -> None:
+    """Publish the metrics of a stage's batch, a JSON message for each row, once."""
+    folder = f"{path.rstrip('/')}/{step}-{batch}"
+    publish(rows.sparkSession, folder, lambda aside: write_messages(rows, aside))

@@ -9,6 +9,7 @@ from __future__ import annotations
 import glob
 import io
 import re
+import time
 import urllib.error
 import urllib.request
 import zlib
@@ -32,6 +33,20 @@ ARROW_SCHEMA = pa.schema(
         ("error", pa.string()),
     ]
 )
+# What reading an archive took, in seconds: to connect and fetch, to decompress, and all the rest until its
+# last records were taken, which includes what the task does with them as they come.
+TIMES_SCHEMA = (
+    "struct<download_time: double, load_time: double, processing_time: double, records: bigint>"
+)
+ARROW_TIMED = ARROW_SCHEMA.append(
+    pa.field(
+        "times",
+        pa.struct(
+            [(f"{n}_time", pa.float64()) for n in ("download", "load", "processing")]
+            + [("records", pa.int64())]
+        ),
+    )
+)
 BATCH_BYTES = 8 << 20
 SKIP_BYTES = 1 << 20
 READ_BYTES = 1 << 18
@@ -39,6 +54,45 @@ READ_BYTES = 1 << 18
 TIMEOUT_SECONDS = 60
 
 
+class _Clock:
+    """Where the time of one archive goes."""
+
+    def __init__(self):
+        self.started = time.monotonic()
+        self.download = self.load = 0.0
+
+    def times(self, records: int) -> dict:
+        rest = time.monotonic() - self.started - self.download - self.load
+        return {
+            "download_time": self.download,
+            "load_time": self.load,
+            "processing_time": rest,
+            "records": records,
+        }
+
+
+class _Fetched(io.RawIOBase):
+    """Bytes of a file as it is, with the time that they take to come."""
+
+    def __init__(self, raw, clock: _Clock):
+        self.raw = raw
+        self.clock = clock
+
+    def readable(self) -> bool:
+        return True
+
+    def close(self) -> None:
+        self.raw.close()
+        super().close()
+
+    def readinto(self, target) -> int:
+        started = time.monotonic()
+        data = self.raw.read(len(target))
+        self.clock.download += time.monotonic() - started
+        target[: len(data)] = data
+        return len(data)
+
+
 class _GzipMembers(io.RawIOBase):
     """Decompressed bytes of a file of gzip members, one member per record.
 
@@ -46,8 +100,9 @@ class _GzipMembers(io.RawIOBase):
     a damaged or missing piece are read in full.
     """
 
-    def __init__(self, raw):
+    def __init__(self, raw, clock: _Clock):
         self.raw = raw
+        self.clock = clock
         self.packed = b""
         self.plain = memoryview(b"")
         self.member = None
@@ -76,26 +131,34 @@ class _GzipMembers(io.RawIOBase):
             return False
         if self.member is None:
             self.member = zlib.decompressobj(zlib.MAX_WBITS | 16)
+        started = time.monotonic()
         self.plain = memoryview(self.member.decompress(self.packed))
+        self.clock.load += time.monotonic() - started
         self.packed = self.member.unused_data
         if self.member.eof:
             self.member = None
         return True
 
 
-def _open(path: str) -> io.BufferedReader:
-    """Byte stream of an archive on a local path, object store, HDFS or HTTP."""
+def _open(path: str):
+    """Bytes of an archive, as they are, on a local path, object store, HDFS or HTTP."""
     if path.startswith(("http://", "https://")):
-        raw = urllib.request.urlopen(path, timeout=TIMEOUT_SECONDS)
-    elif "://" in path or path.startswith("file:"):
+        return urllib.request.urlopen(path, timeout=TIMEOUT_SECONDS)
+    if "://" in path or path.startswith("file:"):
         # Spark's names of the object store, which Arrow knows by another one.
         system, name = fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", path))
-        raw = system.open_input_stream(name, compression=None)
-    else:
-        raw = open(path, "rb")
-    stream = raw if isinstance(raw, io.BufferedReader) else io.BufferedReader(raw, SKIP_BYTES)
+        return system.open_input_stream(name, compression=None)
+    return open(path, "rb", buffering=0)
+
+
+def _unpacked(path: str, clock: _Clock) -> io.BufferedReader:
+    """Records of an archive as one byte stream, decompressed if need be."""
+    started = time.monotonic()
+    raw = _open(path)
+    clock.download += time.monotonic() - started
+    stream = io.BufferedReader(_Fetched(raw, clock), SKIP_BYTES)
     if stream.peek(2)[:2] == b"\x1f\x8b":
-        return io.BufferedReader(_GzipMembers(stream), SKIP_BYTES)
+        return io.BufferedReader(_GzipMembers(stream, clock), SKIP_BYTES)
     return stream
 
 
@@ -208,34 +271,39 @@ def _is_gone(problem: OSError) -> bool:
 
 
 def archive_batches(
-    path: str, rec_types: set[str] | None, permissive: bool
+    path: str, rec_types: set[str] | None, permissive: bool, timed: bool = False
 ) -> Iterator[pa.RecordBatch]:
-    """Records of one archive in Arrow batches of bounded size."""
+    """Records of one archive in Arrow batches of bounded size; ``timed`` adds a last row with its times."""
+    schema = ARROW_TIMED if timed else ARROW_SCHEMA
     rows: list[tuple] = []
-    size = 0
+    size = records = 0
+    clock = _Clock()
     try:
-        with _open(path) as stream:
+        with _unpacked(path, clock) as stream:
             for offset, kind, url, text, error in _records(stream, rec_types):
                 if error and not permissive:
                     raise ValueError(error)
-                rows.append((path, offset, kind, url, text, error))
+                rows.append((path, offset, kind, url, text, error, None))
+                records += 1
                 size += len(text or "")
                 if size >= BATCH_BYTES:
-                    yield _batch(rows)
+                    yield _batch(rows, schema)
                     rows, size = [], 0
     except (OSError, EOFError, ValueError, KeyError, zlib.error) as problem:
         # A network or disk that fails now may work on the next try: the task fails, and
         # Spark runs it again. What stays wrong however often it is read is set aside.
         if not permissive or (isinstance(problem, OSError) and not _is_gone(problem)):
             raise
-        rows.append((path, None, None, None, None, f"{type(problem).__name__}: {problem}"))
+        rows.append((path, None, None, None, None, f"{type(problem).__name__}: {problem}", None))
     if rows:
-        yield _batch(rows)
+        yield _batch(rows, schema)
+    if timed:
+        yield _batch([(path, None, None, None, None, None, clock.times(records))], schema)
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), ARROW_SCHEMA)]
-    return pa.RecordBatch.from_arrays(columns, schema=ARROW_SCHEMA)
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)]
+    return pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
 class _Archive(InputPartition):
@@ -315,12 +383,14 @@ def read_archives(
     rec_type: str | None = "response",
     mode: str = "FAILFAST",
     partitions: int | None = None,
+    timed: bool = False,
 ) -> DataFrame:
     """Records of the archives that a manifest (batch or stream) names.
 
     The paths are spread over ``partitions`` tasks, one per path if not given (on a
     stream, Spark's shuffle setting); the archives never pass through the driver.
-    Only records of ``rec_type`` are decoded; ``None`` reads all.
+    Only records of ``rec_type`` are decoded; ``None`` reads all. ``timed`` adds a column ``times``,
+    null for records, and a row for each archive that holds its measured times in it.
     """
     permissive = _is_permissive(mode)
     wanted = {rec_type} if rec_type else None
@@ -328,10 +398,11 @@ def read_archives(
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name in batch.column(0).to_pylist():
-                yield from archive_batches(name, wanted, permissive)
+                yield from archive_batches(name, wanted, permissive, timed)
 
     named = paths.select(path)
     if partitions is None and not paths.isStreaming:
         partitions = max(1, named.count())
     spread = named.repartition(partitions) if partitions else named.repartition(path)
-    return spread.mapInArrow(scan, ARCHIVE_SCHEMA)
+    schema = f"{ARCHIVE_SCHEMA}, times {TIMES_SCHEMA}" if timed else ARCHIVE_SCHEMA
+    return spread.mapInArrow(scan, schema)

@@ -70,7 +70,8 @@ def extract_job(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         load = _load_name(batch.sparkSession, _location(manifest, "extract", checkpoint), batch_id)
-        extract_step(archive_pages(batch), out, load, settings, metrics, once=True)
+        pages = archive_pages(batch, timed=metrics is not None)
+        extract_step(pages, out, load, settings, metrics, once=True)
 
     return _start(manifest, "extract", step, checkpoint, drain, interval)
 

@@ -93,6 +93,8 @@ def test_stage_chain_from_archives_to_index(spark, at, tmp_path):
     logs = spark.read.parquet(at("logs"))
     assert {r.collection for r in logs.collect()} == {"warc_logs", "vector_logs", "index_logs"}
     assert logs.filter("batchsize = 2").count() == 1
+    archive = logs.filter("collection = 'warc_logs'").collect()
+    assert [r.warc_url for r in archive] == [f"{tmp_path}/b.warc"] and archive[0].total_time > 0
 
 
 def test_replay_leaves_no_duplicates(spark, at):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import gzip
+import time
 import zlib
 
 import pytest
@@ -140,6 +141,54 @@ def test_archives_to_index(spark, archives, tmp_path):
     assert [r.batchsize for r in steps if r.step == "index_batch_async"] == [4]
 
 
+def test_every_archive_has_a_metric_of_its_own(spark, archives, tmp_path):
+    (archives / "bad.warc.gz").write_bytes(b"\x1f\x8bnot gzip")
+    (archives / "empty.warc").write_bytes(b"")
+    names = ["a.warc.gz", "b.warc", "bad.warc.gz", "empty.warc", "gone.warc"]
+    paths = spark.createDataFrame([(f"{archives}/{n}",) for n in names], "path string")
+    index, work, metrics = (str(tmp_path / n) for n in ("index", "work", "metrics"))
+    pages = archive_pages(paths, timed=True)
+    counts = {r.path.rsplit("/", 1)[1]: r.times.records for r in pages.filter("times IS NOT NULL").collect()}
+    assert counts == dict(zip(names, (7, 7, 0, 0, 0)))
+    for load in ("one", "two"):
+        found = build_index(spark, pages, index, work, load, metrics=metrics)
+        assert sorted(r.h1 for r in found.collect()) == ["Deux", "Deux", "Un", "Un"]
+    damaged = spark.read.parquet(checked_path(f"{work}/texts", "one", "bad")).collect()
+    assert sorted(r.path.rsplit("/", 1)[1] for r in damaged) == ["bad.warc.gz", "gone.warc"]
+
+    warc = spark.read.json(f"{metrics}/warc-one").collect()
+    assert sorted(r.warc_url.rsplit("/", 1)[1] for r in warc) == names
+    for r in warc:
+        parts = (r.download_time, r.load_time, r.processing_time)
+        assert min(parts) >= 0 and sum(parts) > 0 and abs(r.total_time - sum(parts)) < 1e-9
+    packed = {r.warc_url.rsplit("/", 1)[1]: r.load_time > 0 for r in warc}
+    assert packed["a.warc.gz"] and not packed["b.warc"]
+    (vector,) = spark.read.json(f"{metrics}/vector-one").collect()
+    assert vector.time_encode > 0 and vector.time_embeding > 0
+    loads = [spark.read.json(f"{metrics}/index_batch_async-{n}").first() for n in ("one", "two")]
+    assert loads[0].cumulative_index_time == pytest.approx(loads[0].batch_time)
+    total = sum(r.batch_time for r in loads)
+    assert loads[1].cumulative_index_time == pytest.approx(total)
+
+
+def test_times_go_to_what_took_them(archives, monkeypatch):
+    from pagevane.sources import warc
+
+    def slow(path, opened=warc._open):
+        time.sleep(0.2)
+        return opened(path)
+
+    monkeypatch.setattr(warc, "_open", slow)
+    batches = warc.archive_batches(f"{archives}/a.warc.gz", {"response"}, True, timed=True)
+    first = next(batches)
+    assert first.num_rows == 7 and first.column("times").null_count == 7
+    time.sleep(0.3)
+    (last,) = batches
+    (times,) = last.column("times").to_pylist()
+    assert 0.2 <= times["download_time"] < 0.3 and times["processing_time"] >= 0.3
+    assert 0 < times["load_time"] < 0.1 and times["records"] == 7
+
+
 def test_trace_dump(spark, archives, tmp_path):
     paths = spark.createDataFrame([(f"{archives}/a.warc.gz",)], "path string")
     trace, out = str(tmp_path / "trace"), str(tmp_path / "out")
