@@ -1,5 +1,6 @@
 """DataFrame -> DataFrame operators."""
 
+from pagevane.operators.boilerplate import drop_site_blocks
 from pagevane.operators.cells import CellModel, CellSearch, append_cells, train_cells
 from pagevane.operators.embed import (
     HashingEncoder,
@@ -40,6 +41,7 @@ from pagevane.operators.search import bm25_search, keyword_lookup, postings
 from pagevane.operators.segments import explode_segments, segment_counts, with_segments
 
 __all__ = [
+    "drop_site_blocks",
     "CellModel",
     "CellSearch",
     "HashingEncoder",

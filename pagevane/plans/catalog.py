@@ -104,6 +104,11 @@ def extract_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", main_text("html").alias("text"))
 
 
+def site_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _pages(spark, sf_dir).select("page_id", "url", main_text("html").alias("text"))
+    return op.drop_site_blocks(pages, "page_id").drop("url")
+
+
 def first_h1_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pages(spark, sf_dir).select("page_id", first_h1("html").alias("h1"))
 
@@ -399,6 +404,7 @@ QUERIES: dict[str, Query] = {
     "extract_text": extract_text_query,
     "extract_blocks": extract_blocks,
     "first_h1": first_h1_query,
+    "site_blocks": site_blocks,
     "french_pages": french_pages,
     "encode_messages": encode_messages,
     "detect_lang": detect_lang,

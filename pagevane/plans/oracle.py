@@ -14,6 +14,7 @@ from pagevane.functions import language as L
 from pagevane.functions import segment as S
 from pagevane.functions import text as T
 from pagevane.functions import vectors as V
+from pagevane.operators import boilerplate as P
 from pagevane.operators import language as N
 from pagevane.operators import nearest as K
 from pagevane.operators import search as Q
@@ -382,6 +383,22 @@ def oracle_sql() -> dict[str, str]:
           plain AS (SELECT page_id, {unescape('x')} AS x FROM visible)
           SELECT page_id, {collapse('x')} AS text FROM plain""",
         "extract_blocks": f"WITH {_blocks_cte()} SELECT page_id, text FROM article",
+        "site_blocks": f"""
+          WITH {_blocks_cte()},
+          sited AS (
+            SELECT page_id, string_split(a.text, chr(10)) AS lines,
+              lower(regexp_extract(p.url, '^[a-zA-Z]+://([^/:?#]+)', 1)) AS host
+            FROM article a JOIN pages p USING (page_id)),
+          line AS (
+            SELECT page_id, host, unnest(lines) AS b, generate_subscripts(lines, 1) AS pos FROM sited),
+          size AS (SELECT host, count(*) AS size FROM sited GROUP BY 1),
+          template AS (
+            SELECT host, b FROM line JOIN size USING (host) WHERE b <> '' GROUP BY host, b, size
+            HAVING count(DISTINCT page_id) >= {P.MIN_PAGES}
+              AND count(DISTINCT page_id) >= {P.SHARE} * size)
+          SELECT page_id, coalesce(string_agg(l.b, chr(10) ORDER BY pos) FILTER (t.b IS NULL), '') AS text,
+            count(t.b) AS n_dropped
+          FROM line l LEFT JOIN template t ON l.host = t.host AND l.b = t.b GROUP BY 1""",
         "first_h1": f"WITH {_heading_cte()} SELECT page_id, h1 FROM heading",
         "french_pages": f"WITH {_french_cte()} SELECT page_id, url, h1, text FROM french",
         "encode_messages": f"""
