@@ -8,6 +8,7 @@ there, nor look-around: where Spark's need that, the SQL has a simpler pattern t
 from __future__ import annotations
 
 import re
+from html.entities import html5
 
 from pagevane.functions import html as H
 from pagevane.functions import language as L
@@ -31,12 +32,11 @@ def pattern(text: str) -> str:
     return q(re.sub(r"([*+?])\+", r"\1", text.replace("(?==)", "")))
 
 
-# Simpler than Spark's patterns: no tag before the one that counts holds markup in an attribute, and
-# references end in a semicolon.
+# Simpler than Spark's patterns: no tag before the one that counts holds markup in an attribute. Of the
+# names of references the SQL knows the common ones.
 NOISE = r"(?i)^<[a-z][^>]*\b(?:class|id)\s*=\s*[\"']?[^\"'>]*\b(?:" + "|".join(H.NOISE_CLASSES) + r")\b"
 BLOCK = rf"(?i)(</?(?:{'|'.join(H.BLOCK_ELEMENTS)})\b[^>]*>)"
 HEADING = r"(?is)<h1\b[^>]*>(.*?)(?:</?h[1-6]\b|\z)"
-REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"
 
 
 def in_list(words) -> str:
@@ -65,18 +65,28 @@ def tokens(x: str) -> str:
 
 
 def unescape(x: str) -> str:
-    named = ", ".join(f"{q(k)}: {q(v)}" for k, v in sorted(H.named_entities().items()))
-    # Cut at the ampersands; ``e`` is the reference a piece begins with, if any.
-    e = f"regexp_extract(p, {q(REFERENCE)}, 1)"
-    code = (
-        f"CASE WHEN lower({e}[2]) = 'x' THEN TRY_CAST('0x' || {e}[3:] AS BIGINT) "
-        f"ELSE TRY_CAST({e}[2:] AS BIGINT) END"
-    )
-    valid = f"(({code}) BETWEEN 1 AND 55295 OR ({code}) BETWEEN 57344 AND 1114111)"
-    numeric = f"CASE WHEN {valid} THEN chr(({code})::INTEGER) END"
-    decoded = f"CASE WHEN {e}[1] = '#' THEN {numeric} ELSE MAP {{{named}}}[{e}] END"
-    piece = f"coalesce({decoded} || p[length({e}) + 2:], '&' || p)"
+    table = {name: html5[name] for name in H.BARE_NAMES} | H.named_entities()
+    named = "MAP {" + ", ".join(f"{q(k)}: {q(v)}" for k, v in sorted(table.items())) + "}"
+    controls = [c for c in range(0x80, 0xA0) if c not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
+    meant = f"{q(''.join(map(chr, controls)))}, {q(bytes(controls).decode('cp1252'))}"
+
+    # Cut at the ampersands; ``p`` is a piece, which may begin with a reference.
+    def number(mark: str, digit: str, most: int, prefix: str) -> str:
+        digits = f"regexp_extract(p, '^#{mark}(0*{digit}{{1,{most}}})(?:{digit.replace('[', '[^')}|$)', 1)"
+        code = f"TRY_CAST('{prefix}' || nullif({digits}, '') AS BIGINT)"
+        valid = f"({code} BETWEEN 1 AND 55295 OR {code} BETWEEN 57344 AND 1114111)"
+        rest = f"regexp_replace(p[length({digits}) + {3 if mark else 2}:], '^;', '')"
+        return f"CASE WHEN {valid} THEN translate(chr({code}::INTEGER), {meant}) || {rest} END"
+
+    def name(found: str, skip: int) -> str:
+        return f"{named}[{found}] || p[length({found}) + {skip}:]"
+
+    decimal, hexadecimal = number("", "[0-9]", 7, ""), number("[xX]", "[0-9a-fA-F]", 6, "0x")
+    closed = name(f"regexp_extract(p, {q(H.NAME_PATTERN)}, 1)", 2)
+    bare = name(f"regexp_extract(p, {q(H.BARE_PATTERN)}, 1)", 1)
+    decoded = f"CASE WHEN p[1] = '#' THEN coalesce({decimal}, {hexadecimal}) ELSE coalesce({closed}, {bare}) END"
     pieces = f"string_split({x}, '&')"
+    piece = f"coalesce({decoded}, '&' || p)"
     out = f"{pieces}[1] || array_to_string(list_transform({pieces}[2:], lambda p: {piece}), '')"
     return f"CASE WHEN contains({x}, '&') THEN {out} ELSE {x} END"
 
