@@ -325,3 +325,34 @@ def _sets_of(rows: DataFrame, active: DataFrame, words: int) -> DataFrame:
     some = some.join(active.withColumnRenamed("node", "id"), "id", "left_semi")
     some = some.dropDuplicates(["id", "text"])
     return written(some.select(F.col("id").alias("node"), shingles("text").alias("shingles")))
+
+
+# The components by counting the shared shingles of all pairs that share one.
+SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+word AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words WHERE len(w) >= 5),
+run AS (
+  SELECT doc_id, n, i, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o,
+    lead(word, 4) OVER o) AS shingle
+  FROM word WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+item AS (
+  SELECT DISTINCT doc_id, shingle FROM run WHERE i + 4 <= n
+  UNION ALL
+  SELECT doc_id, array_to_string(w, ' ') FROM words WHERE len(w) BETWEEN 1 AND 4),
+size AS (SELECT doc_id, count(*) AS n FROM item GROUP BY doc_id),
+pair AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i
+  FROM item a JOIN item b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+link AS (
+  SELECT a, b FROM pair JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+  WHERE 100 * i >= 75 * (x.n + y.n - i)),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM words
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN link l ON l.a = r.other),
+component AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM component LEFT JOIN size USING (doc_id)
+"""

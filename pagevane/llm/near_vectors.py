@@ -264,3 +264,24 @@ def near_duplicates(
         F.coalesce("component_id", "id").alias("component_id"),
     )
     return out.withColumn("kept", F.coalesce(F.col(id) == F.col("component_id"), F.lit(True)))
+
+
+# The digest by comparing all pairs of a label.
+SQL = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+usable AS (
+  SELECT vec_id, label, e FROM v
+  WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_dot_product(e, e) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (
+  SELECT vec_id, vec_id AS other FROM v
+  UNION
+  SELECT r.vec_id, l.b FROM reach r JOIN link l ON l.a = r.other)
+SELECT vec_id, (SELECT count(*) FROM link WHERE a = v.vec_id) AS n_links, c.component_id, c.component_id = vec_id AS kept
+FROM v JOIN (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id) c USING (vec_id)
+"""

@@ -108,6 +108,9 @@ QUERIES: dict[str, Query] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": lines.SQL,
+    "op5_embedding_near_dedup": near_vectors.SQL,
+    "op6_ngram_jaccard": jaccard.SQL,
+    "op10_substring_dedup": substrings.SQL,
     "op11_conversation_repair": repair.SQL,
     "op12_prefix_trie": prefixes.SQL,
     "op13_warc": archives.SQL,

@@ -268,3 +268,26 @@ def removal_digest(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
     rows = with_removed(docs, id, text, length)
     digest = F.arrow_udf(_digest, "n_words long, n_removed long, kept_sha256 string").asNondeterministic()
     return rows.select(F.col(id), digest(F.col(text), "removed").alias("d")).select(id, "d.*")
+
+
+# The digest by grouping the texts of all windows (20 words: five runs of four).
+SQL = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+w1 AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words),
+w2 AS (SELECT *, concat_ws(' ', word, lead(word) OVER o) AS s2 FROM w1 WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+w4 AS (SELECT * EXCLUDE s2, concat_ws(' ', s2, lead(s2, 2) OVER o) AS s4 FROM w2 WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+w20 AS (
+  SELECT * EXCLUDE s4, concat_ws(' ', s4, lead(s4, 4) OVER o, lead(s4, 8) OVER o, lead(s4, 12) OVER o, lead(s4, 16) OVER o) AS s20
+  FROM w4 WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+earliest AS (SELECT s20, min((doc_id, i)) AS first FROM w20 WHERE i + 19 <= n GROUP BY s20),
+again AS (
+  SELECT doc_id, i, word, i + 19 <= n AND first < (doc_id, i) AS again FROM w20 LEFT JOIN earliest USING (s20)),
+gone AS (
+  SELECT doc_id, i, word, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+  FROM again),
+kept AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+  FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""

@@ -316,14 +316,17 @@ def test_archives_of_nothing(spark):
 # --- the queries against SQL ------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("name", ["op11_conversation_repair", "op12_prefix_trie", "op13_warc"])
+@pytest.mark.parametrize(
+    "name",
+    ["op5_embedding_near_dedup", "op6_ngram_jaccard", "op10_substring_dedup", "op11_conversation_repair", "op12_prefix_trie", "op13_warc"],
+)
 def test_query_equals_sql(spark, name):
     from pagevane.llm import queries
 
     folder = f"{DATA}/sf0.01"
     got = queries.QUERIES[name](spark, folder)
     con = duckdb.connect()
-    for t in ("conversations", "pages"):
+    for t in ("conversations", "documents", "embeddings", "pages"):
         con.sql(f"create view {t} as select * from '{folder}/{t}.parquet'")
     want = con.sql(queries.ORACLE_SQL[name])
     assert set(got.columns) == set(want.columns)
