@@ -15,6 +15,12 @@ from pagevane.operators.embed import (
 from pagevane.operators.extract import compute_once, extract_pages, page_key, with_headings
 from pagevane.operators.fulltext import StoredSearch, search_postings
 from pagevane.operators.index import index_batches, index_rows
+from pagevane.operators.langmodel import (
+    LanguageModel,
+    language_scores,
+    train_language_model,
+    with_modelled_language,
+)
 from pagevane.operators.language import (
     classify_ngrams,
     corpus_profile,
@@ -45,6 +51,7 @@ __all__ = [
     "CellModel",
     "CellSearch",
     "HashingEncoder",
+    "LanguageModel",
     "StoredSearch",
     "append_cells",
     "bm25_search",
@@ -68,6 +75,7 @@ __all__ = [
     "knn_lsh",
     "knn_single",
     "language_filter",
+    "language_scores",
     "lsh_index",
     "lsh_model",
     "mean_pool",
@@ -82,8 +90,10 @@ __all__ = [
     "segment_counts",
     "stamp",
     "train_cells",
+    "train_language_model",
     "train_ngram_profiles",
     "with_headings",
     "with_language",
+    "with_modelled_language",
     "with_segments",
 ]

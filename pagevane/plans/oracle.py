@@ -16,6 +16,7 @@ from pagevane.functions import segment as S
 from pagevane.functions import text as T
 from pagevane.functions import vectors as V
 from pagevane.operators import boilerplate as P
+from pagevane.operators import langmodel as M
 from pagevane.operators import language as N
 from pagevane.operators import nearest as K
 from pagevane.operators import search as Q
@@ -43,6 +44,10 @@ def in_list(words) -> str:
     return "(" + ", ".join(q(w) for w in words) + ")"
 
 
+def in_list_of(words) -> str:
+    return "[" + ", ".join(q(w) for w in words) + "]"
+
+
 # --- expressions -------------------------------------------------------------------
 
 
@@ -201,6 +206,55 @@ def _ngram_sql() -> str:
       FROM scored"""
 
 
+def _language_model_sql() -> str:
+    langs = N.LANGUAGES
+    counts = ", ".join(f"count(*) FILTER (lang = {q(c)} AND doc_id % 5 <> 0) AS n_{c}" for c in langs)
+    weights = ", ".join(
+        f"round(ln((n_{c} + 1) / (t_{c} + {M.BINS})) * {N.WEIGHT_SCALE})::BIGINT AS w_{c}" for c in langs
+    )
+    known = " OR ".join(f"(n_{c} > 0 AND n_{c} >= {M.KNOWN} * t_{c})" for c in langs)
+    sums = ", ".join(f"coalesce(sum(w_{c}), 0) AS s_{c}" for c in langs)
+    all_ = ", ".join(f"sum(n_{c}) OVER () AS t_{c}" for c in langs)
+    totals = "[" + ", ".join(f"s_{c}" for c in langs) + "]"
+    step = f"least(margin // {M.MARGIN_STEP}, {M.STEPS})"
+    return f"""
+      WITH letters AS (
+        SELECT doc_id, lang, trim(regexp_replace(lower(coalesce(text, '')), {q(L.NON_LETTERS)}, ' ', 'g'), ' ') AS t
+        FROM documents),
+      chars AS (
+        SELECT doc_id, lang, unnest(c) AS c, generate_subscripts(c, 1) AS i
+        FROM (SELECT doc_id, lang, string_split(' ' || t || ' ', '') AS c FROM letters WHERE t <> '')),
+      run AS (
+        SELECT doc_id, lang, unicode(c)::BIGINT AS a, lead(unicode(c)) OVER o AS b, lead(unicode(c), 2) OVER o AS c
+        FROM chars WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+      gram AS (
+        SELECT doc_id, lang, ((a * {M.FACTOR} + b) * {M.FACTOR} + c) % {M.BINS} AS bin FROM run WHERE c IS NOT NULL),
+      counted AS (SELECT bin, {counts} FROM gram GROUP BY bin),
+      weight AS (SELECT bin, {weights} FROM (SELECT *, {all_} FROM counted) WHERE {known}),
+      total AS (
+        SELECT doc_id, count(*) AS n, count(weight.bin) AS n_known, {sums}
+        FROM gram LEFT JOIN weight USING (bin) GROUP BY doc_id),
+      ranked AS (
+        SELECT doc_id, n, n_known, {totals} AS s, list_reverse_sort({totals}) AS r FROM total),
+      scored AS (
+        SELECT d.doc_id, d.lang, CASE WHEN n_known > 0 AND 2 * n_known >= n THEN {in_list_of(langs)}[list_position(s, r[1])] END AS best,
+          coalesce((r[1] - r[2]) // n, 0)::BIGINT AS margin, coalesce(n_known, 0) AS n_known
+        FROM documents d LEFT JOIN ranked USING (doc_id)),
+      step AS (
+        SELECT {step} AS step, count(*) AS n, count(*) FILTER (best = lang) AS good
+        FROM scored WHERE doc_id % 5 = 0 AND lang IN {in_list(langs)} AND best IS NOT NULL GROUP BY ALL),
+      -- Every step, also one that no row has: the share from there on is that of the next.
+      every AS (SELECT unnest(range(1, {M.STEPS} + 1)) AS step),
+      share AS (
+        SELECT every.step, coalesce(sum(n), 0) AS n, coalesce(sum(good), 0) AS good
+        FROM every LEFT JOIN step ON step.step >= every.step GROUP BY every.step),
+      least AS (
+        SELECT coalesce(min(step) FILTER (good >= {M.PRECISION} * n), {M.STEPS}) * {M.MARGIN_STEP} AS margin FROM share)
+      SELECT doc_id, CASE WHEN best IS NOT NULL AND scored.margin >= least.margin THEN best ELSE {q(L.UNDETERMINED)} END
+        AS detected, scored.margin AS margin, n_known
+      FROM scored, least"""
+
+
 # --- segments ----------------------------------------------------------------------
 
 
@@ -416,6 +470,7 @@ def oracle_sql() -> dict[str, str]:
           SELECT to_json({{'url': url, 'h1': h1, 'text': text}})::VARCHAR AS value FROM french""",
         "detect_lang": f"WITH {_docs_lang_cte()} SELECT doc_id, detected FROM detected",
         "detect_lang_ngram": _ngram_sql(),
+        "detect_lang_model": _language_model_sql(),
         "french_documents": f"""
           WITH {_docs_lang_cte()}
           SELECT doc_id, source, n_chars, detected FROM detected WHERE detected = 'fr'""",

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,8 +9,11 @@ from pagevane.operators import (
     classify_ngrams,
     corpus_profile,
     language_filter,
+    train_language_model,
     train_ngram_profiles,
+    with_modelled_language,
 )
+from pagevane.operators import langmodel as M
 from pagevane.operators import language as N
 
 from .conftest import plan_of, table
@@ -76,6 +80,50 @@ def test_ngrams_on_texts_that_were_not_trained_on(spark, tmp_path):
     assert right > 0.97 * found.count()
 
 
+def test_model_on_texts_that_were_not_trained_on(spark):
+    docs = table(spark, "documents", "sf0.01")
+    model = train_language_model(docs.filter("doc_id % 2 = 0"), F.col("doc_id") % 10 == 0)
+    found = with_modelled_language(docs.filter("doc_id % 2 = 1"), model)
+    n = found.count()
+    sure = found.filter("detected <> 'und'")
+    assert sure.count() > 0.98 * n
+    assert sure.filter("detected = lang").count() > 0.99 * sure.count()
+    assert model.weights.shape == (M.BINS, len(model.languages))
+
+
+def test_model_rejects_what_it_does_not_know(spark):
+    docs = table(spark, "documents")
+    model = train_language_model(docs, F.col("doc_id") % 5 == 0)
+    texts = ["", None, "123 !", "и не то что", "漢字", "une maison pour les enfants", "a"]
+    odd = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    found = {r.id: r for r in with_modelled_language(odd, model).collect()}
+    assert [found[i].detected for i in range(4)] == ["und"] * 4
+    assert found[4].detected == "und" and found[5].detected == "fr"
+    assert [found[i].n_known for i in range(3)] == [0, 0, 0]
+
+
+def test_model_of_nothing_rejects_all(spark):
+    none = spark.createDataFrame([], "id int, text string, lang string")
+    model = train_language_model(none, F.lit(False))
+    docs = table(spark, "documents")
+    assert {r.detected for r in with_modelled_language(docs, model).select("detected").collect()} == {"und"}
+
+
+def test_model_scores_without_a_shuffle(spark):
+    docs = table(spark, "documents")
+    model = train_language_model(docs, F.col("doc_id") % 5 == 0)
+    plan = plan_of(with_modelled_language(docs, model))
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_pieces_of_a_long_text_give_the_same_bins(monkeypatch):
+    text = " " + "ab cdé fgh " * 40
+    whole = np.concatenate(list(M._bins(text, M.BINS)))
+    assert len(whole) == len(text) - 2
+    monkeypatch.setattr(M, "CHARACTERS", 7)
+    assert (np.concatenate(list(M._bins(text, M.BINS))) == whole).all()
+
+
 def test_filter_and_profile(spark):
     docs = table(spark, "documents")
     kept = language_filter(docs)
