@@ -19,6 +19,8 @@ parameter; they are part of the plan, so they are meant to be some hundreds of s
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -173,7 +175,7 @@ def _literals(values: list[int]) -> Column:
 
 
 def _verified(name: str, keys: list[int], pairs: list[int]) -> Column:
-    """Matches of one template, ``license, at, share``: the best window if it holds enough."""
+    """Matches of one template, ``at, license, share, pairs``: every window that holds enough."""
 
     def meets(w: Column) -> Column:
         window = F.slice("pairs", w * STEP + 1, F.lit(2 * STEP)) if _short(pairs) else F.get("bands", w)
@@ -188,21 +190,43 @@ def _verified(name: str, keys: list[int], pairs: list[int]) -> Column:
         held = F.size(F.array_intersect(around, _literals(pairs)))
         return F.struct((held / F.lit(float(len(pairs)))).alias("share"), w.alias("at"))
 
-    best = F.array_max(F.transform(hit, share))
-    match = F.struct(F.lit(name).alias("license"), (best["at"] * STEP).alias("at"), best["share"].alias("share"))
-    return F.when(best["share"] >= CONTAINED, F.array(match))
+    enough = F.filter(F.transform(hit, share), lambda w: w["share"] >= CONTAINED)
+    return F.transform(
+        enough,
+        lambda w: F.struct(
+            (w["at"] * STEP).alias("at"), F.lit(name).alias("license"), w["share"].alias("share"), F.lit(margin).alias("pairs")
+        ),
+    )
 
 
-def _best_at_place(matches: Column) -> Column:
-    """Matches without those that another template at the same place beats."""
+def _best_at_place(matches: Column, near: int) -> Column:
+    """Matches without those that another license at the same place beats, one for each occurrence.
 
-    def beaten(e: Column) -> Column:
-        return F.exists(
-            matches,
-            lambda o: (F.abs(o["at"] - e["at"]) <= 2 * STEP) & (o["share"] > e["share"]),
-        )
+    Windows of one license within two windows or the template's length of a larger share are the same
+    occurrence; of equal shares the first counts, and later ones hang on to their neighbours before.
+    ``matches`` are sorted by place, and no more than ``near`` on either side can be at the same place,
+    so that long texts of many notices take linear time.
+    """
+
+    def without(of: Column, rule: Callable[[Column, Column], Column]) -> Column:
+        def beaten(e: Column, i: Column) -> Column:
+            return F.exists(F.slice(of, F.greatest(i - near, F.lit(0)) + 1, F.lit(2 * near + 1)), lambda o: rule(e, o))
+
+        return F.filter(of, lambda e, i: ~beaten(e, i))
+
+    def other(e: Column, o: Column) -> Column:
+        return (F.abs(o["at"] - e["at"]) <= 2 * STEP) & (o["share"] > e["share"]) & (o["license"] != e["license"])
+
+    def same(e: Column, o: Column) -> Column:
+        reach = F.greatest(o["pairs"], e["pairs"], F.lit(2 * STEP))
+        first = (o["share"] > e["share"]) | ((o["share"] == e["share"]) & (o["at"] < e["at"]))
+        return (o["license"] == e["license"]) & (F.abs(o["at"] - e["at"]) <= reach) & first
 
-    return F.filter(matches, lambda e: ~beaten(e))
+    # Each step reads a list that is made once.
+    kept = F.transform(F.array(F.sort_array(matches)), lambda m: without(m, other))
+    kept = F.transform(kept, lambda m: without(m, same))[0]
+    named = ("license", "at", "share")
+    return F.array_distinct(F.transform(kept, lambda e: F.struct(*(e[k].alias(k) for k in named))))
 
 
 def scan(
@@ -214,8 +238,8 @@ def scan(
     """``id, licenses, evidence`` of each row, null and repeated ids included.
 
     ``licenses`` are the names of the templates that the text contains, sorted; ``evidence`` has
-    for each its name, the first word of the best window, and the share of word pairs held. Of
-    templates found at one place, the one with the largest share counts. Null, empty and wordless
+    for each occurrence its name, the first word of its best window, and the share of word pairs held.
+    Of templates found at one place, the one with the largest share counts. Null, empty and wordless
     texts have none.
     """
     texts = [*TEMPLATES.items(), *PASSAGES] if templates is None else list(templates.items())
@@ -223,7 +247,9 @@ def scan(
     rows = _indexed(docs.select(docs[id].alias("id"), text_of(docs[text]).alias("text")))
     every = sorted({k for _, keys, pairs in known if not _short(pairs) for k in keys})
     short = sorted({k for _, _, pairs in known if _short(pairs) for k in pairs})
-    none = F.array().cast("array<struct<license:string,at:int,share:double>>")
+    none = F.array().cast("array<struct<at:int,license:string,share:double,pairs:int>>")
+    longest = max([2 * STEP, *(len(pairs) for _, _, pairs in known)])
+    near = (longest // STEP + 1) * max(len(known), 1)
     # Most texts meet no entry of the index; the rest is verified.
     met = F.lit(False)
     for items, entries in ((F.flatten("bands"), every), (F.col("pairs"), short)):
@@ -235,6 +261,6 @@ def scan(
         rows = rows.select("id", F.when(F.col("met"), found).otherwise(none).alias("matches"))
     else:
         rows = rows.select("id", none.alias("matches"))
-    rows = rows.select("id", _best_at_place(F.col("matches")).alias("evidence"))
+    rows = rows.select("id", _best_at_place(F.col("matches"), near).alias("evidence"))
     names = F.array_sort(F.array_distinct(F.transform("evidence", lambda e: e["license"])))
     return rows.select(F.col("id").alias(id), names.alias("licenses"), "evidence")

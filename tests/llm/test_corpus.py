@@ -295,6 +295,25 @@ def test_license_bodies_and_other_wordings(spark):
     assert found == expected
 
 
+def test_every_occurrence_of_a_license_counts(spark):
+    gpl2, gpl3 = licenses.TEMPLATES["GPL-2.0"], licenses.TEMPLATES["GPL-3.0"]
+    edited = gpl2.replace("work is", "work was")
+    between = " ".join(f"x{i}" for i in range(60))
+    rows = [
+        (1, f"{gpl3} {between} {edited}"),
+        (2, f"{edited} {between} {gpl3}"),
+        (3, f"{gpl3} {between} {gpl3}"),
+        (4, edited),
+        (5, f"{between} ".join(["Released under the MIT License. "] * 400)),
+    ]
+    df = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = {r.doc_id: r for r in df.collect()}
+    assert found[1].licenses == found[2].licenses == ["GPL-2.0", "GPL-3.0"]
+    assert found[3].licenses == ["GPL-3.0"] and len(found[3].evidence) == 2
+    assert found[4].licenses == ["GPL-2.0"] and found[4].evidence[0].share < 1
+    assert found[5].licenses == ["MIT"] and len(found[5].evidence) == 400
+
+
 def test_licenses_of_odd_rows(odd, none):
     rows = licenses.scan(odd).collect()
     assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in odd.collect())
