@@ -104,9 +104,13 @@ def _order(span: Span) -> tuple[int, int, int]:
 # Spelt-out separators of addresses, and groups of digits with single separators.
 _AT = r"(?: ?[\[({] ?(?:at|AT|@) ?[\])}] ?| (?:at|AT) | @ | ?＠ ?)"
 _DOT = r"(?: ?[\[({] ?(?:dot|DOT|\.) ?[\])}] ?| (?:dot|DOT) )"
-_SPELT = re.compile(
-    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}{_AT}[A-Za-z0-9-]{{1,63}}(?:(?:{_DOT}|\.)[A-Za-z0-9-]{{1,63}}){{1,4}}"
-)
+_LABEL = r"[A-Za-z0-9-]{1,63}"
+_SPELT = re.compile(rf"(?<=[A-Za-z0-9._%+-]){_AT}(?={_LABEL}(?:{_DOT}|\.){_LABEL})")
+_FIRST = re.compile(_LABEL)
+_NEXT = re.compile(rf"(?:{_DOT}|\.){_LABEL}")
+_PARTED = frozenset("._%+-")
+# The standards' longest local part and host name.
+_LOCAL_LENGTH, _HOST_LENGTH = 64, 253
 _SPELT_SIGN = re.compile(r"\b(?:at|AT)\b|＠|@")
 _GROUP = re.compile(r"[0-9]+")
 _GAP = re.compile(r"[ ().:,/_\[\]-]{1,3}")  # between two groups of a segment
@@ -126,8 +130,21 @@ def candidates(text: str) -> list[tuple[int, int]]:
     return sorted({*_spelt(text), *_parts(text, [], None)})
 
 
-def _spelt(text: str) -> list[tuple[int, int]]:
-    return [m.span() for m in _SPELT.finditer(text)] if _SPELT_SIGN.search(text) else []
+def _spelt(text: str) -> Iterator[tuple[int, int]]:
+    """Spelt-out addresses: from each part of what stands before the sign to each label from the second on."""
+    if not _SPELT_SIGN.search(text):
+        return
+    for sign in _SPELT.finditer(text):
+        at = sign.start()
+        first = at
+        while first and at - first < _LOCAL_LENGTH and text[first - 1] in _LOCAL:
+            first -= 1
+        starts = [s for s in range(first, at) if s == first or (text[s - 1] in _PARTED and text[s] not in _PARTED)]
+        end = _FIRST.match(text, sign.end()).end()
+        while (label := _NEXT.match(text, end)) and label.end() - sign.end() <= _HOST_LENGTH:
+            end = label.end()
+            if end == len(text) or not (text[end] in _LETTER or text[end] in _NUMERALS or text[end] == "-"):
+                yield from ((s, end) for s in starts)
 
 
 def _parts(
@@ -190,6 +207,15 @@ def _shape(text: str, start: int, end: int) -> list[str]:
         out.append("spelt" if spelt else "unspelt")
         ends = re.split(rf"{_DOT}|\.", parts[-1])
         out.append("suffix" if len(ends) > 1 and 2 <= len(ends[-1]) <= 6 and ends[-1].isalpha() else "nosuffix")
+        # Where it could begin or end otherwise: in the middle of a name, before a further label, at a new sentence.
+        out.append("cut" if start and (text[start - 1] in _PARTED or text[start - 1] in _LETTER) else "uncut")
+        further = _NEXT.match(text, end)
+        word = further and re.search(rf"{_LABEL}\Z", further[0])[0]
+        out.append("ends" if not word else "sentence" if word[0].isupper() else "goes on")
+        out.append("capital" if ends[-1][:1].isupper() and not ends[0][:1].isupper() else "nocapital")
+        out.append(f"labels{min(len(ends), 6)}")
+        dots = {x.strip() for x in re.findall(rf"{_DOT}|\.", parts[-1])}
+        out.append("unlike dots" if len(dots) > 1 else "like dots")
         marked = re.search(r"[\[({＠@]|\b(?:dot|DOT)\b", s) is not None
         out.append("marked" if marked else "unmarked")
     else:
@@ -395,6 +421,12 @@ def make_examples(texts: Iterable[str]) -> list[tuple[str, list[Span]]]:
                 gold = [(len(before), len(before) + len(form), kind)] if hit else []
                 out.append((before + form + after, gold))
             if kind == "email":
+                # A further word after the address, and a sentence that begins without a space.
+                words = re.findall(r"[A-Za-z]{2,}", text[e : e + 2000]) or ["Thanks"]
+                for form in [f for f, hit in _rewritten(span, kind, chance) if hit]:
+                    gold = [(len(before), len(before) + len(form), kind)]
+                    for between in (" dot ", "."):
+                        out.append((before + form + between + chance.choice(words).capitalize() + " " + after, gold))
                 continue
             # Neighbouring numbers: where one ends and the next begins.
             for form in [f for f, hit in _rewritten(span, kind, chance) if hit]:
@@ -425,6 +457,8 @@ def _rewritten(span: str, kind: str, chance: random.Random) -> list[tuple[str, b
             (f"{name}[at]{host.replace('.', '[dot]')}", True),
             (f"{name} (at) {host}", True),
             (f"{name} @ {host}", True),
+            (f"{name} at mail dot {dotted}", True),
+            (f"{name} at mx dot mail dot dept dot {dotted}", True),
             (f"{name} at {host.split('.')[0]} place", False),
             (f"meet at {host.split('.')[0]}.Then", False),
         ]

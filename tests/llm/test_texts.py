@@ -297,6 +297,25 @@ def test_neighbouring_numbers_are_parted(weights, text, added):
     assert [text[s:e] for s, e, _ in personal.find_spans(text, weights)[1]] == added
 
 
+@pytest.mark.parametrize(
+    ("text", "added"),
+    [
+        ("reach anna at mail dot org and bob at site dot com dot Thanks", ["anna at mail dot org", "bob at site dot com"]),
+        ("write to jo.smith at site dot com.Then wait", ["jo.smith at site dot com"]),
+        ("mail eve at a dot b dot c dot d dot e dot site dot org today", ["eve at a dot b dot c dot d dot e dot site dot org"]),
+    ],
+)
+def test_spelt_addresses_end_where_the_field_says(weights, text, added):
+    found = personal.candidates(text)
+    assert all((text.find(a), text.find(a) + len(a)) in found for a in added)
+    assert [text[s:e] for s, e, _ in personal.find_spans(text, weights)[1]] == added
+
+
+def test_spelt_candidates_have_each_start_and_end():
+    found = {"x a.b at c dot d.ef, g"[s:e] for s, e in personal.candidates("x a.b at c dot d.ef, g")}
+    assert found == {"a.b at c dot d", "b at c dot d", "a.b at c dot d.ef", "b at c dot d.ef"}
+
+
 def test_training_reads_whole_texts(spark):
     late = "plain words " * 2000 + "write to anna@mail.org today"
     assert personal.fit(spark.createDataFrame([(late,)], "text string"))
