@@ -7,6 +7,7 @@ tables, and running a step again with the same batch replaces its output.
 
 from __future__ import annotations
 
+import datetime
 import time
 from collections import defaultdict
 from dataclasses import dataclass
@@ -30,8 +31,9 @@ from pagevane.sinks import (
     write_metrics,
     write_trace,
 )
-from pagevane.sinks.tables import TIMES, batch_path
-from pagevane.sources.warc import TIMES_SCHEMA, read_archives
+from pagevane.sinks.attempts import MOST_TRIES, archive_states, due, read_attempts, record_attempts
+from pagevane.sinks.tables import BAD, TIMES, batch_path
+from pagevane.sources.warc import TIMES_SCHEMA, UNREACHABLE, read_archives
 
 # Seconds of indexing since this driver started, by index.
 _indexing: dict[str, float] = defaultdict(float)
@@ -53,14 +55,17 @@ class Settings:
     index_once: bool = False
 
 
-def archive_pages(paths: DataFrame, partitions: int | None = None, timed: bool = False) -> DataFrame:
+def archive_pages(
+    paths: DataFrame, partitions: int | None = None, timed: bool = False, report: bool = False
+) -> DataFrame:
     """Response records of the archives in ``paths``.
 
     Damaged archives, and manifest messages that could not be decoded, are rows
-    with ``_error`` set. ``timed`` adds the measured times of each archive (see ``read_archives``).
+    with ``_error`` set. ``timed`` adds the measured times of each archive, and
+    ``report`` makes archives out of reach such rows too (see ``read_archives``).
     """
     usable = paths.filter(F.col(ERROR).isNull()) if ERROR in paths.columns else paths
-    records = read_archives(usable, mode="PERMISSIVE", partitions=partitions, timed=timed)
+    records = read_archives(usable, mode="PERMISSIVE", partitions=partitions, timed=timed, report=report)
     pages = records.withColumnRenamed("error", ERROR)
     if ERROR not in paths.columns:
         return pages
@@ -110,6 +115,36 @@ def extract_step(
         emit_metrics(_archive_metrics(pages.sparkSession, out, batch, settings), metrics, batch, "warc")
 
 
+def retrying_extract_step(
+    paths: DataFrame,
+    out: str,
+    batch: str | int,
+    ledger: str,
+    now: datetime.datetime,
+    settings: Settings = Settings(),
+    metrics: str | None = None,
+    most_tries: int = MOST_TRIES,
+    partitions: int | None = None,
+) -> None:
+    """``extract_step`` of the archives in ``paths`` and of those in ``ledger`` whose next try has come.
+
+    An archive out of reach is a bad row and a try in the ledger: it is read again by a later batch, after
+    a wait that doubles, and is set aside after ``most_tries``. ``now`` is the batch's time: with the
+    same one, a batch that runs again reads the same archives. Archives set aside are read again if ``paths``
+    names them.
+    """
+    spark = paths.sparkSession
+    moment = F.lit(now).cast("timestamp")
+    retried = due(archive_states(read_attempts(spark, ledger, without=batch), most_tries), moment)
+    todo = paths.select("path").union(retried).distinct()
+    extract_step(archive_pages(todo, partitions, timed=True, report=True), out, batch, settings, metrics)
+    written = spark.read.schema(f"path string, {ERROR} string, status string").parquet(batch_path(out, batch))
+    failed = written.filter((F.col("status") == BAD) & F.col(ERROR).startswith(UNREACHABLE))
+    failed = failed.select("path", F.col(ERROR).alias("reason"))
+    worked = retried.join(failed.select("path"), "path", "left_anti").withColumn("reason", F.lit(None).cast("string"))
+    record_attempts(failed.union(worked).withColumn("tried_at", moment), ledger, batch)
+
+
 def _archive_metrics(
     spark: SparkSession, out: str, batch: str | int, settings: Settings
 ) -> DataFrame:
@@ -263,4 +298,5 @@ __all__ = [
     "extract_step",
     "index_step",
     "metrics_step",
+    "retrying_extract_step",
 ]

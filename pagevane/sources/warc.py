@@ -270,13 +270,21 @@ def _is_gone(problem: OSError) -> bool:
     return isinstance(problem, (FileNotFoundError, IsADirectoryError, NotADirectoryError))
 
 
+UNREACHABLE = "out of reach"
+
+
 def archive_batches(
-    path: str, rec_types: set[str] | None, permissive: bool, timed: bool = False
+    path: str, rec_types: set[str] | None, permissive: bool, timed: bool = False, report: bool = False
 ) -> Iterator[pa.RecordBatch]:
-    """Records of one archive in Arrow batches of bounded size; ``timed`` adds a last row with its times."""
+    """Records of one archive in Arrow batches of bounded size; ``timed`` adds a last row with its times.
+
+    ``report`` makes an archive out of reach one row, whose error begins with ``UNREACHABLE``. That is done
+    as long as no record has left the task; later the task fails, as it does without ``report``.
+    """
     schema = ARROW_TIMED if timed else ARROW_SCHEMA
     rows: list[tuple] = []
     size = records = 0
+    begun = False
     clock = _Clock()
     try:
         with _unpacked(path, clock) as stream:
@@ -287,13 +295,18 @@ def archive_batches(
                 records += 1
                 size += len(text or "")
                 if size >= BATCH_BYTES:
+                    begun = True
                     yield _batch(rows, schema)
                     rows, size = [], 0
     except (OSError, EOFError, ValueError, KeyError, zlib.error) as problem:
         # A network or disk that fails now may work on the next try: the task fails, and
         # Spark runs it again. What stays wrong however often it is read is set aside.
-        if not permissive or (isinstance(problem, OSError) and not _is_gone(problem)):
+        away = isinstance(problem, OSError) and not _is_gone(problem)
+        if not permissive or (away and (begun or not report)):
             raise
+        if away:
+            yield _batch([(path, None, None, None, None, f"{UNREACHABLE}: {problem}", None)], schema)
+            return
         rows.append((path, None, None, None, None, f"{type(problem).__name__}: {problem}", None))
     if rows:
         yield _batch(rows, schema)
@@ -384,13 +397,15 @@ def read_archives(
     mode: str = "FAILFAST",
     partitions: int | None = None,
     timed: bool = False,
+    report: bool = False,
 ) -> DataFrame:
     """Records of the archives that a manifest (batch or stream) names.
 
     The paths are spread over ``partitions`` tasks, one per path if not given (on a
     stream, Spark's shuffle setting); the archives never pass through the driver.
     Only records of ``rec_type`` are decoded; ``None`` reads all. ``timed`` adds a column ``times``,
-    null for records, and a row for each archive that holds its measured times in it.
+    null for records, and a row for each archive that holds its measured times in it. ``report``
+    makes archives out of reach rows with an error, instead of failing tasks.
     """
     permissive = _is_permissive(mode)
     wanted = {rec_type} if rec_type else None
@@ -398,7 +413,7 @@ def read_archives(
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name in batch.column(0).to_pylist():
-                yield from archive_batches(name, wanted, permissive, timed)
+                yield from archive_batches(name, wanted, permissive, timed, report)
 
     named = paths.select(path)
     if partitions is None and not paths.isStreaming:

@@ -1,14 +1,17 @@
 from __future__ import annotations
 
+import datetime
 import gzip
 import time
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
-from pagevane.plans.stages import archive_pages, build_index, extract_step
+from pagevane.plans.stages import archive_pages, build_index, extract_step, retrying_extract_step
 from pagevane.operators import encode_messages, page_key
 from pagevane.sinks import batch_path, checked_path, write_messages
+from pagevane.sinks.attempts import archive_states, due, read_attempts, record_attempts
 from pagevane.sources import read_archives, read_manifest, read_messages, read_pages, spread
 
 from .conftest import table
@@ -245,3 +248,67 @@ def test_what_fails_for_now_is_raised_and_what_is_gone_set_aside(monkeypatch):
     monkeypatch.undo()
     (batch,) = warc.archive_batches("/nowhere/x.warc", None, permissive=True)
     assert batch.column("error").to_pylist()[0].startswith("FileNotFoundError")
+
+
+# --- archives out of reach, tried again ------------------------------------------------------------
+
+
+def at(minutes):
+    return datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=minutes)
+
+
+def test_an_archive_out_of_reach_twice_is_read_at_the_third_try(spark, archives, tmp_path):
+    out, ledger = str(tmp_path / "out"), str(tmp_path / "ledger")
+    away = tmp_path / "away.warc.gz"
+    away.symlink_to(away)  # a loop: opening it is an error that isn't "no such file"
+    good = f"{archives}/a.warc.gz"
+    schema = "path string"
+
+    def run(batch, minutes, *paths):
+        retrying_extract_step(spark.createDataFrame([(p,) for p in paths], schema), out, batch, ledger, at(minutes))
+        texts = spark.read.schema("path string, status string").parquet(batch_path(out, batch))
+        return sorted({r.path for r in texts.filter("status = 'ok'").collect()})
+
+    def state():
+        (row,) = archive_states(read_attempts(spark, ledger)).collect()
+        return row.path, row.tries, row.state
+
+    assert run(1, 0, good, str(away)) == [good]
+    assert state() == (str(away), 1, "waiting")
+    assert run(2, 0.5) == [] and state()[1] == 1  # not yet
+    assert run(3, 1) == [] and state()[1] == 2
+    away.unlink()
+    away.write_bytes((archives / "a.warc.gz").read_bytes())
+    assert run(4, 2) == []  # the second wait is two minutes
+    assert run(5, 3) == [str(away)] and state() == (str(away), 0, "done")
+    assert run(5, 3) == [str(away)] and state() == (str(away), 0, "done")  # a replay
+    assert run(6, 999) == []
+
+
+def test_an_archive_is_set_aside_after_so_many_tries(spark, tmp_path):
+    out, ledger = str(tmp_path / "out"), str(tmp_path / "ledger")
+    away = tmp_path / "away.warc.gz"
+    away.symlink_to(away)
+    none = spark.createDataFrame([], "path string")
+    first = spark.createDataFrame([(str(away),)], "path string")
+    for batch in range(5):
+        retrying_extract_step(first if not batch else none, out, batch, ledger, at(1000 * batch), most_tries=3)
+    (row,) = archive_states(read_attempts(spark, ledger), 3).collect()
+    assert (row.tries, row.state, row.next_try) == (3, "set aside", None)
+    assert row.reason.startswith("out of reach")
+
+
+def test_waits_double_and_start_anew_after_a_success(spark, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    rows = [("a", at(0), "x"), ("a", at(1), "y"), ("b", at(0), "x"), ("b", at(1), None), ("b", at(5), "z"), ("c", at(0), None)]
+    for i, row in enumerate(rows):
+        record_attempts(spark.createDataFrame([row], "path string, tried_at timestamp, reason string"), ledger, i)
+    states = archive_states(read_attempts(spark, ledger))
+    found = {r.path: (r.tries, r.state, r.next_try, r.reason) for r in states.collect()}
+    assert found == {
+        "a": (2, "waiting", at(3), "y"),
+        "b": (1, "waiting", at(6), "z"),
+        "c": (0, "done", None, None),
+    }
+    assert {r.path for r in due(states, F.lit(at(3))).collect()} == {"a"}
+    assert due(archive_states(read_attempts(spark, str(tmp_path / "no ledger"))), F.lit(at(3))).collect() == []
