@@ -43,6 +43,7 @@ from pagevane.operators.nearest import (
     lsh_index,
     lsh_model,
 )
+from pagevane.operators.quantiles import merge_rollup, rank_of, sketch_rollup, with_quantiles
 from pagevane.operators.search import bm25_search, keyword_lookup, postings
 from pagevane.operators.segments import explode_segments, segment_counts, with_segments
 
@@ -79,15 +80,18 @@ __all__ = [
     "lsh_index",
     "lsh_model",
     "mean_pool",
+    "merge_rollup",
     "metric_rollup",
     "metric_total",
     "page_key",
     "postings",
+    "rank_of",
     "require_fields",
     "route_metrics",
     "running_total",
     "search_postings",
     "segment_counts",
+    "sketch_rollup",
     "stamp",
     "train_cells",
     "train_language_model",
@@ -95,5 +99,6 @@ __all__ = [
     "with_headings",
     "with_language",
     "with_modelled_language",
+    "with_quantiles",
     "with_segments",
 ]

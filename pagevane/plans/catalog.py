@@ -405,6 +405,13 @@ def metrics_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolled.withColumn("mean", F.round("mean", 9))
 
 
+def metrics_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of days, from sketches of minutes merged to hours and those to days."""
+    minutes = op.sketch_rollup(table(spark, sf_dir, "events"), "event_type", ts="ts", value="value")
+    hours = op.merge_rollup(minutes, "event_type", every="1 hour")
+    return op.with_quantiles(op.merge_rollup(hours, "event_type", every="1 day"))
+
+
 QUERIES: dict[str, Query] = {
     "pages_scan": pages_scan,
     "resolve_paths": resolve_paths,
@@ -448,4 +455,5 @@ QUERIES: dict[str, Query] = {
     "metric_routing": metric_routing,
     "running_total": running_total,
     "metrics_rollup": metrics_rollup,
+    "metrics_quantiles": metrics_quantiles,
 }
