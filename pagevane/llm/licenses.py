@@ -174,6 +174,12 @@ def _literals(values: list[int]) -> Column:
     return F.expr(f"array({', '.join(f'{v}L' for v in values)})")
 
 
+def _met(items: Column, entries: list[int], name: str) -> Column:
+    """The index entries among ``items``."""
+    none = F.array().cast("array<bigint>")
+    return (F.array_intersect(items, _literals(entries)) if entries else none).alias(name)
+
+
 def _verified(name: str, keys: list[int], pairs: list[int]) -> Column:
     """Matches of one template, ``at, license, share, pairs``: every window that holds enough."""
 
@@ -181,6 +187,7 @@ def _verified(name: str, keys: list[int], pairs: list[int]) -> Column:
         window = F.slice("pairs", w * STEP + 1, F.lit(2 * STEP)) if _short(pairs) else F.get("bands", w)
         return F.arrays_overlap(window, _literals(pairs if _short(pairs) else keys))
 
+    some = F.arrays_overlap(F.col("few"), _literals(pairs)) if _short(pairs) else F.arrays_overlap(F.col("keys"), _literals(keys))
     hit = F.filter("blocks", meets)
     margin = len(pairs)
 
@@ -191,12 +198,13 @@ def _verified(name: str, keys: list[int], pairs: list[int]) -> Column:
         return F.struct((held / F.lit(float(len(pairs)))).alias("share"), w.alias("at"))
 
     enough = F.filter(F.transform(hit, share), lambda w: w["share"] >= CONTAINED)
-    return F.transform(
+    matches = F.transform(
         enough,
         lambda w: F.struct(
             (w["at"] * STEP).alias("at"), F.lit(name).alias("license"), w["share"].alias("share"), F.lit(margin).alias("pairs")
         ),
     )
+    return F.when(some, matches)
 
 
 def _best_at_place(matches: Column, near: int) -> Column:
@@ -250,12 +258,14 @@ def scan(
     none = F.array().cast("array<struct<at:int,license:string,share:double,pairs:int>>")
     longest = max([2 * STEP, *(len(pairs) for _, _, pairs in known)])
     near = (longest // STEP + 1) * max(len(known), 1)
-    # Most texts meet no entry of the index; the rest is verified.
-    met = F.lit(False)
-    for items, entries in ((F.flatten("bands"), every), (F.col("pairs"), short)):
-        if entries:
-            met = met | F.coalesce(F.arrays_overlap(items, _literals(entries)), F.lit(False))
-    rows = rows.select("id", "pairs", "blocks", "bands", met.alias("met"))
+    # Most texts meet no entry of the index. Of the rest, the windows that meet one are held against
+    # the templates that have one of the entries met.
+    rows = rows.select("id", "pairs", "blocks", "bands", _met(F.flatten("bands"), every, "keys"), _met(F.col("pairs"), short, "few"))
+    window = lambda w: F.slice("pairs", w * STEP + 1, F.lit(2 * STEP))
+    hot = F.filter("blocks", lambda w: F.arrays_overlap(F.get("bands", w), F.col("keys")) | F.arrays_overlap(window(w), F.col("few")))
+    met = (F.size("keys") > 0) | (F.size("few") > 0)
+    none_hot = F.array().cast("array<int>")
+    rows = rows.select("id", "pairs", "bands", "keys", "few", F.when(met, hot).otherwise(none_hot).alias("blocks"), met.alias("met"))
     if known:
         found = F.concat(*(F.coalesce(_verified(*x), none) for x in known))
         rows = rows.select("id", F.when(F.col("met"), found).otherwise(none).alias("matches"))
