@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from pagevane.functions.language import NON_LETTERS, STOP_WORDS, UNDETERMINED, detect_lang
 from pagevane.operators.extract import compute_once
+from pagevane.session import scratch_dir
 
 LANGUAGES = tuple(STOP_WORDS)
 GRAM = 3
+# N-grams of a profile that each task holds while it reads texts, some 20 MB; the alphabets of a few languages have fewer.
+FREQUENT = 1 << 17
 # Weights are log-probabilities in millionths, as integers: their sums do not
 # depend on the order of addition, so the result is the same for any partitioning.
 WEIGHT_SCALE = 1_000_000
@@ -91,26 +94,41 @@ def classify_ngrams(
     text: str = "text",
     languages: tuple[str, ...] = LANGUAGES,
     n: int = GRAM,
+    frequent: int = FREQUENT,
 ) -> DataFrame:
     """Naive Bayes language of each row: ``(key, detected, n_matched)``.
 
-    A text's words are counted before they are cut, and its n-grams before they meet the
-    profiles, so that each different n-gram of a text is looked up once. How the profiles are
-    joined is left to Spark, which knows their size.
+    The ``frequent`` n-grams of most weight meet a text where it is read, and its sums alone are
+    shuffled. Of larger profiles (written aside first, to know) the rest is joined with the n-grams
+    of a text that are not among the frequent ones, so that no n-gram is lost.
     """
+    spark = df.sparkSession
+    path = scratch_dir(spark)
+    profiles.select("gram", *[f"w_{c}" for c in languages]).write.parquet(path)
+    stored = spark.read.schema(_profile_schema(languages)).parquet(path)
+    has_rest = stored.count() > frequent
     # The empty word stays in, so that a row without any letter keeps its place.
-    words = df.select(key, _words(text).alias("word")).groupBy(key, "word").agg(F.count("*").alias("n"))
-    placed = words.select(key, "word", "n", _grams(F.col("word"), n).alias("at"))
-    grams = placed.groupBy(key, _cut("word", "at", n).alias("gram")).agg(F.sum("n").alias("n"))
-    known = F.col(f"w_{languages[0]}").isNotNull()
-    scored = (
-        grams.join(profiles, "gram", "left")
-        .groupBy(key)
-        .agg(
-            F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("n_matched"),
-            *[F.coalesce(F.sum(F.col(f"w_{c}") * F.col("n")), F.lit(0)).alias(f"s_{c}") for c in languages],
+    words = df.select(key, _words(text).alias("word"))
+    grams = words.select(key, "word", _grams(F.col("word"), n).alias("at")).select(key, _cut("word", "at", n).alias("gram"))
+    if has_rest:
+        weight = F.greatest(*[f"w_{c}" for c in languages])
+        near = stored.orderBy(weight.desc(), "gram").limit(frequent)
+        met = grams.join(F.broadcast(near), "gram", "left")
+        # Without a rare n-gram a name that no n-gram has, another for each key: they don't meet in one task.
+        rare = F.when(_known(languages).isNull(), F.col("gram"))
+        met = met.withColumn("rare", F.coalesce(rare, F.concat(F.lit(" " * (n + 1)), F.col(key).cast("string"))))
+        counted = met.groupBy(key, "rare").agg(F.count("*").alias("n"), *_sums(languages))
+        late = stored.select(F.col("gram").alias("rare"), *[F.col(f"w_{c}").alias(f"r_{c}") for c in languages])
+        counted = counted.join(late, "rare", "left")
+        is_late = F.col(f"r_{languages[0]}").isNotNull()
+        sums = counted.select(
+            key,
+            F.when(is_late, F.col("n")).otherwise(F.col("n_matched")).alias("n_matched"),
+            *[F.coalesce(F.col(f"r_{c}") * F.col("n"), F.col(f"s_{c}")).alias(f"s_{c}") for c in languages],
         )
-    )
+        scored = sums.groupBy(key).agg(*[F.sum(c).alias(c) for c in ("n_matched", *(f"s_{c}" for c in languages))])
+    else:
+        scored = grams.join(F.broadcast(stored), "gram", "left").groupBy(key).agg(*_sums(languages))
     best = F.greatest(*[F.col(f"s_{c}") for c in languages])
     detected = F.lit(UNDETERMINED)
     for code in reversed(languages):
@@ -119,6 +137,20 @@ def classify_ngrams(
     return scored.select(key, detected.alias("detected"), "n_matched")
 
 
+def _known(languages: tuple[str, ...]) -> Column:
+    return F.col(f"w_{languages[0]}")
+
+
+def _sums(languages: tuple[str, ...]) -> list[Column]:
+    """Known n-grams, and the sum of their weights for each language, of n-grams that met their profiles."""
+    weights = [F.coalesce(F.sum(f"w_{c}"), F.lit(0)).alias(f"s_{c}") for c in languages]
+    return [F.count(_known(languages)).alias("n_matched"), *weights]
+
+
+def _profile_schema(languages: tuple[str, ...]) -> str:
+    return ", ".join(["gram string", *[f"w_{c} bigint" for c in languages]])
+
+
 def corpus_profile(df: DataFrame, segments: str = "n_segments", lang: str = "fr") -> DataFrame:
     """Rows and segments per detected language, kept or dropped, with a total line."""
     return (

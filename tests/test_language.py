@@ -80,6 +80,27 @@ def test_ngrams_on_texts_that_were_not_trained_on(spark, tmp_path):
     assert right > 0.97 * found.count()
 
 
+def test_ngrams_of_texts_are_not_shuffled(spark, tmp_path):
+    docs = table(spark, "documents")
+    train_ngram_profiles(docs).write.parquet(str(tmp_path / "profiles"))
+    plan = plan_of(classify_ngrams(docs, spark.read.parquet(str(tmp_path / "profiles")), "doc_id"))
+    assert plan.count("Exchange hashpartitioning") == 1  # the sums of each key
+
+
+def test_rare_ngrams_are_joined_apart_with_the_same_result(spark):
+    docs = table(spark, "documents").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame(
+        [(None, "le chat"), (None, "und so weiter"), (1, "le chat und"), (-1, ""), (-2, None), (-3, "xqzk жжж")],
+        "doc_id long, text string",
+    )
+    rows = docs.drop("lang").union(odd).union(docs.drop("lang").limit(5))
+    profiles = train_ngram_profiles(docs)
+    whole = sorted(map(repr, classify_ngrams(rows, profiles, "doc_id").collect()))
+    assert len(whole) == docs.count() + 3
+    for frequent in (1, 300):
+        assert sorted(map(repr, classify_ngrams(rows, profiles, "doc_id", frequent=frequent).collect())) == whole
+
+
 def test_model_on_texts_that_were_not_trained_on(spark):
     docs = table(spark, "documents", "sf0.01")
     model = train_language_model(docs.filter("doc_id % 2 = 0"), F.col("doc_id") % 10 == 0)
