@@ -154,16 +154,24 @@ def embed_documents(
 
 
 def hash_encode(
-    segments: DataFrame, *keys: str, segment: str = "segment", dim: int = DIM
+    segments: DataFrame,
+    *keys: str,
+    segment: str = "segment",
+    dim: int = DIM,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Feature hashing without Python: sparse unit vectors ``keys, bucket, weight``.
 
     Segments are spread by key once; counting, the norm and the scaling then all
     find their rows in place. Cells that cancel out are left out, so a zero vector
     has no rows.
+
+    Cells take many times the bytes of their text, so tasks are not put together by the bytes
+    that are shuffled: there are ``partitions`` of them, or else as many as the session shuffles into.
     """
+    count = partitions or int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     codes = (
-        segments.repartition(*keys)
+        segments.repartition(count, *keys)
         .select(*keys, F.explode(tokens(segment)).alias("token"))
         .select(*keys, token_code("token", dim).alias("code"))
     )

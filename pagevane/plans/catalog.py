@@ -33,6 +33,8 @@ K = 10
 ROUND = 6
 BATCH = 128
 ROWS_PER_BUCKET = 200
+# The cells of a split's segments take some 30 times its bytes.
+TASKS_PER_SPLIT = 32
 # Of 64 cells: the test vectors have no groups, so near ones lie in many cells.
 CELL_PROBES = 48
 # Loads that a table is appended to the stored postings in; together they are the whole table.
@@ -184,9 +186,15 @@ def segment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- embedding ---------------------------------------------------------------------
 
 
+def _encode_tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Tasks that hash segments: so many for each split of the scan, and no fewer than any shuffle has."""
+    splits = table(spark, sf_dir, "documents").rdd.getNumPartitions()
+    return max(TASKS_PER_SPLIT * splits, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def hash_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     segments = segments_exploded(spark, sf_dir)
-    vectors = op.hash_encode(segments, "doc_id", "seg_no")
+    vectors = op.hash_encode(segments, "doc_id", "seg_no", partitions=_encode_tasks(spark, sf_dir))
     return vectors.select("doc_id", "seg_no", "bucket", _rounded("weight").alias("weight"))
 
 

@@ -98,6 +98,16 @@ def test_hash_encode_shuffles_once(spark):
     assert plan_of(hash_encode(df, "id", "seg_no")).count("Exchange") == 1
 
 
+def test_hash_encode_tasks_are_not_put_together(spark):
+    rows = [(i % 40, f"mot{i} mot{i % 7} le") for i in range(200)] + [(None, "a b"), (None, "b c")]
+    df = spark.createDataFrame(rows, "id int, segment string").repartition(2)
+    every = hash_encode(df, "id", partitions=29)
+    assert every.rdd.getNumPartitions() == 29
+    default = hash_encode(df, "id")
+    assert default.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(map(repr, every.collect())) == sorted(map(repr, default.collect()))
+
+
 def test_pool_of_cancelling_vectors_is_zero(spark):
     df = vectors(spark, [("a", [1.0, 0.0]), ("a", [-1.0, 0.0]), ("b", [3.0, 4.0])])
     found = {r.k: r.embedding for r in document_embeddings(df, "k").collect()}
