@@ -146,7 +146,7 @@ class MergeReplay:
 def _units(text: str) -> list[str]:
     """``text`` cut before each single space that stands between two other characters."""
     chunks = text.split(" ")
-    if "" not in chunks and list(map(str.strip, chunks)) == chunks:
+    if _even(chunks):
         return [chunks[0], *map(" ".__add__, chunks[1:])]
     first, *rest = chunks
     units = [first]
@@ -159,6 +159,11 @@ def _units(text: str) -> list[str]:
     return units
 
 
+def _even(chunks: list[str]) -> bool:
+    """Whether each space between the chunks of a text stands between two other characters."""
+    return "" not in chunks and list(map(str.strip, chunks)) == chunks
+
+
 _coders: dict[tuple[str, str], MergeReplay] = {}
 
 

@@ -25,10 +25,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .bpe import _units
+from .bpe import _even, _units
 from .common import give_back, steps, text_of, utf8, written
 
 CACHE_UNITS = 650_000
+# Signs which after a word are a match of the pattern, in any number. (An apostrophe may not be.)
+SIGNS = ".,;:!?"
 # Fillings that the branch-and-bound search looks at; each may cost a best fit of ``capacity`` lengths.
 TRIES = 250
 SLICE_POWER = 0.4
@@ -36,6 +38,19 @@ SLICE_POWER = 0.4
 _tokenizers: dict = {}
 
 
+class _Cache(dict):
+    """What ``find`` gives, kept; emptied when it is full."""
+
+    def __init__(self, find: Callable[[str], bytes]):
+        self.find = find
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= CACHE_UNITS:
+            self.clear()
+        found = self[key] = self.find(key)
+        return found
+
+
 class _Ids:
     """Ids by a byte-level BPE tokenizer file, with a cache of units and pieces (see ``bpe``).
 
@@ -51,9 +66,11 @@ class _Ids:
         self.ranked = _ranked(how) if by_ranks else None
         self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
-        self.pattern = regex.compile(PATTERN)
-        self.units: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.cut = regex.compile(PATTERN).findall
+        self.units = _Cache(self._unit)
+        # Units that are a space and a chunk, by the chunk: most of a text, and no string is made for them.
+        self.spaced = _Cache(self._spaced)
+        self.pieces = _Cache(self._known)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers.
@@ -62,40 +79,37 @@ class _Ids:
         a text are those of the pieces of its units, by the tokenizer's model. A text that
         holds an added token's string is given to the tokenizer whole.
         """
-        whole = [any(s in t for s in self.added) for t in texts]
-        units = [[] if w else _units(t) for t, w in zip(texts, whole)]
-        self._learn({u for of in units for u in of})
-        return [
-            array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes()
-            if w
-            else b"".join(map(self.units.__getitem__, of))
-            for t, w, of in zip(texts, whole, units)
-        ]
+        return [self._whole(t) if any(s in t for s in self.added) else self._joined(t) for t in texts]
 
     def forget(self) -> None:
-        self.units.clear()
-        self.pieces.clear()
-
-    def _learn(self, units: set[str]) -> None:
-        known = self.units
-        new = [u for u in units if u not in known]
-        if len(known) + len(new) > CACHE_UNITS:
-            known.clear()
-            new = units
-        if len(self.pieces) > CACHE_UNITS:
-            self.pieces.clear()
-        pieces, findall, ids = self.pieces, self.pattern.findall, self._piece
-        for u in new:
-            # Most units are one match of the pattern, and need no search.
-            if _one_word(u):
-                known[u] = ids(u)
-                continue
-            row = []
-            for p in findall(u):
-                if p not in pieces:
-                    pieces[p] = known[p] if p in known else ids(p)
-                row.append(pieces[p])
-            known[u] = b"".join(row)
+        for cache in (self.units, self.spaced, self.pieces):
+            cache.clear()
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _joined(self, text: str) -> bytes:
+        chunks = text.split(" ")
+        if _even(chunks):
+            first, *rest = chunks
+            return self.units[first] + b"".join(map(self.spaced.__getitem__, rest))
+        return b"".join(map(self.units.__getitem__, _units(text)))
+
+    def _spaced(self, chunk: str) -> bytes:
+        # Most chunks are a word, or a word and signs: one match of the pattern or two, and need no search.
+        word = chunk.rstrip(SIGNS)
+        if not _is_word(word):
+            return self._unit(" " + chunk)
+        if len(word) == len(chunk):
+            return self._piece(" " + chunk)
+        return self.spaced[word] + self.pieces[chunk[len(word) :]]
+
+    def _unit(self, unit: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.cut(unit)))
+
+    def _known(self, piece: str) -> bytes:
+        ids = self.spaced.get(piece[1:]) if piece[:1] == " " else None
+        return self._piece(piece) if ids is None else ids
 
     def _piece(self, piece: str) -> bytes:
         if self.ranked is not None:
@@ -145,9 +159,9 @@ def by_ranks(path: str) -> bool:
     return all([x.id for x in tokenize(t)] == [i] for t, i in vocab.items() if t not in added)
 
 
-def _one_word(unit: str) -> bool:
-    """Whether a unit is a space and letters of the Latin blocks: one match of the pattern."""
-    return unit[:1] == " " and unit[1:].isalpha() and (unit.isascii() or max(unit) < "\u0250")
+def _is_word(chunk: str) -> bool:
+    """Whether a chunk is letters of the Latin blocks: one match of the pattern, with a space before it."""
+    return chunk.isalpha() and (chunk.isascii() or max(chunk) < "\u0250")
 
 
 def _byte_letters() -> dict[int, str]:

@@ -100,6 +100,20 @@ def _check_packing(rows, texts):
     return len(sequences)
 
 
+def test_words_with_signs_need_no_search(monkeypatch):
+    odd = ["a,. b?! été; ... , a.b it's x1. й. ª, a,b,", "mot mot, mot. mot,;", "", " ", "  a, b", "a\n, b", "x., \n y"]
+    ids = packing._Ids(TOKENIZER_FILE, True)
+    expected = [np.array(ids.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in odd]
+    assert ids.encode(odd) == expected
+    ids.forget()
+    searched, cut = [], ids.cut
+    monkeypatch.setattr(ids, "cut", lambda unit: searched.append(unit) or cut(unit), raising=False)
+    assert ids.encode(odd[1:2]) == expected[1:2]
+    assert searched == ["mot"]
+    monkeypatch.setattr(packing, "CACHE_UNITS", 2)
+    assert ids.encode(odd) == expected and max(map(len, (ids.units, ids.spaced, ids.pieces))) <= 2
+
+
 def test_merging_by_ranks_gives_the_models_ids():
     assert packing.by_ranks(TOKENIZER_FILE)
     texts = [d + " \n\t x <|endoftext|> é漢字🙂 it's 1234567 \x00" for d in ("", "Word's", "ünï  codé", "a" * 5000)]
