@@ -233,13 +233,18 @@ def in_bloom(bits: np.ndarray, items: np.ndarray) -> np.ndarray:
     return found
 
 
+def seems_in(bits: np.ndarray, items: pa.Array) -> np.ndarray:
+    """Whether each long is in a Bloom filter, or seems to be; null is not."""
+    found = in_bloom(bits, items.fill_null(0).to_numpy(zero_copy_only=False))
+    return found & items.is_valid().to_numpy(zero_copy_only=False)
+
+
 def likely_in(bits: Broadcast, column: str | Column) -> Column:
     """Whether a long is in a broadcast Bloom filter, or seems to be; null is not."""
 
     @F.arrow_udf("boolean")
     def likely(items: pa.Array) -> pa.Array:
-        found = in_bloom(bits.value, items.fill_null(0).to_numpy(zero_copy_only=False))
-        return pa.array(found & items.is_valid().to_numpy(zero_copy_only=False))
+        return pa.array(seems_in(bits.value, items))
 
     return likely(F.col(column) if isinstance(column, str) else column)
 

@@ -8,7 +8,7 @@ it shares as many prefix shingles as the smaller of its two ``l``.
 
 Shingle counts come from a count sketch of fixed size over all documents; it sets the order and
 the estimates and hence the cost, never the result. Texts with equal sets form a class, of
-which one goes on. Links are verified on whole sets.
+which one goes on. Links are verified on whole sets, after coarse sets have ruled out most others.
 
 Groups of near copies aren't compared pair by pair. In rounds, the members of crowded postings
 are first verified against a few leaders of the posting, and classes linked so far count as one
@@ -22,10 +22,11 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,7 @@ from .common import (
     in_bloom,
     likely_in,
     mixed,
+    seems_in,
     signed,
     small_batches,
     steps,
@@ -54,6 +56,8 @@ VERIFY_COST = 0.05
 # Postings of more classes than this are first met by leaders.
 CROWDED = 8
 LEADERS = 3
+# A coarse set keeps so many bits of each hash more than its size asks for.
+COARSE_BITS = 5
 # Rounds of leaders go on while one leaves less than this share of the pairs.
 GAIN = 0.8
 _MEMBER = ("node", "component", "n", "matches", "place")
@@ -165,26 +169,83 @@ def _shared_postings(signatures: DataFrame) -> tuple[DataFrame, DataFrame]:
     return classes.select("key", "node"), postings
 
 
+def _coarse(hashes: np.ndarray) -> bytes:
+    """A set by the upper bits of its sorted hashes: a byte for each gap, after 255 for each 255 of it."""
+    upper = (hashes >> np.uint64(64 - _width(len(hashes)))).astype(np.int64)
+    more, rest = np.divmod(np.diff(upper, prepend=0), 255)
+    out = np.full(len(upper) + int(more.sum()), 255, np.uint8)
+    out[np.cumsum(more + 1) - 1] = rest
+    return out.tobytes()
+
+
+def _width(n: int) -> int:
+    """Upper bits that are kept of each of ``n`` hashes."""
+    return (max(n, 1) - 1).bit_length() + COARSE_BITS
+
+
+def _most_shared(x: bytes, y: bytes) -> tuple[int, int, int]:
+    """Sizes of two coarse sets, and a number that their sets can't share more of."""
+    first, second = (np.cumsum(d, dtype=np.int64)[d != 255] for d in (np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)))
+    m, n = len(first), len(second)
+    width = min(_width(m), _width(n))
+    first, second = first >> (_width(m) - width), second >> (_width(n) - width)
+    return m, n, min(_found(first, second), _found(second, first))
+
+
+def _found(items: np.ndarray, among: np.ndarray) -> int:
+    """How many of some sorted numbers are among others, also sorted."""
+    return int((np.searchsorted(among, items, "right") > np.searchsorted(among, items)).sum())
+
+
+def _similar(m: int, n: int, shared: int, percent: int) -> bool:
+    """Whether sets of these sizes that share so many are similar enough; empty sets never are."""
+    return shared > 0 and shared * 100 >= (m + n - shared) * percent
+
+
 def _verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` of documents in ``rows`` whose whole sets are similar enough."""
+    """The pairs ``a, b`` of documents in ``rows`` whose whole sets are similar enough.
+
+    All pairs are first compared by coarse sets, an eighth as large as the hashes, which can show
+    more in common than there is but never less. Only what is left meets its texts, whose
+    whole sets decide.
+    """
+
     pairs = written(pairs)
-    ends = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    sets = _sets_of(rows, ends, words)
-    first = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    second = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(second, "b").join(first, "a")
+    bits = _ends(pairs)
+
+    # The filter and the sets in one function: two would ask for two Python workers for each task.
+    @F.arrow_udf("binary")
+    def coarse(ids: pa.Array, texts: pa.Array) -> pa.Array:
+        keep = seems_in(bits.value, ids)
+        sets = shingle_sets(texts.filter(pa.array(keep)), words)
+        return pa.array([_coarse(next(sets)) if k else None for k in keep.tolist()], pa.binary())
+
+    @F.arrow_udf("boolean")
+    def possible(a: pa.Array, b: pa.Array) -> pa.Array:
+        sets = zip(a.to_pylist(), b.to_pylist())
+        return pa.array([_similar(*_most_shared(x, y), percent) for x, y in sets], pa.bool_())
+
+    @F.arrow_udf("boolean")
+    def similar(a: pa.Array, b: pa.Array) -> pa.Array:
+        sets = zip(shingle_sets(a, words), shingle_sets(b, words))
+        shared = ((len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))) for x, y in sets)
+        return pa.array([_similar(*s, percent) for s in shared], pa.bool_())
+
+    sets = rows.select(F.col("id").alias("node"), coarse.asNondeterministic()("id", "text").alias("item"))
+    pairs = written(_passing(pairs, written(sets.filter("item is not null").distinct()), possible))
+    texts = rows.filter(likely_in(_ends(pairs), "id")).select(F.col("id").alias("node"), F.col("text").alias("item"))
+    return written(_passing(pairs, texts.distinct(), similar))
+
 
-    @F.arrow_udf("long")
-    def common(a: pa.Array, b: pa.Array) -> pa.Array:
-        out = []
-        for x, y in zip(a, b):
-            x, y = x.values.to_numpy(), y.values.to_numpy()
-            out.append(len(np.intersect1d(x, y, assume_unique=True)))
-        return pa.array(out, pa.int64())
+def _passing(pairs: DataFrame, items: DataFrame, test: Callable[..., Column]) -> DataFrame:
+    """The pairs ``a, b`` with ``node, item`` of both that pass a test."""
+    both = pairs.join(items.toDF("b", "second"), "b").join(items.toDF("a", "first"), "a")
+    return both.filter(test("first", "second")).select("a", "b")
 
-    counted = both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), common("sa", "sb").alias("i"))
-    similar = F.col("i") * 100 >= (F.col("na") + F.col("nb") - F.col("i")) * percent
-    return written(counted.filter(similar).select("a", "b"))
+
+def _ends(pairs: DataFrame) -> Broadcast:
+    """A Bloom filter of the documents that are in a pair."""
+    return pairs.sparkSession.sparkContext.broadcast(bloom(pairs.select(F.explode(F.array("a", "b")))))
 
 
 def _with_component(postings: DataFrame, components: DataFrame | None) -> DataFrame:
@@ -313,20 +374,6 @@ def _work(postings: DataFrame) -> tuple[int, int]:
     return int(row[0] or 0), math.ceil(row[1] or 0)
 
 
-def _sets_of(rows: DataFrame, active: DataFrame, words: int) -> DataFrame:
-    """``node, shingles`` of the documents that share a prefix shingle with another class."""
-    bits = rows.sparkSession.sparkContext.broadcast(bloom(active))
-
-    @F.arrow_udf("array<long>")
-    def shingles(texts: pa.Array) -> pa.Array:
-        return _lists(list(shingle_sets(texts, words)))
-
-    some = rows.filter(likely_in(bits, "id"))
-    some = some.join(active.withColumnRenamed("node", "id"), "id", "left_semi")
-    some = some.dropDuplicates(["id", "text"])
-    return written(some.select(F.col("id").alias("node"), shingles("text").alias("shingles")))
-
-
 # The components by counting the shared shingles of all pairs that share one.
 SQL = r"""
 WITH RECURSIVE words AS (

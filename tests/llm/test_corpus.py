@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import pathlib
 import random
 import re
 import zlib
@@ -15,6 +16,7 @@ import pytest
 
 import corpus_pipeline
 from pagevane.llm import jaccard, licenses, lines, near_vectors, substrings, toxicity
+from pagevane.llm.common import _work_folder
 from pagevane.llm.components import connected
 from pagevane.llm.queries import ORACLE_SQL, QUERIES
 
@@ -103,6 +105,56 @@ def test_prefixes_share_as_many_as_they_ask_for():
         assert len(np.intersect1d(a, b)) >= min(p, q)
 
 
+def near_misses(rng, count, length):
+    """Rows ``id, text`` in pairs of 0.4 to 1.0, and the pairs ``a, b`` of their ids."""
+    rows = []
+    for i in range(count):
+        base = [f"word{rng.randrange(10**6)}" for _ in range(length)]
+        copy = list(base)
+        for _ in range(rng.randrange(1 + length // 10)):
+            copy[rng.randrange(length)] = f"other{rng.randrange(10**6)}"
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(copy))]
+    return rows, [(2 * i + 1, 2 * i) for i in range(count)]
+
+
+def test_verified_pairs_are_those_of_whole_sets(spark):
+    rows, pairs = near_misses(random.Random(6), 120, 60)
+    # Ids with several rows link by any of them, but not by their empty ones.
+    rows += [(i, "") for i in range(20)] + rows[10:14] + [(300, "a b"), (301, "A  b"), (302, "a"), (303, None), (304, " ")]
+    pairs += [(301, 300), (302, 300), (304, 303), (303, 300)]
+    sets = defaultdict(list)
+    for i, text in rows:
+        w = WORDS.findall(lowered(text or ""))
+        sets[i].append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    linked = {(a, b) for a, b in pairs for x in sets[a] for y in sets[b] if x & y and 100 * len(x & y) >= 75 * len(x | y)}
+    docs = spark.createDataFrame(rows, "id long, text string").selectExpr("id", "coalesce(text, '') AS text")
+    found = jaccard._verified(spark.createDataFrame(pairs, "a long, b long"), docs, 5, 75)
+    assert {tuple(r) for r in found.collect()} == linked
+    assert 0 < len(linked) < 100
+
+
+def test_near_misses_are_ruled_out_without_their_whole_sets(spark):
+    rows, pairs = near_misses(random.Random(7), 60, 400)
+    rows = [(i, text if i % 2 else " ".join(text.split()[:200] + [f"own{i}x{k}" for k in range(200)])) for i, text in rows]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    folder = pathlib.Path(_work_folder(spark))
+    before = {f for f in folder.rglob("*.parquet")}
+    assert jaccard._verified(spark.createDataFrame(pairs, "a long, b long"), docs, 5, 75).collect() == []
+    bytes_ = sum(f.stat().st_size for f in folder.rglob("*.parquet") if f not in before)
+    assert bytes_ < len(rows) * 396 * 8 / 2  # half of what their hashes take
+
+
+def test_coarse_sets_never_understate():
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        x = np.unique(rng.integers(0, 2**64, int(rng.integers(0, 300)), dtype=np.uint64))
+        own = rng.integers(0, 2**64, int(rng.integers(0, 300)), dtype=np.uint64)
+        y = np.unique(np.concatenate([x[: int(rng.integers(0, len(x) + 1))], own]))
+        m, n, most = jaccard._most_shared(jaccard._coarse(x), jaccard._coarse(y))
+        assert (m, n) == (len(x), len(y))
+        assert most >= len(np.intersect1d(x, y))
+
+
 def plain_vectors(rows):
     good = []
     for n, (i, label, v) in enumerate(rows):
